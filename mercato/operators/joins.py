@@ -14,7 +14,7 @@ BROADCAST_BYTES = 10 * 1024 * 1024
 
 def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of a frame (for a file scan: bytes on disk, scaled to the columns read)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def dim_join(
