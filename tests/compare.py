@@ -55,7 +55,7 @@ if __name__ == "__main__":
 
     sf = f"/root/testdata/{sys.argv[1]}"
     wanted = sys.argv[2:]
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     oracles, bad = entry.oracle_sql(), 0
