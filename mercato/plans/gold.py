@@ -42,7 +42,7 @@ def agg2_revenue_by_category(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
     SELECT p_brand AS category, strftime(o_orderdate, '%Y-%m') AS year_month, {total('l_extendedprice')} AS total_revenue,
-      count(l_orderkey) AS order_count, round({total('l_extendedprice')} / count(l_extendedprice), 6) AS avg_order_value,
+      count(l_orderkey) AS order_count, {total('l_extendedprice')} / count(l_extendedprice) AS avg_order_value,
       count(DISTINCT o_custkey) AS unique_customers
     FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2
     """
@@ -50,8 +50,7 @@ def agg2_revenue_by_category(spark: SparkSession, sf: str) -> DataFrame:
 def agg3_revenue_metrics(spark: SparkSession, sf: str) -> DataFrame:
     sales = skew_join(_lines(spark, sf), t.orders(spark, sf).select("order_id", "customer_id", "order_date"), ["order_id"])
     sales = shaping.with_calendar(sales, "order_date")
-    found = metrics.revenue_metrics(sales, ["category", "year_month"], "price", "order_id", "customer_id")
-    return found.withColumn("avg_order_value", F.round("avg_order_value", 6))
+    return metrics.revenue_metrics(sales, ["category", "year_month"], "price", "order_id", "customer_id")
 
 
 _RFM = f"""
@@ -78,7 +77,7 @@ def agg4_rfm(spark: SparkSession, sf: str) -> DataFrame:
       FROM lineitem GROUP BY 1, 2),
     views AS (SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS p, count(*) AS views FROM events WHERE event_type = 'view' GROUP BY 1)
     SELECT l_partkey AS product_id, CAST(sum(rev) AS DOUBLE) AS revenue, CAST(sum(n) AS BIGINT) AS units, count(*) AS orders,
-      round(avg(score), 6) AS avg_score, any_value(views) AS views, round(count(*) / any_value(views), 6) AS conversion
+      avg(score) AS avg_score, any_value(views) AS views, count(*) / any_value(views) AS conversion
     FROM lines LEFT JOIN reviews ON order_id = l_orderkey LEFT JOIN views ON p = l_partkey GROUP BY 1
     """
 )
@@ -86,8 +85,7 @@ def agg5_product_performance(spark: SparkSession, sf: str) -> DataFrame:
     views = t.events(spark, sf).filter("category = 'view'").select(
         F.get_json_object("props", "$.k").cast("bigint").alias("product_id")
     )
-    found = metrics.product_performance(t.items(spark, sf), t.reviews(spark, sf), views)
-    return found.withColumns({c: F.round(c, 6) for c in ("avg_score", "conversion")})
+    return metrics.product_performance(t.items(spark, sf), t.reviews(spark, sf), views)
 
 
 @query(
@@ -106,9 +104,9 @@ _SELLERS = f"""
     WITH {t.SQL_PLACES}, {t.SQL_REVIEWS}, {t.SQL_DELIVERED},
     so AS (SELECT l_suppkey, l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS rev, count(*) AS units FROM lineitem GROUP BY 1, 2)
     SELECT s_suppkey AS seller_id, any_value(city) AS seller_city, any_value(state) AS seller_state, count(l_orderkey) AS total_orders,
-      coalesce(CAST(sum(rev) AS DOUBLE), 0) AS total_revenue, round(avg(score), 6) AS avg_review_score,
+      coalesce(CAST(sum(rev) AS DOUBLE), 0) AS total_revenue, avg(score) AS avg_review_score,
       CAST(coalesce(sum(units), 0) AS BIGINT) AS total_products_sold,
-      round(avg(CASE WHEN actual < estimated + INTERVAL 1 DAY THEN 1 WHEN actual IS NOT NULL THEN 0 END), 6) AS on_time_delivery_rate
+      avg(CASE WHEN actual < estimated + INTERVAL 1 DAY THEN 1 WHEN actual IS NOT NULL THEN 0 END) AS on_time_delivery_rate
     FROM supplier JOIN places ON zip = s_nationkey LEFT JOIN so ON l_suppkey = s_suppkey
     LEFT JOIN reviews r ON r.order_id = l_orderkey LEFT JOIN delivered d ON d.order_id = l_orderkey GROUP BY 1
 """
@@ -120,8 +118,7 @@ def agg7_seller_performance(spark: SparkSession, sf: str) -> DataFrame:
     found = metrics.seller_performance(
         items, t.sellers(spark, sf), t.reviews(spark, sf), metrics.deliveries(t.orders(spark, sf), items)
     )
-    rounded = found.withColumns({c: F.round(c, 6) for c in ("avg_review_score", "on_time_delivery_rate")})
-    return rounded.drop("seller_name", "seller_zip")
+    return found.drop("seller_name", "seller_zip")
 
 
 @query(
@@ -316,28 +313,26 @@ def agg16_review_histogram(spark: SparkSession, sf: str) -> DataFrame:
     s AS (SELECT ym, sum(spend) AS spend FROM m GROUP BY 1), k AS (SELECT ym, count(*) AS n FROM f GROUP BY 1),
     r AS (SELECT s.ym, CAST(sum(spend) OVER (ORDER BY s.ym) AS DOUBLE) AS cumulative_spend,
       CAST(sum(coalesce(n, 0)) OVER (ORDER BY s.ym) AS BIGINT) AS customers FROM s LEFT JOIN k ON k.ym = s.ym)
-    SELECT ym AS year_month, cumulative_spend, customers, round(cumulative_spend / customers, 6) AS clv FROM r
+    SELECT ym AS year_month, cumulative_spend, customers, cumulative_spend / customers AS clv FROM r
     """
 )
 def agg17_clv_trend(spark: SparkSession, sf: str) -> DataFrame:
-    found = metrics.clv_trend(t.orders(spark, sf), "customer_id", "order_date", "total")
-    return found.withColumn("clv", F.round("clv", 6))
+    return metrics.clv_trend(t.orders(spark, sf), "customer_id", "order_date", "total")
 
 
 @query(
     f"""
     WITH {t.SQL_PLACES}, {t.SQL_DELIVERED}
-    SELECT state AS customer_state, count(*) AS delivered, round(avg(date_diff('day', CAST(order_date AS DATE), CAST(actual AS DATE))), 6) AS avg_lead_days,
-      round(avg(date_diff('day', CAST(estimated AS DATE), CAST(actual AS DATE))), 6) AS avg_delay_days,
-      round(avg(CASE WHEN actual < estimated + INTERVAL 1 DAY THEN 1.0 ELSE 0.0 END), 6) AS on_time_rate
+    SELECT state AS customer_state, count(*) AS delivered, avg(date_diff('day', CAST(order_date AS DATE), CAST(actual AS DATE))) AS avg_lead_days,
+      avg(date_diff('day', CAST(estimated AS DATE), CAST(actual AS DATE))) AS avg_delay_days,
+      avg(CASE WHEN actual < estimated + INTERVAL 1 DAY THEN 1 ELSE 0 END) AS on_time_rate
     FROM delivered JOIN customer ON c_custkey = customer_id JOIN places ON zip = c_nationkey WHERE actual IS NOT NULL GROUP BY 1
     """
 )
 def agg18_delivery_metrics(spark: SparkSession, sf: str) -> DataFrame:
     df = metrics.deliveries(t.orders(spark, sf), t.items(spark, sf))
     df = dim_join(df, t.customers(spark, sf).select("customer_id", "customer_state"), ["customer_id"])
-    found = metrics.delivery_metrics(df, ["customer_state"], "order_date", "estimated", "actual")
-    return found.withColumns({c: F.round(c, 6) for c in ("avg_lead_days", "avg_delay_days", "on_time_rate")})
+    return metrics.delivery_metrics(df, ["customer_state"], "order_date", "estimated", "actual")
 
 
 @query(
@@ -508,7 +503,7 @@ def udf4_sentiment(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""
-    SELECT strftime(o_orderdate, '%Y-%m') AS year_month, count(*) AS reviews, round(avg({_SCORE}), 6) AS mean_score
+    SELECT strftime(o_orderdate, '%Y-%m') AS year_month, count(*) AS reviews, avg({_SCORE}) AS mean_score
     FROM documents JOIN orders ON doc_id = o_orderkey GROUP BY 1
     """
 )
@@ -516,7 +511,7 @@ def udf4_sentiment_trend(spark: SparkSession, sf: str) -> DataFrame:
     scored = t.raw(spark, sf, "documents").select(F.col("doc_id").alias("order_id"), scalar.sentiment_score("text").alias("score"))
     dated = scored.join(t.orders(spark, sf).select("order_id", "order_date"), "order_id")
     return dated.groupBy(F.date_format("order_date", "yyyy-MM").alias("year_month")).agg(
-        F.count(F.lit(1)).alias("reviews"), F.round(F.avg("score"), 6).alias("mean_score")
+        F.count(F.lit(1)).alias("reviews"), F.avg("score").alias("mean_score")
     )
 
 

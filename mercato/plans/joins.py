@@ -105,7 +105,7 @@ def jn6_orders_without_items(spark: SparkSession, sf: str) -> DataFrame:
     f"""
     WITH {t.SQL_PLACES}, geo AS (SELECT c_nationkey AS zip, avg(c_acctbal) AS lat, avg(CAST(c_custkey AS DOUBLE)) AS lng
       FROM customer GROUP BY 1)
-    SELECT s_suppkey AS seller_id, round(lat, 6) AS lat, round(lng, 6) AS lng, city, state FROM supplier
+    SELECT s_suppkey AS seller_id, round(lat, 8) AS lat, round(lng, 8) AS lng, city, state FROM supplier
     LEFT JOIN geo ON geo.zip = s_nationkey LEFT JOIN places ON places.zip = s_nationkey
     """
 )
@@ -113,7 +113,7 @@ def jn7_geolocation(spark: SparkSession, sf: str) -> DataFrame:
     centroids = joins.zip_centroids(t.geolocation(spark, sf), "zip", "lat", "lng", "city", "state")
     sellers = t.sellers(spark, sf).select("seller_id", "seller_zip")
     placed = joins.with_geo(sellers, centroids, "seller_zip")
-    return placed.select("seller_id", F.round("lat", 6).alias("lat"), F.round("lng", 6).alias("lng"), "city", "state")
+    return placed.select("seller_id", F.round("lat", 8).alias("lat"), F.round("lng", 8).alias("lng"), "city", "state")
 
 
 _CUT = "TIMESTAMP '2000-01-01'"
