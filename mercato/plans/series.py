@@ -266,7 +266,7 @@ def ts4_iqr_anomalies(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def dq5_approximate_iqr(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.iqr_anomalies(t.orders(spark, sf).select("order_id", "total"), "total", eps=0.01)
+    return quality.iqr_anomalies(t.events(spark, sf).select("event_id", "price"), "price", eps=0.01)
 
 
 @query(
