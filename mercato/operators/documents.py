@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.scalar import delay_days, money
 from mercato.operators.quality import unique_violations
+from mercato.operators.skew import skew_join
 
 # --- table operations --------------------------------------------------------------------------------------------
 
@@ -155,7 +156,7 @@ def order_analytics(
     )
     score = reviews.groupBy("order_id").agg(F.max("score").alias("review_score"))
     return (
-        orders.join(customers.select("customer_id", "customer_state", "customer_city"), "customer_id", "left")
+        skew_join(orders, customers.select("customer_id", "customer_state", "customer_city"), ["customer_id"], "left")
         .join(totals, "order_id", "left")
         .join(payment_summary(payments), "order_id", "left")
         .join(score, "order_id", "left")

@@ -7,23 +7,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.operators.skew import skew_join
-
-BROADCAST_BYTES = 10 * 1024 * 1024
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a frame (for a file scan: bytes on disk, scaled to the columns read)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
+from mercato.operators.skew import BROADCAST_BYTES, plan_bytes, skew_join
 
 def dim_join(
     facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner", max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Join a dimension: broadcast when its estimated size is under ``max_bytes``, else the skew-safe shuffle join."""
-    if plan_bytes(dim) <= max_bytes:
-        return facts.join(F.broadcast(dim), keys, how)
-    return skew_join(facts, dim, keys, how)
+    """Join a dimension: broadcast when its estimated size is under ``max_bytes``, else the salted shuffle join."""
+    return skew_join(facts, dim, keys, how, max_bytes=max_bytes)
 
 
 def merge_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -283,10 +283,11 @@ def late_features(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
     ``orders`` has order_id, order_date, estimated, actual.
     """
-    per = lines.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("items"),
-        F.sum(money("price")).cast("double").alias("value"),
-        F.approx_count_distinct("seller_id").alias("sellers"),
+    per_seller = lines.groupBy("order_id", "seller_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(money("price")).alias("_value")
+    )
+    per = per_seller.groupBy("order_id").agg(
+        F.sum("_n").alias("items"), F.sum("_value").cast("double").alias("value"), F.count("seller_id").alias("sellers")
     )
     return (
         orders.filter(F.col("actual").isNotNull())

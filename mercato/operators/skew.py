@@ -16,6 +16,7 @@ from mercato.session import pin
 
 ROWS_PER_TASK = 1_000_000
 MAX_HOT_KEYS = 10_000
+BROADCAST_BYTES = 10 * 1024 * 1024
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -34,22 +35,33 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK)
     )
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of a frame (for a file scan: bytes on disk, scaled to the columns read)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
     keys: list[str],
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
+    max_bytes: int = BROADCAST_BYTES,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join that stays balanced when one key holds a large share of ``left``.
 
-    Hot keys of ``left`` are cut into parts by a hash of the row and the number of the partition it was read from, so
-    even identical copies spread and a retried task makes the same choice. ``right`` rows of those keys are repeated
-    once per part; all other rows keep part 0. ``how``: inner, left, left_semi or left_anti.
+    A right side whose estimated size is at most ``max_bytes`` is broadcast, and nothing is shuffled. Otherwise the hot
+    keys of ``left`` are cut into parts by a hash of the row and the number of the partition it was read from, so even
+    identical copies spread and a retried task makes the same choice; ``right`` rows of those keys are repeated once per
+    part, and all other rows keep part 0. ``how``: inner, left, left_semi or left_anti. A loop that joins the same left
+    side again passes its ``hot`` keys so that they are found once.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join cannot repeat the right side of a {how} join")
-    hot = hot_keys(left, keys, rows_per_task)
+    if plan_bytes(right) <= max_bytes:
+        return left.join(F.broadcast(right), keys, how)
+    hot = hot_keys(left, keys, rows_per_task) if hot is None else hot
     spread = F.pmod(F.xxhash64(*left.columns) + F.col("_spread"), F.coalesce(F.col("_parts"), F.lit(64)))
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     salted_left = (
@@ -143,38 +155,62 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
+QUANTILE_ACCURACY = 10_000
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
     """Exact linear-interpolated quantiles of many columns: one row per (column_name, probability).
 
-    Distinct values are counted first (map-side), then ranked by a prefix sum over their range-partitioned order, so
-    memory does not grow with the number of distinct values as it does for a single-buffer percentile.
+    A mergeable sketch first brackets each quantile between two values; its rank error is known, so the bracket is sure
+    to hold the answer. A second pass counts what lies below the bracket, and only the values inside it, a few in ten
+    thousand, are counted, ranked over their range-partitioned order and picked. Memory does not grow with the number of
+    distinct values, as it does for a single-buffer percentile.
     """
-    long = df.select(
-        F.explode(
-            F.array(
-                *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
-            )
-        ).alias("cell")
-    ).select("cell.*")
-    counted = long.filter(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("column_name", "value").count()
-    ranked = running(
-        counted, ["column_name"], [F.col("value")], {"upto": ("sum", F.col("count"))}
-    ).withColumn("below", F.col("upto") - F.col("count"))
-    ranked = pin(ranked)
-    sizes = ranked.groupBy("column_name").agg(F.max("upto").alias("n"))
-    targets = sizes.select(
-        F.col("column_name").alias("target_column"),
-        "n",
-        F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability"),
-    ).withColumn("position", (F.col("n") - 1) * F.col("probability"))
-    # one row per column and probability: bounded by the schema
-    hits = ranked.join(
-        F.broadcast(targets),
-        (F.col("column_name") == F.col("target_column"))
-        & (F.col("below") <= F.ceil("position"))
-        & (F.col("upto") > F.floor("position")),
+    cells = [(c, float(p)) for c in columns for p in probabilities]
+    margin = 2.0 / QUANTILE_ACCURACY
+
+    def number(c: str) -> Column:
+        value = F.col(c).cast("double")
+        return F.when(~F.isnan(value), value)
+
+    def edge(c: str, p: float) -> Column:
+        if p <= 0 or p >= 1:
+            return F.min(number(c)) if p <= 0 else F.max(number(c))
+        return F.percentile_approx(number(c), p, QUANTILE_ACCURACY)
+
+    # both rows have one field per column and probability: bounded by the schema
+    found = df.agg(
+        *[F.count(number(c)).alias(f"n{i}") for i, (c, _) in enumerate(cells)],
+        *[edge(c, p - margin).alias(f"lo{i}") for i, (c, p) in enumerate(cells)],
+        *[edge(c, p + margin).alias(f"hi{i}") for i, (c, p) in enumerate(cells)],
+    ).first()
+    live = [i for i in range(len(cells)) if found[f"n{i}"]]
+    schema = "column_name string, probability double, quantile double"
+    if not live:
+        return df.sparkSession.createDataFrame([], schema)
+    below = df.agg(*[F.count_if(number(cells[i][0]) < F.lit(found[f"lo{i}"])).alias(f"b{i}") for i in live]).first()
+    inside = F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    number(c).between(F.lit(found[f"lo{i}"]), F.lit(found[f"hi{i}"])),
+                    F.struct(F.lit(i).alias("cell"), number(c).alias("value")),
+                )
+                for i, (c, _) in enumerate(cells)
+                if i in live
+            ]
+        )
+    )
+    counted = df.select(F.explode(inside).alias("x")).select("x.*").groupBy("cell", "value").count()
+    ranked = running(counted, ["cell"], [F.col("value")], {"upto": ("sum", F.col("count"))})
+    targets = df.sparkSession.createDataFrame(
+        [(i, *cells[i], (found[f"n{i}"] - 1) * cells[i][1] - below[f"b{i}"]) for i in live],
+        "cell int, column_name string, probability double, position double",
+    )
+    # one row per column and probability
+    hits = ranked.join(F.broadcast(targets), "cell").filter(
+        (F.col("upto") - F.col("count") <= F.ceil("position")) & (F.col("upto") > F.floor("position"))
     )
-    low = F.min("value")
-    high = F.max("value")
     fraction = F.first("position") - F.floor(F.first("position"))
+    low, high = F.min("value"), F.max("value")
     return hits.groupBy("column_name", "probability").agg((low + (high - low) * fraction).alias("quantile"))

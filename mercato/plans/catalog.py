@@ -6,7 +6,7 @@ import importlib
 
 from mercato.plans.registry import ORACLES, QUERIES
 
-for _name in ("scans", "joins", "gold", "series", "checks", "feeds", "streams", "graphs", "models"):
+for _name in ("scans", "joins", "gold", "series", "checks", "feeds", "streams", "graphs", "models", "scalars"):
     importlib.import_module(f"mercato.plans.{_name}")
 
 __all__ = ["ORACLES", "QUERIES"]

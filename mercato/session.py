@@ -59,9 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back with no lineage.
+    """Write ``df`` as a table under the shared folder and read it back, with no lineage and a known size.
 
-    Used where a plan loops, or where a value such as a partition number must never be computed twice.
+    Used where a plan loops, or where a value such as a partition number must never be computed twice. The stored table
+    survives lost executors, later reads prune its columns, and the planner sees its true size.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = scratch_path(spark, "pinned")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
