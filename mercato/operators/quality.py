@@ -179,8 +179,9 @@ def histogram(df: DataFrame, column: str, n: int, keys: list[str] | None = None)
     bounds = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
     placed = df.filter(value.isNotNull()).select(*keys, value.alias("_v"), bounds.alias("_b"))
     width = (F.col("_b.hi") - F.col("_b.lo")) / n
-    index = F.least(F.floor(F.try_divide(F.col("_v") - F.col("_b.lo"), width)), F.lit(n - 1))
-    binned = placed.groupBy(*keys, F.coalesce(index, F.lit(0)).cast("int").alias("bin")).agg(
+    # all values equal: the width is 0 and everything is in the first bin
+    index = F.least(F.coalesce(F.floor(F.try_divide(F.col("_v") - F.col("_b.lo"), width)), F.lit(0)), F.lit(n - 1))
+    binned = placed.groupBy(*keys, index.cast("int").alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), F.first("_b.lo").alias("_lo"), F.first(width).alias("_w")
     )
     return binned.select(

@@ -19,7 +19,11 @@ def event_time(df: DataFrame, column: str) -> DataFrame:
 
 
 def with_lateness(df: DataFrame, ts: str, delay: str = "10 minutes") -> DataFrame:
-    """Watermark: state is kept, and rows accepted, up to ``delay`` behind the newest event of earlier batches."""
+    """Watermark: state is kept, and rows accepted, up to ``delay`` behind the newest event of earlier batches.
+
+    A batch frame passes through unchanged. In a stream a late row is judged by the
+    watermark that the batch before started with.
+    """
     df = event_time(df, ts)
     return df.withWatermark(ts, delay) if df.isStreaming else df
 
