@@ -19,9 +19,8 @@ def decode_cdc(df: DataFrame, column: str = "value") -> DataFrame:
     """
     schema = T.StructType([*CHANGE_ENVELOPE.fields, T.StructField("_corrupt_record", T.StringType())])
     parsed = F.from_json(F.col(column).cast("string"), schema, _PARSE)
-    return df.withColumn("_m", parsed).withColumns(
-        {"payload": F.col("_m.payload"), "_corrupt_record": F.col("_m._corrupt_record")}
-    ).drop("_m")
+    # generated columns: a later filter on them is not pushed below, where it would parse the text a second time
+    return df.select("*", F.inline(F.array(parsed)))
 
 
 def valid_cdc(decoded: DataFrame) -> DataFrame:

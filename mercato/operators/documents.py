@@ -116,7 +116,7 @@ def embed(
     sized = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > part_items)
     # at most rows / part_items keys; the planner decides by size how to join them
     numbered = df.withColumn("_spot", F.spark_partition_id()).join(sized, key, "left")
-    spread = F.pmod(F.xxhash64(*df.columns) + F.col("_spot"), F.ceil(F.col("_n") / F.lit(part_items)))
+    spread = F.pmod(F.xxhash64(*order) + F.col("_spot"), F.ceil(F.col("_n") / F.lit(part_items)))
     return (
         numbered.withColumn("part", F.coalesce(spread, F.lit(0)).cast("int"))
         .groupBy(key, "part")
@@ -156,7 +156,7 @@ def order_analytics(
     )
     score = reviews.groupBy("order_id").agg(F.max("score").alias("review_score"))
     return (
-        skew_join(orders, customers.select("customer_id", "customer_state", "customer_city"), ["customer_id"], "left")
+        skew_join(orders, customers.select("customer_id", "customer_state", "customer_city"), ["customer_id"], "left", spread_by=["order_id"])
         .join(totals, "order_id", "left")
         .join(payment_summary(payments), "order_id", "left")
         .join(score, "order_id", "left")

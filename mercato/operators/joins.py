@@ -7,13 +7,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mercato.operators.skew import BROADCAST_BYTES, plan_bytes, skew_join
+from mercato.operators.skew import BROADCAST_BYTES, fits, skew_join
 
 def dim_join(
-    facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "inner", max_bytes: int = BROADCAST_BYTES
+    facts: DataFrame,
+    dim: DataFrame,
+    keys: list[str],
+    how: str = "inner",
+    max_bytes: int = BROADCAST_BYTES,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """Join a dimension: broadcast when its estimated size is under ``max_bytes``, else the salted shuffle join."""
-    return skew_join(facts, dim, keys, how, max_bytes=max_bytes)
+    """Join a dimension: broadcast when it is known to be under ``max_bytes``, else the salted shuffle join."""
+    return skew_join(facts, dim, keys, how, max_bytes=max_bytes, spread_by=spread_by)
 
 
 def merge_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -24,7 +29,8 @@ def merge_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
 def items_enriched(items: DataFrame, products: DataFrame, translations: DataFrame, how: str = "inner") -> DataFrame:
     """items ⋈ products ⋈ translations. With ``inner`` a product without a translated category drops out, and its
     revenue with it; ``left`` keeps it with a null name."""
-    return dim_join(dim_join(items, products, ["product_id"], how), translations, ["category"], how)
+    named = dim_join(items, products, ["product_id"], how, spread_by=["order_id"])
+    return dim_join(named, translations, ["category"], how, spread_by=["order_id"])
 
 
 def star(
@@ -34,9 +40,10 @@ def star(
 
     Dimensions join the item side first, so the one big shuffle (on order_id) happens once.
     """
-    lines = dim_join(dim_join(items, products, ["product_id"]), sellers, ["seller_id"])
-    buyers = dim_join(orders, customers, ["customer_id"])
-    return lines.join(buyers, ["order_id"])
+    lines = dim_join(items, products, ["product_id"], spread_by=["order_id"])
+    lines = dim_join(lines, sellers, ["seller_id"], spread_by=["order_id"])
+    buyers = dim_join(orders, customers, ["customer_id"], spread_by=["order_id"])
+    return skew_join(lines, buyers, ["order_id"], spread_by=["product_id"])
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
@@ -60,7 +67,7 @@ def with_geo(df: DataFrame, centroids: DataFrame, zip_col: str) -> DataFrame:
 def enrich(stream: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
     """Left join of a stream (or a batch) with static reference data, one dimension row per key."""
     if stream.isStreaming:
-        dim = F.broadcast(dim) if plan_bytes(dim) <= BROADCAST_BYTES else dim
+        dim = F.broadcast(dim) if fits(dim) else dim
         return stream.join(dim, keys, "left")
     return dim_join(stream, dim, keys, "left")
 

@@ -40,6 +40,22 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a frame is small enough to broadcast.
+
+    The optimizer multiplies the sizes of joined tables, so a small dimension made of two tables looks big. When the
+    files below are small as well, its rows are counted, stopping at the bound.
+    """
+    if plan_bytes(df) <= max_bytes:
+        return True
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    scanned = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if scanned > max_bytes:
+        return False
+    most = max_bytes // max(1, df._jdf.schema().defaultSize())
+    return df.limit(most + 1).count() <= most
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -48,6 +64,7 @@ def skew_join(
     rows_per_task: int = ROWS_PER_TASK,
     max_bytes: int = BROADCAST_BYTES,
     hot: DataFrame | None = None,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Equi-join that stays balanced when one key holds a large share of ``left``.
 
@@ -59,10 +76,10 @@ def skew_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join cannot repeat the right side of a {how} join")
-    if plan_bytes(right) <= max_bytes:
+    if fits(right, max_bytes):
         return left.join(F.broadcast(right), keys, how)
     hot = hot_keys(left, keys, rows_per_task) if hot is None else hot
-    spread = F.pmod(F.xxhash64(*left.columns) + F.col("_spread"), F.coalesce(F.col("_parts"), F.lit(64)))
+    spread = F.pmod(F.xxhash64(*(spread_by or left.columns)) + F.col("_spread"), F.coalesce(F.col("_parts"), F.lit(64)))
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     salted_left = (
         left.withColumn("_spread", F.spark_partition_id())

@@ -41,8 +41,8 @@ def _image(customer: Column, status: Column, micros: Column, key: Column) -> Col
 
 
 def order_feed(spark: SparkSession, sf: str) -> DataFrame:
-    """(topic, kafka_offset, value): change messages for every order."""
-    df = t.orders(spark, sf)
+    """(topic, kafka_offset, value): change messages for every order, partitioned by key as a topic is."""
+    df = t.orders(spark, sf).select("order_id", "customer_id", "status", "order_date").repartition("order_id")
     key, customer, none = F.col("order_id").cast("string"), F.col("customer_id").cast("string"), F.lit(None).cast("string")
     micros = (F.unix_micros(F.col("order_date").cast("timestamp")) + 123456).cast("string")
     at = F.unix_millis(F.col("order_date").cast("timestamp"))

@@ -15,7 +15,7 @@ from mercato.plans.registry import query, text, total
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
     """Items with their product's category and kind."""
-    return dim_join(t.items(spark, sf), t.products(spark, sf).select("product_id", "category", "kind"), ["product_id"])
+    return dim_join(t.items(spark, sf), t.products(spark, sf).select("product_id", "category", "kind"), ["product_id"], spread_by=["order_id"])
 
 
 @query(
@@ -48,7 +48,7 @@ def agg2_revenue_by_category(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def agg3_revenue_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    sales = skew_join(_lines(spark, sf), t.orders(spark, sf).select("order_id", "customer_id", "order_date"), ["order_id"])
+    sales = skew_join(_lines(spark, sf), t.orders(spark, sf).select("order_id", "customer_id", "order_date"), ["order_id"], spread_by=["product_id"])
     sales = shaping.with_calendar(sales, "order_date")
     return metrics.revenue_metrics(sales, ["category", "year_month"], "price", "order_id", "customer_id")
 
@@ -96,7 +96,7 @@ def agg5_product_performance(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def agg6_revenue_by_region_kind_year(spark: SparkSession, sf: str) -> DataFrame:
-    df = dim_join(_lines(spark, sf), t.sellers(spark, sf), ["seller_id"]).withColumn("year", F.year("ship_date"))
+    df = dim_join(_lines(spark, sf), t.sellers(spark, sf), ["seller_id"], spread_by=["order_id"]).withColumn("year", F.year("ship_date"))
     return metrics.revenue_by(df, ["seller_state", "kind", "year"])
 
 
@@ -181,7 +181,7 @@ _PAY = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
 
 
 def _state_payments(spark: SparkSession, sf: str) -> DataFrame:
-    return dim_join(t.payments(spark, sf), t.customers(spark, sf).select("customer_id", "customer_state"), ["customer_id"])
+    return dim_join(t.payments(spark, sf), t.customers(spark, sf).select("customer_id", "customer_state"), ["customer_id"], spread_by=["order_id"])
 
 
 @query(
@@ -220,7 +220,7 @@ _YEARS = list(range(1995, 2002))
     """
 )
 def agg12_category_year_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    sales = skew_join(_lines(spark, sf), t.orders(spark, sf).select("order_id", "order_date"), ["order_id"])
+    sales = skew_join(_lines(spark, sf), t.orders(spark, sf).select("order_id", "order_date"), ["order_id"], spread_by=["product_id"])
     counts = sales.groupBy("category", F.year("order_date").alias("year")).agg(F.count(F.lit(1)).alias("n"))
     return metrics.pivot_any(counts, ["category"], "year", _YEARS, F.sum("n")).fillna(0)
 
@@ -240,7 +240,7 @@ def agg12_payment_distribution(spark: SparkSession, sf: str) -> DataFrame:
 )
 def agg13_weighted_rating(spark: SparkSession, sf: str) -> DataFrame:
     known = t.reviews(spark, sf).select("order_id", F.when(F.col("score") > 1, F.col("score")).alias("score"))
-    rated = skew_join(_lines(spark, sf), known, ["order_id"])
+    rated = skew_join(_lines(spark, sf), known, ["order_id"], spread_by=["product_id"])
     found = metrics.weighted_rating(rated, ["category"], "score", "quantity")
     return found.withColumn("weighted_rating", F.round("weighted_rating", 8))
 
@@ -331,7 +331,7 @@ def agg17_clv_trend(spark: SparkSession, sf: str) -> DataFrame:
 )
 def agg18_delivery_metrics(spark: SparkSession, sf: str) -> DataFrame:
     df = metrics.deliveries(t.orders(spark, sf), t.items(spark, sf))
-    df = dim_join(df, t.customers(spark, sf).select("customer_id", "customer_state"), ["customer_id"])
+    df = dim_join(df, t.customers(spark, sf).select("customer_id", "customer_state"), ["customer_id"], spread_by=["order_id"])
     return metrics.delivery_metrics(df, ["customer_state"], "order_date", "estimated", "actual")
 
 

@@ -12,7 +12,7 @@ from mercato.plans.registry import query, total
 
 
 def _category_months(spark: SparkSession, sf: str) -> DataFrame:
-    lines = dim_join(t.items(spark, sf), t.products(spark, sf).select("product_id", "category"), ["product_id"])
+    lines = dim_join(t.items(spark, sf), t.products(spark, sf).select("product_id", "category"), ["product_id"], spread_by=["order_id"])
     return metrics.revenue_by(shaping.with_calendar(lines, "ship_date"), ["category", "year_month"])
 
 

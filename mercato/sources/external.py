@@ -90,9 +90,8 @@ def parse_json(df: DataFrame, schema: T.StructType, column: str = "value") -> Da
     with_corrupt = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     parsed = F.from_json(F.col(column).cast("string"), with_corrupt, options)
-    return df.select(*[c for c in df.columns if c != column], parsed.alias("data")).select(
-        *[c for c in df.columns if c != column], "data.*"
-    )
+    # generated columns: a later filter on them is not pushed below, where it would parse the text a second time
+    return df.select(*[c for c in df.columns if c != column], F.inline(F.array(parsed)))
 
 
 def route(df: DataFrame, topic: str) -> DataFrame:
