@@ -13,7 +13,7 @@ from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringInd
 from pyspark.ml.fpm import FPGrowth, FPGrowthModel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.scalar import days_late, money
@@ -70,9 +70,9 @@ def write_features(df: DataFrame, root: str, name: str, version: str, note: str
     return path
 
 
-def read_features(df_session, root: str, name: str, version: str) -> DataFrame:
+def read_features(spark: SparkSession, root: str, name: str, version: str) -> DataFrame:
     """One version of a feature table; other versions are pruned at the directory level."""
-    table = df_session.read.parquet(f"{root.rstrip('/')}/features/{name}")
+    table = spark.read.parquet(f"{root.rstrip('/')}/features/{name}")
     return table.filter(F.col("version") == version).drop("version")
 
 

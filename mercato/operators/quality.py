@@ -194,7 +194,10 @@ def histogram(df: DataFrame, column: str, n: int, keys: list[str] | None = None)
 
 
 def html_report(reports: dict[str, DataFrame], path: str, generated: datetime | None = None) -> str:
-    """Render report tables (one row per column or a short sample, so small by construction) to an HTML file."""
+    """Render report tables (one row per column or a short sample, so small by construction) to an HTML file.
+
+    The file goes through the session's file system, so the path may be on an object store.
+    """
     parts = ["<html><head><title>Data quality</title></head><body><h1>Data quality</h1>"]
     parts.append(f"<p>{(generated or datetime.now(timezone.utc)).isoformat(timespec='seconds')}</p>")
     for title, report in reports.items():
@@ -205,8 +208,13 @@ def html_report(reports: dict[str, DataFrame], path: str, generated: datetime |
             parts.append("<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in row) + "</tr>")
         parts.append("</table>")
     parts.append("</body></html>")
-    with open(path, "w", encoding="utf-8") as f:
-        f.write("\n".join(parts))
+    spark = next(iter(reports.values())).sparkSession
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(target, True)
+    try:
+        out.write(bytearray("\n".join(parts), "utf-8"))
+    finally:
+        out.close()
     return path
 
 

@@ -162,16 +162,13 @@ def doc5_find_in_embedded_items(spark: SparkSession, sf: str) -> DataFrame:
 )
 def dq6_html_report(spark: SparkSession, sf: str) -> DataFrame:
     """Writes the report of the orders table and returns how many rows each section has."""
-    import tempfile
-
     df = t.raw(spark, sf, "orders")
     sections = {
         "nulls": quality.null_report(df),
         "duplicates": quality.duplicate_report(df),
         "outliers": quality.outlier_report(df),
     }
-    with tempfile.NamedTemporaryFile(suffix=".html") as f:
-        quality.html_report(sections, f.name)
+    quality.html_report(sections, scratch_path(spark, "report") + ".html")
     rows = [d.agg(F.lit(n).alias("section"), F.count(F.lit(1)).alias("report_rows")) for n, d in sections.items()]
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 

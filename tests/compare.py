@@ -35,6 +35,15 @@ def _rows(columns: list[str], data: list) -> list[tuple]:
     return sorted((tuple(_plain(r[i]) for i in order) for r in data), key=repr)
 
 
+# DuckDB type → Spark type
+_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean", "FLOAT": "float"}
+
+
+def type_difference(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> dict:
+    theirs = {r[0]: _TYPES.get(r[1], r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (k, theirs[c]) for c, k in df.dtypes if theirs.get(c) != k}
+
+
 def difference(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None when both engines agree on names, types and values; else what differs."""
     found = con.execute(sql)
@@ -67,6 +76,8 @@ if __name__ == "__main__":
             df = fn(spark, sf)
             problem = difference(df, con, oracles[name]) if name in oracles else None
             n = "" if name in oracles else f"rows-only {df.count()}"
+            if name in oracles and (odd := type_difference(df, con, oracles[name])):
+                n += f"TYPES {odd}"
         except Exception as e:  # noqa: BLE001
             problem, n = f"{type(e).__name__}: {str(e)[:700]}", ""
         bad += problem is not None
