@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mercato.session import configure
+
 FORMATS = ("parquet", "orc", "csv", "json")
 
 
@@ -70,9 +74,17 @@ def bulk_insert(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     The count is observed while writing, so the input is scanned once. The write is all or nothing, and the count is
     of rows really stored (a client that adds 0 for a partly failed batch would report fewer).
     """
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").format(fmt).save(path)
-    return seen.get["n"]
+    spark, name = df.sparkSession, f"bulk_{uuid.uuid4().hex}"
+    # a session that has observed anything can no longer ship closures that hold it, as some fitted models do; so the
+    # observing is left to a side session
+    df.createGlobalTempView(name)
+    try:
+        seen = Observation()
+        rows = configure(spark.newSession()).table(f"global_temp.{name}")
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").format(fmt).save(path)
+        return seen.get["n"]
+    finally:
+        spark.catalog.dropGlobalTempView(name)
 
 
 def messages(df: DataFrame, value: Column | str, key: Column | str | None = None) -> DataFrame:

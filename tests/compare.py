@@ -79,7 +79,8 @@ if __name__ == "__main__":
             if name in oracles and (odd := type_difference(df, con, oracles[name])):
                 n += f"TYPES {odd}"
         except Exception as e:  # noqa: BLE001
-            problem, n = f"{type(e).__name__}: {str(e)[:3000]}", ""
+            causes = [line.strip() for line in str(e).splitlines() if line.startswith("Caused by")]
+            problem, n = f"{type(e).__name__}: {str(e)[:400]} {causes}", ""
         bad += problem is not None
         print(f"{'BAD' if problem else 'ok '} {name} {time.time() - start:.1f}s {n} {problem or ''}", flush=True)
     print("bad:", bad)

@@ -278,3 +278,16 @@ def test_tiers_keep_undated_rows_hot(spark):
     df = spark.createDataFrame([("2020-01-01",), ("2024-01-01",), (None,)], "d string").select(F.col("d").cast("date"))
     hot, cold = sinks.tier_split(df, "d", F.lit("2023-01-01").cast("date"))
     assert hot.count() == 2 and cold.count() == 1
+
+
+def test_models_still_work_after_bulk_insert(spark, tmp_path):
+    """Observing rows must not leave anything in the session that a model cannot ship to its tasks."""
+    from mercato.operators import ml
+
+    df = spark.createDataFrame([(i, float(i % 7), i % 2) for i in range(60)], "id int, a double, label int")
+    assert sinks.bulk_insert(df, str(tmp_path / "bulk")) == 60
+    assert sinks.bulk_insert(df, str(tmp_path / "bulk")) == 60
+    assert spark.read.parquet(str(tmp_path / "bulk")).count() == 120
+    model = ml.fit_forest(df, ["a"], trees=3)
+    assert ml.score(model, df, ["a"], "id", "p").count() == 60
+    assert 0 <= ml.classifier_metrics(model, df, ["a"])["auc"] <= 1
