@@ -21,10 +21,10 @@ GRID = 1024  # cells of the unit interval by which points find their source
 GOLDEN, PERIOD = 1327217885, 1 << 31
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """(uid, doc_id, source, size), stored; size is the number of words, 0 for null text. ``docs`` may bring its uid."""
+def sized(docs: DataFrame, uid: Column | None = None) -> DataFrame:
+    """(uid, doc_id, source, size), stored; size is the number of words, 0 for null text."""
     size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    uid = F.col("uid") if "uid" in docs.columns else F.monotonically_increasing_id()
+    uid = F.monotonically_increasing_id() if uid is None else uid
     source = F.col("source").cast("string")
     return store(docs.select(uid.alias("uid"), "doc_id", source.alias("source"), size.alias("size")), "mix-sizes")
 
@@ -172,13 +172,13 @@ def mixed_documents(docs: DataFrame, *, block_words: int = BLOCK_WORDS) -> DataF
 
     A pass takes a document's leading words, all of them but where a source's target ends. ``n_chars`` follows the text.
     """
-    kept = store(docs.withColumn("uid", F.monotonically_increasing_id()), "mix-docs")
-    sizes = sized(kept)
+    kept = store(docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("uid")), "mix-docs")
+    sizes = sized(kept.select("uid", "row.doc_id", "row.source", "row.text"), F.col("uid"))
     plan = store(targets(sizes), "mix-plan")
     passes = mixed_pieces(sizes, plan, block_words=block_words).groupBy("uid", "pass").agg(F.sum("words").alias("taken"))
-    passes = passes.join(sizes.select("uid", "size"), "uid")
-    text = F.when(F.col("taken") < F.col("size"), _leading_words(F.col("text"), F.col("taken"))).otherwise(F.col("text"))
-    out = kept.join(passes, "uid").withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    passes = passes.join(sizes.select("uid", F.col("size").alias("whole")), "uid")
+    full = F.col("row.text")
+    text = F.when(F.col("taken") < F.col("whole"), _leading_words(full, F.col("taken"))).otherwise(full)
+    new = {"text": text, "n_chars": F.char_length(text)}
+    cells = [new[c].cast(docs.schema[c].dataType) if c in new else F.col(f"row.`{c}`") for c in docs.columns]
+    return kept.join(passes, "uid").select(*[cell.alias(c) for cell, c in zip(cells, docs.columns, strict=True)])

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import mixing, sharding
-from mercato.session import configure
+from mercato.llm import langid, mixing, packing, pii, sharding, topk, warc
+from mercato.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +35,33 @@ def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    out = warc.read_archives(spark, path, with_payload=False)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "status")
+
+
+@_query
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op3_pack_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = langid.identify(docs, langid.fit(docs))
+    return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
