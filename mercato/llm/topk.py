@@ -64,7 +64,7 @@ class _Best:
         self.k = k
         self.floor = floor  # scores below it cannot be among the k best
         n = len(floor)
-        self.score = np.full((n, k), np.iinfo(np.int64).min)
+        self.score = np.full((n, k), np.iinfo(np.int64).min // 2)  # half, so that it can be negated
         self.id = np.full((n, k), np.iinfo(np.int64).max)
 
     def add(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
