@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # rows of long text go to Python a few megabytes at a time
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # sessions of one key are merged map-side before the shuffle
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
