@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import langid, mixing, packing, pii, sharding, topk, warc
+from mercato.llm import fingerprints, langid, mixing, neardup, packing, pii, sharding, topk, warc
 from mercato.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,13 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = langid.identify(docs, langid.fit(docs))
     return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), width=4)
+
+
+@_query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprinted(_table(spark, sf_dir, "documents"))
