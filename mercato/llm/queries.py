@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import fingerprints, langid, mixing, neardup, packing, pii, sharding, topk, warc
+from mercato.llm import fingerprints, langid, mixing, neardup, packing, pii, sharding, suffixes, topk, warc
 from mercato.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprinted(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
