@@ -108,6 +108,14 @@ def sentiment_label(score: Column | str) -> Column:
     return F.when(score > 0, "positive").when(score < 0, "negative").when(score == 0, "neutral")
 
 
-def money(c: Column | str) -> Column:
-    """Two-decimal exact number; sums of it do not depend on the order of rows."""
-    return _col(c).cast("decimal(18,2)")
+MONEY_SCALE = 6
+
+
+def money(c: Column | str, scale: int = MONEY_SCALE) -> Column:
+    """An amount as an exact number of ``scale`` decimals; sums of it do not depend on the order of rows.
+
+    Eighteen digits stand before the point. An amount that is not a number is refused: it would silently vanish from sums.
+    """
+    c = _col(c)
+    refuse = F.raise_error(F.lit("an amount is not a number")).cast(f"decimal({18 + scale},{scale})")
+    return F.when(F.isnan(c.cast("double")), refuse).otherwise(c.cast(f"decimal({18 + scale},{scale})"))

@@ -45,7 +45,8 @@ def delete(df: DataFrame, predicate: Column, first_by: list[str] | None = None)
 def _merge_frame(table: DataFrame, rows: DataFrame, keys: list[str], seq: str | None, given: str | None) -> DataFrame:
     """Fold the incoming rows per key, field by field, and put them beside the stored document."""
     fields = [c for c in rows.columns if c not in keys and c not in (seq, given)]
-    order = F.col(seq) if seq else F.lit(0)
+    # rows that tie, or have no order at all, are ranked as whole rows: values of two rows are never mixed
+    order = F.struct(F.col(seq) if seq else F.lit(0), F.to_json(F.struct(*rows.columns)))
     aggregates = [F.count(F.lit(1)).alias("_ops")]
     for c in fields:
         present = F.array_contains(given, c) if given else F.lit(True)
@@ -63,7 +64,8 @@ def upsert(
 ) -> tuple[DataFrame, DataFrame] | None:
     """Bulk upsert with merge: a field named by a row overwrites, also with null; other fields survive.
 
-    ``seq`` orders rows of the same key (later wins per field). ``given`` is an optional array column with the names of
+    ``seq`` orders rows of the same key (later wins per field); of rows that tie, or without ``seq``, one is taken whole,
+    the same on every run. ``given`` is an optional array column with the names of
     the fields a row carries; without it a row carries all its columns. Rows that lack a key are rejected, as their
     query would match an arbitrary document. No rows at all give None.
 
@@ -102,26 +104,37 @@ def upsert(
 
 # --- read models -------------------------------------------------------------------------------------------------
 
-PART_ITEMS = 10_000
+PART_ITEMS = 10_000  # item numbers that share a document
+
+
+def part_of(number: Column | str, part_items: int = PART_ITEMS) -> Column:
+    """The part of a document that the child with this number (from 1) is in: one rule, whatever the document's size."""
+    number = F.col(number) if isinstance(number, str) else number
+    return F.coalesce(F.floor((number - 1) / F.lit(part_items)), F.lit(0)).cast("int")
 
 
 def embed(
-    df: DataFrame, key: str, element: Column, order: list[str], name: str, part_items: int = PART_ITEMS
+    df: DataFrame,
+    key: str,
+    element: Column,
+    order: list[str],
+    name: str,
+    number: Column | str,
+    part_items: int = PART_ITEMS,
+    **sums: Column,
 ) -> DataFrame:
-    """Sorted array of child structs per key, cut into documents of bounded size.
+    """Sorted array of child structs per key and part, with aggregates of the same rows on request.
 
-    A document store refuses unlimited documents and a task cannot hold an unlimited group, so a key with more than
-    about ``part_items`` children continues in parts 1, 2, … Ordinary keys have part 0 only. Every child is kept.
+    A document store refuses unlimited documents and a task cannot hold an unlimited group, so children numbered 1 to
+    ``part_items`` are in part 0, the next ones in part 1, and so on. Every child is kept; the part follows from its
+    number alone, so it is the same on every partitioning.
     """
-    sized = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > part_items)
-    # at most rows / part_items keys; the planner decides by size how to join them
-    numbered = df.withColumn("_spot", F.spark_partition_id()).join(sized, key, "left")
-    spread = F.pmod(F.xxhash64(*order) + F.col("_spot"), F.ceil(F.col("_n") / F.lit(part_items)))
+    placed = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], element.alias("e"))
     return (
-        numbered.withColumn("part", F.coalesce(spread, F.lit(0)).cast("int"))
+        df.withColumn("part", part_of(number, part_items))
         .groupBy(key, "part")
-        .agg(F.sort_array(F.collect_list(F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], element.alias("e")))).alias("_a"))
-        .select(key, "part", F.transform("_a", lambda x: x["e"]).alias(name))
+        .agg(F.sort_array(F.collect_list(placed)).alias("_a"), *[c.alias(n) for n, c in sums.items()])
+        .select(key, "part", F.transform("_a", lambda x: x["e"]).alias(name), *sums)
     )
 
 
@@ -134,10 +147,17 @@ def payment_summary(payments: DataFrame) -> DataFrame:
 
 
 def order_analytics(
-    orders: DataFrame, customers: DataFrame, lines: DataFrame, payments: DataFrame, reviews: DataFrame
+    orders: DataFrame,
+    customers: DataFrame,
+    lines: DataFrame,
+    payments: DataFrame,
+    reviews: DataFrame,
+    number: str = "item_no",
 ) -> DataFrame:
     """Order analytics documents, one row per order (and part, for an order with very many items).
 
+    The totals of an order stand on its first part only, so that a sum over documents counts them once.
+
     Every child table is reduced to one row per order before it is joined, so items and payments do not multiply each
     other. ``lines``: order_id, product_id, category, seller_id, price, freight; ``orders`` also has status, order_date,
     estimated and actual.
@@ -150,21 +170,27 @@ def order_analytics(
         F.col("price"),
         F.col("freight").alias("freightValue"),
     )
-    items = embed(lines, "order_id", item, ["product_id", "seller_id", "price", "freight"], "items")
-    totals = lines.groupBy("order_id").agg(
-        F.sum(money("price")).alias("total_item_value"), F.count(F.lit(1)).cast("int").alias("item_count")
+    items = embed(
+        lines, "order_id", item, ["product_id", "seller_id", "price", "freight"], "items", number,
+        value=F.sum(money("price")), n=F.count(F.lit(1)),
+    )
+    totals = items.groupBy("order_id").agg(
+        F.min("part").alias("head"), F.sum("value").alias("total_item_value"), F.sum("n").cast("int").alias("item_count")
     )
     score = reviews.groupBy("order_id").agg(F.max("score").alias("review_score"))
+    totalled = ("total_item_value", "item_count", "total_payment_value")
     return (
         skew_join(orders, customers.select("customer_id", "customer_state", "customer_city"), ["customer_id"], "left", spread_by=["order_id"])
         .join(totals, "order_id", "left")
         .join(payment_summary(payments), "order_id", "left")
         .join(score, "order_id", "left")
-        .join(items, "order_id", "left")
+        .join(items.drop("value", "n"), "order_id", "left")
+        .withColumn("part", F.coalesce("part", F.lit(0)))
+        .withColumns({c: F.when(F.coalesce(F.col("part") == F.col("head"), F.lit(True)), F.col(c)) for c in totalled})
         .withColumn("delivery_delay_days", delay_days("estimated", "actual"))
         .select(
             F.col("order_id").alias("orderId"),
-            F.coalesce("part", F.lit(0)).alias("part"),
+            "part",
             F.col("customer_id").alias("customerId"),
             F.col("customer_state").alias("customerState"),
             F.col("customer_city").alias("customerCity"),
@@ -192,9 +218,12 @@ def order_doc(
     payment_fields: list[str],
     review_fields: list[str],
 ) -> DataFrame:
-    """Order documents with embedded items[], payments[] and the latest review (review fields order by the first)."""
-    items_part = embed(items, "order_id", F.struct(*item_fields), item_fields, "items")
-    pays = embed(payments, "order_id", F.struct(*payment_fields), payment_fields, "payments")
+    """Order documents with embedded items[], payments[] and the latest review (review fields order by the first).
+
+    The first item field and the first payment field are the numbers within the order, from 1.
+    """
+    items_part = embed(items, "order_id", F.struct(*item_fields), item_fields, "items", item_fields[0])
+    pays = embed(payments, "order_id", F.struct(*payment_fields), payment_fields, "payments", payment_fields[0])
     review = reviews.groupBy("order_id").agg(F.max(F.struct(*review_fields)).alias("review"))
     # items and payments meet part by part; a part present on one side only keeps the other array null
     children = items_part.join(pays, ["order_id", "part"], "full_outer")

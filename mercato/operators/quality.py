@@ -102,9 +102,13 @@ def outlier_report(df: DataFrame) -> DataFrame:
 def iqr_anomalies(df: DataFrame, column: str, eps: float = 0.01) -> DataFrame:
     """Rows outside the IQR bounds of approximate quartiles (relative rank error ``eps``).
 
-    The quantile sketches merge, so one pass of constant memory finds two numbers for the driver.
+    The quantile sketches merge, so one pass of constant memory finds two numbers for the driver. A column without values
+    has no bounds and so no anomalies.
     """
-    q1, q3 = df.approxQuantile(column, [0.25, 0.75], eps)
+    quartiles = df.approxQuantile(column, [0.25, 0.75], eps)
+    if not quartiles:
+        return df.filter(F.lit(False))
+    q1, q3 = quartiles
     spread = q3 - q1
     return df.filter((F.col(column) < q1 - 1.5 * spread) | (F.col(column) > q3 + 1.5 * spread))
 

@@ -15,22 +15,19 @@ from pyspark.sql import types as T
 from mercato.session import pin
 
 ROWS_PER_TASK = 1_000_000
-MAX_HOT_KEYS = 10_000
 BROADCAST_BYTES = 10 * 1024 * 1024
 
 
 def hot_keys(df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys with more rows than one task should take, and into how many parts each must be split.
+    """Every key with more rows than one task should take, and into how many parts each must be split.
 
-    At most ``MAX_HOT_KEYS`` rows, so the result can be broadcast: a key that misses the list holds under
-    1/``MAX_HOT_KEYS`` of the table. The count combines map-side.
+    There are at most rows / ``rows_per_task`` of them, so the planner chooses how to join the list. The count combines
+    map-side.
     """
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > rows_per_task)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HOT_KEYS)
         .select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_parts"))
     )
 
@@ -61,35 +58,43 @@ def skew_join(
     right: DataFrame,
     keys: list[str],
     how: str = "inner",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
     max_bytes: int = BROADCAST_BYTES,
     hot: DataFrame | None = None,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Equi-join that stays balanced when one key holds a large share of ``left``.
 
-    A right side whose estimated size is at most ``max_bytes`` is broadcast, and nothing is shuffled. Otherwise the hot
-    keys of ``left`` are cut into parts by a hash of the row and the number of the partition it was read from, so even
-    identical copies spread and a retried task makes the same choice; ``right`` rows of those keys are repeated once per
-    part, and all other rows keep part 0. ``how``: inner, left, left_semi or left_anti. A loop that joins the same left
-    side again passes its ``hot`` keys so that they are found once.
+    A right side whose estimated size is at most ``max_bytes`` is broadcast, and nothing is shuffled. Otherwise each side
+    is planned and shuffled once, and adaptive execution splits the partitions that turn out skewed.
+
+    Where that cannot help (another operator needs the join's partitioning, or the left side is joined again and again in
+    a loop), give the ``hot`` keys of ``left`` from ``hot_keys``, pinned, or ``rows_per_task`` to have them found here:
+    their rows are cut into parts by a hash of the row and the number of the partition it was read from, so even
+    identical copies spread and a retried task makes the same choice, and ``right`` rows of those keys are repeated once
+    per part. ``how``: inner, left, left_semi or left_anti. Rows without a key are dropped before the shuffle where they
+    cannot be in the result, and else spread like a hot key.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join cannot repeat the right side of a {how} join")
     if fits(right, max_bytes):
         return left.join(F.broadcast(right), keys, how)
+    if hot is None and rows_per_task is None:
+        return left.join(right, keys, how)
     hot = hot_keys(left, keys, rows_per_task) if hot is None else hot
-    spread = F.pmod(F.xxhash64(*(spread_by or left.columns)) + F.col("_spread"), F.coalesce(F.col("_parts"), F.lit(64)))
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    if how in ("inner", "left_semi"):
+        left = left.filter(~no_key)
+    partitions = F.lit(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = F.pmod(F.xxhash64(*(spread_by or left.columns)) + F.col("_spread"), F.coalesce(F.col("_parts"), partitions))
     salted_left = (
         left.withColumn("_spread", F.spark_partition_id())
-        .join(F.broadcast(hot), keys, "left")
-        # rows without a key match nothing, so they may go anywhere
+        .join(hot, keys, "left")
         .withColumn("_part", F.when(no_key | F.col("_parts").isNotNull(), spread).otherwise(0).cast("int"))
         .drop("_parts", "_spread")
     )
     salted_right = (
-        right.join(F.broadcast(hot), keys, "left")
+        right.join(hot, keys, "left")
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts") - 1, F.lit(0)))))
         .drop("_parts")
     )

@@ -9,24 +9,29 @@ from mercato.operators import metrics, quality
 from mercato.plans import tables as t
 from mercato.plans.registry import query, total
 
-_GAPS = "gaps AS (SELECT nullif(l_discount, 0.0) AS discount, nullif(l_returnflag, 'R') AS return_flag, CASE WHEN l_tax = 0 THEN 'NaN'::DOUBLE ELSE l_tax END AS tax FROM lineitem)"
+# the item table with gaps: nulls in a number and a text column, NaN in another number column
+_GAP_SQL = {"l_discount": "nullif(l_discount, 0.0)", "l_returnflag": "nullif(l_returnflag, 'R')", "l_tax": "CASE WHEN l_tax = 0 THEN 'NaN'::DOUBLE ELSE l_tax END"}
+_LINE_COLUMNS = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate".split()
 
 
 def _gaps(spark: SparkSession, sf: str) -> DataFrame:
-    return t.raw(spark, sf, "lineitem").select(
-        F.nullif("l_discount", F.lit(0.0)).alias("discount"),
-        F.nullif("l_returnflag", F.lit("R")).alias("return_flag"),
-        F.when(F.col("l_tax") == 0, F.lit(float("nan"))).otherwise(F.col("l_tax")).alias("tax"),
+    return t.raw(spark, sf, "lineitem").withColumns(
+        {
+            "l_discount": F.nullif("l_discount", F.lit(0.0)),
+            "l_returnflag": F.nullif("l_returnflag", F.lit("R")),
+            "l_tax": F.when(F.col("l_tax") == 0, F.lit(float("nan"))).otherwise(F.col("l_tax")),
+        }
     )
 
 
+def _nulls_sql(c: str) -> str:
+    missing = f"{c} IS NULL" + f" OR isnan({c})" * (c == "l_tax")
+    return f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {missing}) AS null_count, count(*) FILTER (WHERE {missing}) / count(*) * 100 AS null_percent FROM gaps"
+
+
 @query(
-    f"""
-    WITH {_GAPS}, c AS (SELECT count(*) AS n, count(*) FILTER (WHERE discount IS NULL) AS d, count(*) FILTER (WHERE return_flag IS NULL) AS r,
-      count(*) FILTER (WHERE tax IS NULL OR isnan(tax)) AS t FROM gaps)
-    SELECT 'discount' AS column_name, d AS null_count, d / n * 100 AS null_percent FROM c
-    UNION ALL SELECT 'return_flag', r, r / n * 100 FROM c UNION ALL SELECT 'tax', t, t / n * 100 FROM c
-    """
+    "WITH gaps AS (SELECT * REPLACE (" + ", ".join(f"{e} AS {c}" for c, e in _GAP_SQL.items()) + ") FROM lineitem) "
+    + " UNION ALL ".join(map(_nulls_sql, _LINE_COLUMNS))
 )
 def dq1_null_report(spark: SparkSession, sf: str) -> DataFrame:
     return quality.null_report(_gaps(spark, sf))
@@ -34,12 +39,15 @@ def dq1_null_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    WITH g AS (SELECT l_returnflag, l_linestatus, l_quantity, l_shipdate, count(*) AS n FROM lineitem GROUP BY ALL)
+    WITH g AS (SELECT *, count(*) AS n FROM (SELECT * REPLACE (l_orderkey % 1000 AS l_orderkey, 0 AS l_partkey, 0 AS l_suppkey, 0.0 AS l_extendedprice,
+      TIMESTAMP '1998-01-01' AS l_shipdate) FROM lineitem) GROUP BY ALL)
     SELECT CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS distinct_rows, CAST(sum(n - 1) AS BIGINT) AS total_duplicates FROM g
     """
 )
 def dq2_duplicate_report(spark: SparkSession, sf: str) -> DataFrame:
-    df = t.raw(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_shipdate")
+    """All columns of the item table, coarsened so that rows do repeat."""
+    coarse = {"l_partkey": F.lit(0), "l_suppkey": F.lit(0), "l_extendedprice": F.lit(0.0), "l_shipdate": F.lit("1998-01-01")}
+    df = t.raw(spark, sf, "lineitem").withColumns({"l_orderkey": F.col("l_orderkey") % 1000, **coarse})
     return quality.duplicate_report(df)
 
 
@@ -75,19 +83,39 @@ def dq4_outlier_report(spark: SparkSession, sf: str) -> DataFrame:
     return report.withColumns({c: F.round(c, 6) for c in ("q1", "q3", "lower_bound", "upper_bound")})
 
 
+_ORDER_COLUMNS = {
+    "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string",
+}
+
+
+def _profile_sql(c: str, kind: str) -> str:
+    number = kind in ("bigint", "double")
+    ends = {"double": "printf('%.2f', {}(o_totalprice))", "timestamp_ntz": "strftime({}(o_orderdate), '%Y-%m-%d %H:%M:%S')"}.get(kind, "CAST({}(" + c + ") AS VARCHAR)")
+    moments = f"round(avg({c}), 3), round(stddev_samp({c}), 3)" if number else "NULL::DOUBLE, NULL::DOUBLE"
+    return f"SELECT '{c}', '{kind}', count(*), count(*) - count({c}), true, {ends.format('min')}, {ends.format('max')}, {moments} FROM orders"
+
+
 @query(
-    """
-    SELECT 'o_totalprice' AS column_name, 'double' AS data_type, count(*) AS row_count, count(*) - count(o_totalprice) AS null_count,
-      round(avg(o_totalprice), 3) AS mean, round(stddev_samp(o_totalprice), 3) AS stddev FROM orders
-    UNION ALL SELECT 'o_orderstatus', 'string', count(*), count(*) - count(o_orderstatus), NULL, NULL FROM orders
-    UNION ALL SELECT 'o_custkey', 'bigint', count(*), count(*) - count(o_custkey), round(avg(o_custkey), 3), round(stddev_samp(o_custkey), 3) FROM orders
-    """
+    "SELECT * FROM (" + " UNION ALL ".join(_profile_sql(c, k) for c, k in _ORDER_COLUMNS.items())
+    + ") p(column_name, data_type, row_count, null_count, distinct_near, min_value, max_value, mean, stddev)"
 )
 def dq7_profile(spark: SparkSession, sf: str) -> DataFrame:
-    report = quality.profile(t.raw(spark, sf, "orders").select("o_totalprice", "o_orderstatus", "o_custkey"))
-    return report.select(
-        "column_name", "data_type", "row_count", "null_count", F.round("mean", 3).alias("mean"), F.round("stddev", 3).alias("stddev")
-    )
+    """Every column of the order table; the approximate distinct count is held against the exact one."""
+    df = t.raw(spark, sf, "orders")
+    exact = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns])
+    exact = exact.unpivot([], df.columns, "column_name", "exact")
+    price, day = F.col("column_name") == "o_totalprice", F.col("column_name") == "o_orderdate"
+
+    def plain(c: str):
+        # money and timestamps as text have one form per engine
+        text = F.format_string("%.2f", F.col(c).try_cast("double"))
+        return F.when(price, text).when(day, F.date_format(F.col(c).try_cast("timestamp"), "yyyy-MM-dd HH:mm:ss")).otherwise(F.col(c))
+
+    return quality.profile(df).join(exact, "column_name").select(
+        "column_name", "data_type", "row_count", "null_count",
+        (F.abs(F.col("approx_distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.1 * F.col("exact"))).alias("distinct_near"),
+        plain("min_value").alias("min_value"), plain("max_value").alias("max_value"), F.round("mean", 3).alias("mean"), F.round("stddev", 3).alias("stddev"),
+    )
 
 
 @query(

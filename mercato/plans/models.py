@@ -162,8 +162,8 @@ def ml9_saved_model_scores_alike(spark: SparkSession, sf: str) -> DataFrame:
     from pyspark.ml import PipelineModel
 
     data = pin(_churn(spark, sf))
-    names = ["recency", "frequency", "monetary"]
-    model = ml.fit_forest(data, names, trees=20)
+    names = ml.CHURN_FEATURES
+    model = ml.fit_forest(data, names)
     path = scratch_path(spark, "model")
     model.write().overwrite().save(path)
     fresh = ml.score(model, data, names, "customer_id", "a").drop("prediction")
@@ -218,5 +218,5 @@ def ml12_late_scores(spark: SparkSession, sf: str) -> DataFrame:
     lines = t.items(spark, sf)
     data = pin(ml.late_features(metrics.deliveries(t.orders(spark, sf), lines), lines))
     train, test = ml.hashed_split(data, "order_id")
-    model = ml.fit_forest(train, ml.LATE_FEATURES, trees=20)
+    model = ml.fit_forest(train, ml.LATE_FEATURES)
     return ml.score(model, test, ml.LATE_FEATURES, "order_id", "late_probability")

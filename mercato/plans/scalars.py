@@ -149,7 +149,7 @@ def top3_head(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT DISTINCT l_orderkey AS order_id FROM lineitem WHERE l_suppkey = 5")
 def doc5_find_in_embedded_items(spark: SparkSession, sf: str) -> DataFrame:
     item = F.struct("product_id", "seller_id")
-    docs = documents.embed(t.items(spark, sf), "order_id", item, ["product_id", "seller_id"], "items")
+    docs = documents.embed(t.items(spark, sf), "order_id", item, ["product_id", "seller_id"], "items", "item_no")
     found = shaping.find(docs, F.exists("items", lambda i: i["seller_id"] == 5))
     return found.select("order_id").distinct()
 
@@ -197,8 +197,8 @@ def str7_state_with_timeout(spark: SparkSession, sf: str) -> DataFrame:
     before = spark.conf.get(key)
     spark.conf.set(key, "false")
     try:
-        timed = state.running_spend(streams.event_stream(spark, sf), "customer_id", "price", timeout_ms=3_600_000)
-        parts = streams._upserted(spark, timed, ["customer_id", "salt"], order=["orders"])
+        timed = state.expiring_spend(streams.event_stream(spark, sf), "customer_id", "price", timeout_ms=3_600_000)
+        parts = streams._upserted(spark, timed, ["customer_id", *state.SPEND_KEYS], order=["orders"])
     finally:
         spark.conf.set(key, before)
     return state.fold_spend(parts, "customer_id")

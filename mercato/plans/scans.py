@@ -166,11 +166,13 @@ def snk3_bucketed_join(spark: SparkSession, sf: str) -> DataFrame:
 
 def bucketed_pair(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Items and orders saved in matching buckets."""
+    tables = {"items": t.items(spark, sf).select("order_id", "price"), "orders": t.orders(spark, sf)}
+    n = max(sinks.bucket_count(df) for df in tables.values())  # both alike, or the join would shuffle one
     found = []
-    for name, df in (("items", t.items(spark, sf).select("order_id", "price")), ("orders", t.orders(spark, sf))):
+    for name, df in tables.items():
         path = scratch_path(spark, f"{name}_bucketed")
         table = path.rsplit("/", 1)[-1].replace("-", "_")
-        sinks.write_bucketed(df, table, 10, ["order_id"], ["order_id"], path)
+        sinks.write_bucketed(df, table, n, ["order_id"], ["order_id"], path)
         found.append(spark.table(table))
     return found[0], found[1]
 

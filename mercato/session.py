@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a skewed join is split also where the next operator then needs a shuffle of its own
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.compression.codec": "snappy",
     # rows of long text go to Python a few megabytes at a time
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
@@ -69,4 +71,21 @@ def pin(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "pinned")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    pinned = spark.read.schema(df.schema).parquet(path)
+    pinned.pinned_at = path
+    return pinned
+
+
+def unpin(pinned: DataFrame | None) -> None:
+    """Delete a pinned table that a later one has replaced. Nothing may still read it; None is nothing to delete."""
+    if pinned is not None:
+        spark = pinned.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(pinned.pinned_at)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def append_pinned(df: DataFrame, path: str | None = None, part: int = 0) -> str:
+    """Store ``df`` as folder ``part`` of a growing table under the shared folder; returns the table's path."""
+    path = path or scratch_path(df.sparkSession, "pinned")
+    df.write.mode("overwrite").parquet(f"{path}/{part}")
+    return path

@@ -39,6 +39,20 @@ def write_layer(
     return path
 
 
+# Fixed value: the least number of buckets.
+MIN_BUCKETS = 10
+BUCKET_BYTES = 256 * 1024 * 1024
+
+
+def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for a table by its estimated size: at least 10, else so many that one holds about ``bucket_bytes``.
+
+    A key with more rows than a bucket should hold stays in one bucket: such a table is not for bucketing.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(MIN_BUCKETS, -(-size // bucket_bytes))
+
+
 def write_bucketed(
     df: DataFrame, name: str, n: int, keys: list[str], sort: list[str], path: str | None = None
 ) -> None:

@@ -1,4 +1,4 @@
-"""Custom per-key state."""
+"""Running totals per key: a built-in streaming aggregate, and custom state where keys expire."""
 
 from __future__ import annotations
 
@@ -7,53 +7,67 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 # executors need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SALTS = 8
+SPEND_KEYS = ("salt", "epoch")
 
 
-def running_spend(
-    df: DataFrame, key: str, amount: str, salts: int = SALTS, timeout_ms: int | None = None
-) -> DataFrame:
-    """Running spend and order count per key, held as state: (key, salt, cents, orders) in update mode.
+def _cents(amount: str) -> Column:
+    return F.round(F.coalesce(F.col(amount), F.lit(0.0)) * 100).cast("bigint")
 
-    Each key has ``salts`` partial states, chosen by a hash of the row, so a customer with a third of all events does
-    not hang on one task; ``fold_spend`` adds the parts up. Amounts are whole cents, so order does not matter. With a
-    timeout the state of a key that stays quiet (processing time) is dropped.
+
+def running_spend(df: DataFrame, key: str, amount: str) -> DataFrame:
+    """Running spend and order count per key: (key, cents, orders) in update mode.
+
+    A streaming aggregate: batches combine before the shuffle, so a customer with a third of all events costs one row per
+    task. Amounts are whole cents, so order does not matter.
+    """
+    return df.select(F.col(key), _cents(amount).alias("cents")).groupBy(key).agg(
+        F.sum("cents").alias("cents"), F.count(F.lit(1)).alias("orders")
+    )
+
+
+def expiring_spend(df: DataFrame, key: str, amount: str, timeout_ms: int, salts: int | None = None) -> DataFrame:
+    """The same totals as custom state that is dropped when a key stays quiet for ``timeout_ms`` of processing time.
+
+    Returns (key, salt, epoch, cents, orders) in update mode. A state that starts, for the first time or after it was
+    dropped, counts from 0 in an epoch of its own, the processing time of its first event, so that what was stored before
+    stays and ``fold_spend`` adds it. Rows are dealt to ``salts`` partial states per key (default: the session's shuffle
+    partitions) by a hash of the row and its input partition, so that identical rows spread too.
     """
     kind = df.schema[key].dataType.simpleString()
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def accumulate(names: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        cents, orders = state.get if state.exists else (0, 0)
+        cents, orders, epoch = state.get if state.exists else (0, 0, state.getCurrentProcessingTimeMs())
         for batch in batches:
             cents += int(batch["cents"].sum())
             orders += len(batch)
-        state.update((cents, orders))
-        if timeout_ms is not None:
-            state.setTimeoutDuration(timeout_ms)
-        yield pd.DataFrame({key: [names[0]], "salt": [names[1]], "cents": [cents], "orders": [orders]})
-
-    salted = df.select(
-        F.col(key),
-        F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int").alias("salt"),
-        F.round(F.coalesce(F.col(amount), F.lit(0.0)) * 100).cast("bigint").alias("cents"),
-    )
-    wait = GroupStateTimeout.ProcessingTimeTimeout if timeout_ms is not None else GroupStateTimeout.NoTimeout
+        state.update((cents, orders, epoch))
+        state.setTimeoutDuration(timeout_ms)
+        yield pd.DataFrame({key: [names[0]], "salt": [names[1]], "epoch": [epoch], "cents": [cents], "orders": [orders]})
+
+    spot = F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    salted = df.select(F.col(key), spot.alias("salt"), _cents(amount).alias("cents"))
     return salted.groupBy(key, "salt").applyInPandasWithState(
-        accumulate, f"{key} {kind}, salt int, cents bigint, orders bigint", "cents bigint, orders bigint", "update", wait
+        accumulate,
+        f"{key} {kind}, salt int, epoch bigint, cents bigint, orders bigint",
+        "cents bigint, orders bigint, epoch bigint",
+        "update",
+        GroupStateTimeout.ProcessingTimeTimeout,
     )
 
 
 def fold_spend(parts: DataFrame, key: str) -> DataFrame:
-    """Add up the partial states, one row per key and salt, to spend and orders per key."""
+    """Add up stored totals, one row per key (and salt and epoch), to spend and orders per key."""
     return parts.groupBy(key).agg(
         (F.sum("cents") / 100.0).alias("total_spend"), F.sum("orders").alias("order_count")
     )

@@ -178,12 +178,54 @@ def test_insert_refuses_second_key(spark):
         documents.insert(df, df, ["k"])
 
 
-def test_embed_splits_huge_documents_and_keeps_all(spark):
-    df = spark.range(1000).select(F.lit(1).alias("k"), F.col("id").alias("x"))
-    docs = documents.embed(df, "k", F.col("x"), ["x"], "xs", part_items=100)
-    found = docs.collect()
-    assert len(found) > 5 and max(len(r["xs"]) for r in found) < 200
-    assert sorted(x for r in found for x in r["xs"]) == list(range(1000))
+def test_embed_parts_follow_the_item_number(spark):
+    df = spark.range(25_000).select(F.lit(1).alias("k"), (F.col("id") + 1).alias("no"), (F.col("id") * 2).alias("x"))
+    wanted = [(0, 10_000), (1, 10_000), (2, 5_000)]
+    for partitions in (1, 7):
+        docs = documents.embed(df.repartition(partitions), "k", F.col("x"), ["no"], "xs", "no", total=F.sum("x"))
+        found = sorted((r["part"], len(r["xs"]), r["xs"], r["total"]) for r in docs.collect())
+        assert [(p, n) for p, n, *_ in found] == wanted
+        assert [x for _, _, xs, _ in found for x in xs] == list(range(0, 50_000, 2))
+        assert sum(t for *_, t in found) == sum(range(0, 50_000, 2))
+
+
+def test_order_totals_stand_once(spark):
+    n = 25_000
+    lines = spark.range(n).select(
+        F.lit(1).alias("order_id"), (F.col("id") + 1).alias("item_no"), F.col("id").alias("product_id"), F.lit("c").alias("category"),
+        F.lit(2).alias("seller_id"), F.lit(0.5).alias("price"), F.lit(0.1).alias("freight"),
+    )
+    orders = spark.createDataFrame([(1, 9, "P", None, None, None), (2, 9, "P", None, None, None)], "order_id int, customer_id int, status string, order_date timestamp, estimated timestamp, actual timestamp")
+    customers = spark.createDataFrame([(9, "s", "t")], "customer_id int, customer_state string, customer_city string")
+    payments = spark.createDataFrame([(1, "card", 7.0), (2, "card", 3.0)], "order_id int, payment_type string, payment_value double")
+    reviews = spark.createDataFrame([], "order_id int, score int")
+    docs = documents.order_analytics(orders, customers, lines, payments, reviews)
+    assert docs.count() == 4
+    sums = docs.agg(F.sum("totalItemValue"), F.sum("itemCount"), F.sum("totalPaymentValue")).first()
+    assert tuple(sums) == (n * 0.5, n, 10.0)
+
+
+def test_upsert_without_order_takes_whole_rows(spark):
+    """Two rows of one key: their fields are never mixed."""
+    stored = spark.createDataFrame([], "k int, s string, n string")
+    new = spark.createDataFrame([(1, "z", "a"), (1, "b", "c")], "k int, s string, n string")
+    for rows_in in (new, new.orderBy("s")):
+        table, _ = documents.upsert(stored, rows_in, ["k"])
+        assert rows(table) in ([(1, "z", "a")], [(1, "b", "c")])
+        again, _ = documents.upsert(stored, rows_in.repartition(3), ["k"])
+        assert rows(again) == rows(table)
+
+
+def test_sums_keep_small_amounts_and_refuse_what_is_no_number(spark):
+    df = spark.range(1000).select(F.lit(0.004).alias("x"))
+    assert df.agg(F.sum(scalar.money("x")).cast("double")).first()[0] == 4.0
+    with pytest.raises(Exception, match="not a number"):
+        df.union(spark.sql("SELECT double('NaN')")).agg(F.sum(scalar.money("x"))).collect()
+
+
+def test_anomalies_of_a_column_without_values(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "k int, x double")
+    assert quality.iqr_anomalies(df, "x").count() == 0
 
 
 def test_update_and_delete_treat_unknown_as_no_match(spark):

@@ -46,6 +46,43 @@ def test_hot_copies_spread_over_tasks(spark):
     assert sum(r["count"] for r in per_task) == 20_000 and len(per_task) > 3
 
 
+def test_every_hot_key_is_split(spark):
+    """No bound on the number of hot keys: 20,000 of them are all on the list."""
+    df = spark.range(60_000).select((F.col("id") % 20_000).alias("k"))
+    assert skew.hot_keys(df, ["k"], rows_per_task=2).count() == 20_000
+
+
+def test_star_with_large_dimensions_scans_each_side_once(spark, sf, monkeypatch):
+    monkeypatch.setattr(skew, "fits", lambda *_: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = joins.star(t.orders(spark, sf), t.items(spark, sf), t.products(spark, sf), t.sellers(spark, sf), t.customers(spark, sf))
+        text = df._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("l_orderkey") and len([x for x in text.splitlines() if "FileScan parquet" in x and "l_orderkey" in x]) == 1
+
+
+def test_paths_and_components_of_a_long_chain(spark):
+    edges = spark.range(56).select(F.col("id").cast("string").alias("src"), (F.col("id") + 1).cast("string").alias("dst"))
+    ends = spark.createDataFrame([("56",)], "id string")
+    found = {r["id"]: r["distance"] for r in graph.shortest_paths(edges, ends).collect()}
+    assert found == {str(i): 56 - i for i in range(57)}
+
+
+def test_pagerank_leaves_only_its_ranks(spark, tmp_path):
+    import os
+
+    from mercato.session import shared_dir
+
+    edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "a")], "src string, dst string")
+    nodes = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "id string")
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    assert graph.pagerank(nodes, edges).count() == 4
+    assert len({x for x in set(os.listdir(folder)) - before if x.startswith("pinned")}) == 1
+
+
 def test_skew_join_refuses_outer(spark, skewed):
     with pytest.raises(ValueError, match="full"):
         skew.skew_join(skewed, skewed, ["k"], "full")

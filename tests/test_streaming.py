@@ -72,33 +72,42 @@ def test_restart_continues_and_replay_does_not_double(spark):
     assert run(scratch_path(spark, "fresh-checkpoint")) == [5.0]
 
 
-def test_running_spend_over_batches_and_salts(spark):
+def test_running_spend_over_batches(spark):
     inbox, out, check = folders(spark)
     for i in range(3):
         arrive(spark, inbox, *[(f"2024-01-01 12:0{i}:00", 1, 0.1 * j) for j in range(20)], ("2024-01-01 12:00:00", 2, 1.5))
-    sinks.upsert_sink(state.running_spend(stream(spark, inbox), "customer_id", "price"), out, ["customer_id", "salt"], check, order=["orders"]).awaitTermination()
-    parts = sinks.read_upserted(spark, out, ["customer_id", "salt"])
-    assert parts.filter("customer_id = 1").count() > 1
-    totals = {r["customer_id"]: (r["total_spend"], r["order_count"]) for r in state.fold_spend(parts, "customer_id").collect()}
+    sinks.upsert_sink(state.running_spend(stream(spark, inbox), "customer_id", "price"), out, ["customer_id"], check).awaitTermination()
+    stored = sinks.read_upserted(spark, out, ["customer_id"])
+    totals = {r["customer_id"]: (r["total_spend"], r["order_count"]) for r in state.fold_spend(stored, "customer_id").collect()}
     assert totals == {1: (57.0, 60), 2: (4.5, 3)}
 
 
-def test_state_expires_after_the_timeout(spark):
+def test_totals_survive_the_timeout(spark):
+    """A key that expires and comes back keeps what it had: the second state is a second epoch."""
     inbox, out, check = folders(spark)
+    keys = ["customer_id", *state.SPEND_KEYS]
     arrive(spark, inbox, ("2024-01-01 12:00:00", 1, 1.0))
-    df = state.running_spend(stream(spark, inbox), "customer_id", "price", salts=1, timeout_ms=300)
-    query = sinks.upsert_sink(df, out, ["customer_id", "salt"], check, trigger={"processingTime": "0 seconds"}, order=["orders"])
-    try:
+    df = state.expiring_spend(stream(spark, inbox), "customer_id", "price", timeout_ms=300, salts=2)
+    query = sinks.upsert_sink(df, out, keys, check, trigger={"processingTime": "0 seconds"}, order=["orders"])
+
+    def wait(done):
         deadline = time.time() + 60
-        while time.time() < deadline:
-            last = query.lastProgress
-            if last and last.batchId >= 1 and last.stateOperators and last.stateOperators[0].numRowsTotal == 0:
-                break
+        while not done():
+            assert time.time() < deadline and query.isActive
             time.sleep(0.2)
-        else:
-            pytest.fail("state was never dropped")
+
+    def expired():
+        last = query.lastProgress
+        return last and last.batchId >= 1 and last.stateOperators and last.stateOperators[0].numRowsTotal == 0
+
+    try:
+        wait(expired)
+        arrive(spark, inbox, ("2024-01-01 12:30:00", 1, 2.5))
+        wait(lambda: sinks.read_upserted(spark, out, keys).count() == 2)
     finally:
         query.stop()
+    totals = state.fold_spend(sinks.read_upserted(spark, out, keys), "customer_id").collect()
+    assert [(r["customer_id"], r["total_spend"], r["order_count"]) for r in totals] == [(1, 3.5, 2)]
 
 
 def test_console_sink_and_complete_mode(spark):
