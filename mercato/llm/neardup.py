@@ -234,27 +234,29 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(uid, root) for every node of the graph with edges (uid, low): root is the smallest node it is connected with.
+    """(uid, root) for every node of the graph with edges (uid, low) but the roots: root is the smallest node connected.
 
     Large-star and small-star steps: every node hands its larger neighbours, then all its smaller ones, to its smallest
-    neighbour, until nothing changes. Rounds grow with the logarithm of the longest path; each is stored and the one
-    before it deleted. A hub is a minimum that combines before the shuffle and a join that may be split.
+    neighbour, until only stars are left. Rounds grow with the logarithm of the longest path; each is stored once and the
+    one before it deleted. A hub is a minimum that combines before the shuffle and a join that may be split.
     """
     now = store(edges.where("uid <> low").select(F.greatest("uid", "low").alias("uid"), F.least("uid", "low").alias("low")).distinct(), "near-edges")
-    while True:
+    while not _only_stars(now):
         both = now.union(now.select("low", "uid"))
         least = both.groupBy("uid").agg(F.least(F.min("low"), F.col("uid")).alias("m"))
         large = both.where("low > uid").join(least, "uid").select(F.col("low").alias("uid"), F.col("m").alias("low"))
-        large = store(large.where("uid <> low").distinct(), "near-edges")
         first = large.groupBy("uid").agg(F.min("low").alias("m"))
-        small = large.join(first, "uid").select(F.explode(F.array(F.struct("uid", F.col("m").alias("low")), F.struct(F.col("low").alias("uid"), F.col("m").alias("low")))).alias("e")).select("e.*")
-        new = store(small.where("uid <> low").distinct(), "near-edges")
-        mark = lambda df: df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("uid", "low").cast("decimal(38,0)"))).first()
-        same = mark(new) == mark(now)
-        discard(now), discard(large)
-        now = new
-        if same:
-            return now.select("uid", F.col("low").alias("root"))
+        ends = F.array(F.struct("uid", F.col("m").alias("low")), F.struct(F.col("low").alias("uid"), F.col("m").alias("low")))
+        small = large.join(first, "uid").select(F.inline(ends))
+        last, now = now, store(small.where("uid <> low").distinct(), "near-edges")
+        discard(last)
+    return now.select("uid", F.col("low").alias("root"))
+
+
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour or only larger ones."""
+    ends = edges.select(F.col("uid").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("low", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 or (up = 1 and down > 0)").isEmpty()
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_column: str = "doc_id") -> DataFrame:
