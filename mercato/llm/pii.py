@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -116,33 +117,59 @@ _HITS = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int64()), ("stop
 _SPANS = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("stop", pa.int64())]))
 
 
+def _passing(bits: bytes):
+    """The words of a text, as they stand, whose lower-case form the filter lets through."""
+    mask, seen = (1 << FILTER_BITS) - 1, {}
+
+    def wanted(text: str) -> set[str]:
+        if len(seen) > CACHE_TERMS:
+            seen.clear()
+        out = set()
+        for word in set(_TERM.findall(text)) if bits else ():
+            if (ok := seen.get(word)) is None:
+                code = zlib.crc32(word.lower().encode()) & mask
+                ok = seen[word] = bool(bits[code >> 3] >> (code & 7) & 1)
+            if ok:
+                out.add(word)
+        return out
+
+    return wanted
+
+
+def _counter(bits: bytes):
+    """(term, n): documents that hold a term, added up within the task before anything is shuffled."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, held = _passing(bits), Counter()
+        for batch in batches:
+            for cell in batch.column("text") if bits else ():
+                held.update({w.lower() for w in wanted(cell.as_py())})
+            if len(held) > CACHE_TERMS:
+                yield rows(held)
+                held = Counter()
+        yield rows(held)
+
+    def rows(held: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["term", "n"])
+
+    return count
+
+
 def _marker(bits: bytes):
     """Base spans of every document, and its occurrences of terms that the filter lets through."""
-    mask = (1 << FILTER_BITS) - 1
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, bool] = {}
+        wanted = _passing(bits)
         for batch in batches:
             all_spans, all_hits = [], []
             for cell in batch.column("text"):
                 text = cell.as_py()
-                spans, hits = base_spans(text), []
-                if bits:
-                    wanted = set()
-                    for word in set(_TERM.findall(text)):
-                        if (ok := seen.get(word)) is None:
-                            code = zlib.crc32(word.lower().encode()) & mask
-                            ok = seen[word] = bool(bits[code >> 3] >> (code & 7) & 1)
-                        if ok:
-                            wanted.add(word)
-                    if len(seen) > CACHE_TERMS:
-                        seen = {}
-                    if wanted:
-                        hits = [
-                            {"term": m[0].lower(), "start": m.start(), "stop": m.end()}
-                            for m in _TERM.finditer(text)
-                            if m[0] in wanted and not any(a < m.end() and m.start() < b for _, a, b in spans)
-                        ]
+                spans, words = base_spans(text), wanted(text)
+                hits = [
+                    {"term": m[0].lower(), "start": m.start(), "stop": m.end()}
+                    for m in (_TERM.finditer(text) if words else ())
+                    if m[0] in words and not any(a < m.end() and m.start() < b for _, a, b in spans)
+                ]
                 all_spans.append([{"kind": k, "start": a, "stop": b} for k, a, b in spans])
                 all_hits.append(hits)
             rest = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "text"]
@@ -163,17 +190,21 @@ def _filter_of(terms: DataFrame) -> bytes:
 
 def _spans_and_terms(rows: DataFrame, *, min_docs: int, generalise_bits: float, remove_bits: float) -> tuple[DataFrame, DataFrame]:
     """``rows`` (id columns and text) with base spans and possible terms, stored; and the disclosing terms with their action."""
-    pairs = store(rows.select("text").mapInArrow(_contexts, "entity string, term string").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("joint")), "pii-pairs")
+    context = rows.sparkSession.sparkContext
+    texts = rows.select("text")
+    pairs = store(texts.mapInArrow(_contexts, "entity string, term string").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("joint")), "pii-pairs")
     near = pairs.where(F.col("term").isNotNull() & (F.col("joint") >= min_docs))
-    sent = rows.sparkSession.sparkContext.broadcast(_filter_of(near.select("term")))
-    ids = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
-    marked = rows.mapInArrow(lambda it: _marker(sent.value)(it), f"{ids}, spans array<struct<kind:int,start:bigint,stop:bigint>>, hits array<struct<term:string,start:bigint,stop:bigint>>")
-    marked = store(marked.withColumn("uid", F.monotonically_increasing_id()), "pii-marked")
-    counts = marked.select(F.explode(F.array_distinct("hits.term")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("docs"))
+    possible = context.broadcast(_filter_of(near))
+    counts = texts.mapInArrow(lambda it: _counter(possible.value)(it), "term string, n long").groupBy("term").agg(F.sum("n").alias("docs"))
     left = -F.log2(F.col("joint") / F.greatest(F.col("docs"), F.col("joint")))  # bits about the entity that the term leaves open
     least = near.join(counts, "term").select("term", left.alias("bits")).groupBy("term").agg(F.min("bits").alias("bits"))
     action = F.when(F.col("bits") <= remove_bits, F.lit("remove")).when(F.col("bits") <= generalise_bits, F.lit("generalise"))
-    return marked, store(least.withColumn("action", action).where("action is not null"), "pii-terms")
+    terms = store(least.withColumn("action", action).where("action is not null"), "pii-terms")
+    disclosing = context.broadcast(_filter_of(terms))
+    ids = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    found = "spans array<struct<kind:int,start:bigint,stop:bigint>>, hits array<struct<term:string,start:bigint,stop:bigint>>"
+    marked = rows.mapInArrow(lambda it: _marker(disclosing.value)(it), f"{ids}, {found}")
+    return store(marked.withColumn("uid", F.monotonically_increasing_id()), "pii-marked"), terms
 
 
 def _term_spans(marked: DataFrame, terms: DataFrame) -> DataFrame:
