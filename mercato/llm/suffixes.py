@@ -26,7 +26,7 @@ LENGTH = 50
 GRAM = 20
 CHUNK = 1 << 20  # bytes whose anchors are found at once; one longer text is taken alone
 BLOB_ANCHORS = 1 << 20  # anchors a task gathers before it packs them by range
-SHARD = 1 << 21  # bytes of surroundings in one suffix array
+SHARD = 1 << 19  # bytes of surroundings in one suffix array; building it takes some 200 times as much memory
 _ROOT = 0x9E3779B97F4A7C55
 _ROOTS: list[np.ndarray] = []
 
@@ -92,7 +92,7 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     keys = np.zeros(n, dtype=np.uint64)
     for j in range(8):
         keys = (keys << np.uint64(8)) | padded[j : j + n]
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     new = np.r_[True, keys[order[1:]] != keys[order[:-1]]] if n else np.zeros(0, dtype=bool)
     first = np.flatnonzero(new)
     rank = np.empty(n + 1, dtype=np.int64)
@@ -104,7 +104,7 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         at = order[open_slots]
         behind = rank[np.minimum(at + sorted_by, n)]
         group = rank[at]
-        inner = np.lexsort((behind, group))
+        inner = np.argsort(group * (n + 1) + behind + 1)  # both are below n, and a buffer is far below 2^31
         at, behind, group = at[inner], behind[inner], group[inner]
         order[open_slots] = at
         new = np.r_[True, (group[1:] != group[:-1]) | (behind[1:] != behind[:-1])]
@@ -112,6 +112,10 @@ def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         rank[at] = np.repeat(open_slots[starts], np.diff(np.r_[starts, len(at)]))
         open_slots = open_slots[~(new & np.r_[new[1:], True])]
         sorted_by *= 2
+    if len(open_slots):
+        # what is still equal lies in text order, so that neighbours of neighbours stay neighbours
+        at = order[open_slots]
+        order[open_slots] = at[np.argsort(rank[at] * (n + 1) + at)]
     return order, rank[:n]
 
 
@@ -179,10 +183,13 @@ class _Windows:
         return np.array([parts[o][s : s + self.length] for o, s in zip(owner, offset, strict=True)], dtype=f"S{self.length}")
 
 
-def smallest_holders(hashes: np.ndarray, docs: np.ndarray, parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(part, offset, smallest document with that string) for every window of the surroundings, by part and offset.
+def smallest_holders(
+    hashes: np.ndarray, docs: np.ndarray, most: np.ndarray, parts: list[bytes], length: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(part, offset, smallest document with that string) for the windows of the surroundings, by part and offset.
 
-    ``hashes`` are the anchors of the parts, in order; ``docs`` the smallest document of each part.
+    ``hashes`` are the anchors of the parts, in order; ``docs`` and ``most`` the smallest and the largest document of
+    each part. Windows that no document of a part could lose are left out.
     """
     finder = _Windows(length)
     cuts, size = [0], 0
@@ -193,12 +200,14 @@ def smallest_holders(hashes: np.ndarray, docs: np.ndarray, parts: list[bytes], l
             size = 0
     if cuts[-1] < len(parts):
         cuts.append(len(parts))
+    border = np.array(sorted({int(hashes[c]) for c in cuts[1:-1] if hashes[c - 1] == hashes[c]}), dtype=hashes.dtype)
     shards = []
     for a, b in zip(cuts, cuts[1:], strict=False):
         owner, offset, least = finder.shard(parts[a:b], docs[a:b])
-        shards.append([owner + a, offset, least])
+        keep = (least < most[owner + a]) | np.isin(hashes[owner + a], border)
+        shards.append([(owner[keep] + a).astype(np.int32), offset[keep].astype(np.int16), least[keep]])
     # an anchor whose surroundings lie in several shards: each looks its strings up in the others' sorted lists
-    for h in sorted({int(hashes[c]) for c in cuts[1:-1] if hashes[c - 1] == hashes[c]}):
+    for h in border:
         lo, hi = np.searchsorted(hashes, h, side="left"), np.searchsorted(hashes, h, side="right")
         lists = []
         for s in shards:
@@ -214,7 +223,8 @@ def smallest_holders(hashes: np.ndarray, docs: np.ndarray, parts: list[bytes], l
                 lowest[k] = np.where(other[at] == names, np.minimum(lowest[k], docs_of[at]), lowest[k])
         for (s, rows, *_), low in zip(lists, lowest, strict=True):
             s[2][rows] = low
-    owner, offset, least = (np.concatenate([np.zeros(0, np.int64), *[s[k] for s in shards]]) for k in range(3))
+    kinds = (np.int32, np.int16, np.int64)
+    owner, offset, least = (np.concatenate([np.zeros(0, kind), *[s[k] for s in shards]]) for k, kind in enumerate(kinds))
     by = np.lexsort((offset, owner))
     return owner[by], offset[by], least[by]
 
@@ -354,11 +364,13 @@ def _stretches(length: int):
         # equal surroundings stand once, with the smallest document that has them
         names: dict[tuple[int, bytes], int] = {}
         part = np.array([names.setdefault((h, text[a:b]), len(names)) for h, a, b in zip(keys.tolist(), (ends - sizes).tolist(), ends.tolist(), strict=True)], dtype=np.int64)
-        least = np.full(len(names), np.iinfo(np.int64).max)
+        least, most = np.full(len(names), np.iinfo(np.int64).max), np.full(len(names), np.iinfo(np.int64).min)
         np.minimum.at(least, part, docs)
+        np.maximum.at(most, part, docs)
         heads, bodies = np.array([h for h, _ in names], dtype=np.int64), [b for _, b in names]
         by = np.argsort(heads, kind="stable")
-        owner, offset, low = smallest_holders(heads[by], least[by], [bodies[k] for k in by], length)
+        del names
+        owner, offset, low = smallest_holders(heads[by], least[by], most[by], [bodies[k] for k in by], length)
         place = np.empty(len(by), dtype=np.int64)
         place[by] = np.arange(len(by))
         limits = np.searchsorted(owner, np.arange(len(by) + 1))
