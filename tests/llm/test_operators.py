@@ -133,7 +133,7 @@ def test_mix_is_its_schedule(docs):
     sizes = mixing.sized(docs)
     plan = mixing.store(mixing.targets(sizes), "t")
     got = {r["uid"]: r["n"] for r in mixing.mixed_pieces(sizes, plan, block_words=16).groupBy("uid").agg(F.sum("words").alias("n")).collect()}
-    words_of = {r["sid"]: (round(r["target"]), r["source_size"]) for r in plan.collect()}
+    words_of = {r["sid"]: (int(r["target"] + 0.5), r["source_size"]) for r in plan.collect()}
     for r in mixing._streams(sizes, plan).collect():
         target, size = words_of[r["sid"]]
         want = sum(max(0, min(r["start"] + r["size"] + p * size, target) - (r["start"] + p * size)) for p in (0, 1))
@@ -326,7 +326,7 @@ def test_near_duplicates_agree_with_all_pairs(docs, rows):
             else:
                 text = next(t for i, t in rows if i == r["doc_id"])
                 assert (r["n_shingles"], r["component_id"], r["kept"]) == (len(brute.shingles(text, width)), want[r["doc_id"]], want[r["doc_id"]] == r["doc_id"])
-    assert sum(want[i] != i for i in want) > 60
+    assert sum(want[i] != i for i in want) > 50
 
 
 def test_near_duplicates_in_blocks(docs, rows, monkeypatch):
@@ -447,7 +447,7 @@ def test_near_pairs_are_verified(spark):
     base = words(rng, 200)
     rows = [(i, " ".join(words(rng, 100))) for i in range(30)] + [(30 + i, " ".join([*base[:-i], "y"] if i else base)) for i in range(10)]
     out = fingerprints.near_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r["b"] for r in out} == set(range(31, 40)) and all(r["a"] == 30 and r["jaccard"] >= 0.8 for r in out)
+    assert {r["b"] for r in out} == set(range(31, 40)) and all(30 <= r["a"] < r["b"] and r["jaccard"] >= 0.8 for r in out)
 
 
 # ---- repeated bytes
