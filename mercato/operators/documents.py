@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mercato.functions.scalar import delay_days, money
 from mercato.operators.quality import unique_violations
 from mercato.operators.skew import skew_join
+from mercato.schemas import READ_MODELS
 
 # --- table operations --------------------------------------------------------------------------------------------
 
@@ -234,6 +235,23 @@ def order_doc(
     )
 
 
+def as_read_model(df: DataFrame, model: str, names: dict[str, str] | None = None, **given: Column) -> DataFrame:
+    """``df`` with the fields, order and types of a read model.
+
+    A field is a column of its own name, of the name that ``names`` maps it to, or an expression in ``given``, such as
+    ``lastUpdated=as_of``.
+    """
+    names = names or {}
+    fields = READ_MODELS[model].fields
+    return df.select(*[given.get(f.name, F.col(names.get(f.name, f.name))).cast(f.dataType).alias(f.name) for f in fields])
+
+
+SELLER_NAMES = {
+    "sellerId": "seller_id", "sellerCity": "seller_city", "sellerState": "seller_state", "totalOrders": "total_orders", "totalRevenue": "total_revenue",
+    "avgReviewScore": "avg_review_score", "totalProductsSold": "total_products_sold", "onTimeDeliveryRate": "on_time_delivery_rate",
+}
+
+
 def explode_items(docs: DataFrame, key: str, array: str = "items") -> DataFrame:
     """Back from embedded arrays to one row per element."""
     return docs.select(key, F.inline(array))

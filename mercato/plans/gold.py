@@ -129,6 +129,22 @@ def agg7_seller_performance(spark: SparkSession, sf: str) -> DataFrame:
     return found.drop("seller_name", "seller_zip")
 
 
+@query(
+    f"""
+    WITH a AS ({_SELLERS})
+    SELECT CAST(seller_id AS VARCHAR) AS "sellerId", seller_city AS "sellerCity", seller_state AS "sellerState", CAST(total_orders AS INTEGER) AS "totalOrders",
+      total_revenue AS "totalRevenue", avg_review_score AS "avgReviewScore", CAST(total_products_sold AS INTEGER) AS "totalProductsSold",
+      on_time_delivery_rate AS "onTimeDeliveryRate", '2001-08-02 00:00:00' AS "lastUpdated" FROM a
+    """
+)
+def agg7_seller_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The seller read model as stored: its field names and types, last updated as of a given time."""
+    items = t.items(spark, sf)
+    found = metrics.seller_performance(items, t.sellers(spark, sf), t.reviews(spark, sf), metrics.deliveries(t.orders(spark, sf), items))
+    docs = documents.as_read_model(found, "seller_performance", documents.SELLER_NAMES, lastUpdated=F.lit("2001-08-02 00:00:00"))
+    return docs.withColumns({"totalRevenue": F.col("totalRevenue").cast("double"), "lastUpdated": t.stamp("lastUpdated")})
+
+
 @query(
     f"""
     WITH {t.SQL_PLACES}, {t.SQL_REVIEWS}, {t.SQL_DELIVERED},

@@ -47,6 +47,26 @@ def ml2_recommendations(spark: SparkSession, sf: str) -> DataFrame:
     return ml.Recommender.fit(ratings).top(10)
 
 
+@query(
+    """
+    SELECT count(DISTINCT o_custkey) AS users, least(10, (SELECT count(DISTINCT l_partkey) FROM lineitem)) * count(DISTINCT o_custkey) AS rows,
+      true AS ranks_complete, true AS better_than_nothing FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+    """
+)
+def ml2_recommendation_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Ten distinct ranked items for every user, and an RMSE over all purchases below that of always predicting none."""
+    ratings = pin(ml.interactions(_bought(spark, sf), "customer_id", "product_id"))
+    model = ml.Recommender.fit(ratings)
+    error = model.rmse(ratings)
+    per = model.top(10).groupBy("user").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("item").alias("items"), F.count_distinct("rank").alias("ranks"), F.max("rank").alias("last")
+    )
+    complete = F.bool_and((F.col("n") == F.col("items")) & (F.col("n") == F.col("ranks")) & (F.col("n") == F.col("last")))
+    return per.agg(
+        F.count(F.lit(1)).alias("users"), F.sum("n").alias("rows"), complete.alias("ranks_complete"), F.lit(error < 1.0).alias("better_than_nothing")
+    )
+
+
 _CHURN = f"""
     WITH {t.SQL_REVIEWS}, f AS (SELECT o_custkey AS customer_id, max(o_orderdate) FILTER (WHERE past) AS last, count(*) FILTER (WHERE past) AS frequency,
       CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE past) AS DOUBLE) AS monetary, avg(score) FILTER (WHERE past) AS avg_review_score,
@@ -81,6 +101,27 @@ def ml4_churn_scores(spark: SparkSession, sf: str) -> DataFrame:
     return ml.score(model, test, names, "customer_id", "churn_probability")
 
 
+@query(
+    f"""
+    WITH o AS (SELECT o_custkey AS customer_id FROM orders WHERE o_orderdate <= DATE '{AS_OF}' GROUP BY 1)
+    SELECT count(*) AS customers, true AS parts_disjoint, true AS in_range, true AS scores_differ FROM o
+    """
+)
+def ml4_churn_score_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Every customer is in one part; scores of the test part are probabilities and not all alike."""
+    data = pin(_churn(spark, sf))
+    names = [c for c in ml.CHURN_FEATURES if c != "days_since_last_order"]
+    train, test = ml.hashed_split(data, "customer_id")
+    scores = pin(ml.score(ml.fit_forest(train, names), test, names, "customer_id", "p"))
+    seen = train.select("customer_id", F.lit(0).alias("p")).unionByName(scores.select("customer_id", F.lit(1).alias("p")))
+    per = seen.groupBy("customer_id").agg(F.count(F.lit(1)).alias("times"))
+    joined = data.select("customer_id").join(per, "customer_id", "left").join(scores.select("customer_id", F.col("p").alias("score")), "customer_id", "left")
+    return joined.agg(
+        F.count(F.lit(1)).alias("customers"), F.bool_and(F.coalesce(F.col("times") == 1, F.lit(False))).alias("parts_disjoint"),
+        F.bool_and(F.col("score").between(0, 1)).alias("in_range"), (F.max("score") > F.min("score")).alias("scores_differ"),
+    )
+
+
 @query()
 def ml4_churn_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics and feature importances as rows: a handful."""
@@ -120,12 +161,50 @@ def ml5_tree_forecast(spark: SparkSession, sf: str) -> DataFrame:
     return ml.fit_forecast(train, kind="gbt").transform(test).select("date", "revenue", "prediction")
 
 
+@query(
+    f"""
+    {_FORECAST}, r AS (SELECT *, percent_rank() OVER (ORDER BY date) AS p FROM f)
+    SELECT count(*) FILTER (WHERE p >= 0.8) AS n, true AS better_than_the_mean, true AS r2_follows FROM r
+    """
+)
+def ml5_forecast_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """RMSE and R2 of the linear forecast over all test days, held against a forecast that always says the training mean."""
+    train, test = ml.split_by_date(pin(ml.forecast_features(_daily(spark, sf))), "date")
+    scored = pin(ml.fit_forecast(train).transform(test).select("revenue", "prediction"))
+    found = ml.regression_metrics(scored)
+    mean = train.agg(F.avg("revenue").alias("prediction"))
+    naive = ml.regression_metrics(test.select("revenue").join(F.broadcast(mean)))
+    spread = scored.agg(F.var_pop("revenue")).first()[0]
+    follows = abs(found["r2"] - (1 - found["rmse"] ** 2 / spread)) < 1e-6
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), F.lit(found["rmse"] < 1.05 * naive["rmse"]).alias("better_than_the_mean"), F.lit(follows).alias("r2_follows")
+    )
+
+
 @query(f"{_FORECAST}, r AS (SELECT *, percent_rank() OVER (ORDER BY date) AS p FROM f) SELECT date, revenue FROM r WHERE p >= 0.8")
 def ml6_split_by_date(spark: SparkSession, sf: str) -> DataFrame:
     _, test = ml.split_by_date(ml.forecast_features(_daily(spark, sf)), "date")
     return test.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "revenue")
 
 
+@query("SELECT count(*) AS n, true AS disjoint, true AS shares_near, true AS rows_kept FROM orders")
+def ml6_random_split_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The three parts share no order, hold all of them unchanged, and are near their shares."""
+    weights = [0.6, 0.2, 0.2]
+    orders = t.orders(spark, sf).select("order_id", "total")
+    parts = ml.random_split(orders, weights)
+    both = parts[0].withColumn("part", F.lit(0))
+    for i, p in enumerate(parts[1:], 1):
+        both = both.unionByName(p.withColumn("part", F.lit(i)))
+    per = both.groupBy("order_id").agg(F.count(F.lit(1)).alias("times"), F.max("total").alias("found"), F.max("part").alias("part"))
+    held = orders.join(per, "order_id", "left")
+    near = [F.abs(F.count_if(F.col("part") == i) / F.count(F.lit(1)) - w) < 0.1 for i, w in enumerate(weights)]
+    return held.agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.coalesce(F.col("times") == 1, F.lit(False))).alias("disjoint"),
+        (near[0] & near[1] & near[2]).alias("shares_near"), F.bool_and(F.coalesce(F.col("found") == F.col("total"), F.lit(False))).alias("rows_kept"),
+    )
+
+
 @query()
 def ml6_random_split(spark: SparkSession, sf: str) -> DataFrame:
     parts = ml.random_split(t.orders(spark, sf).select("order_id", "total"), [0.6, 0.2, 0.2])
@@ -193,12 +272,31 @@ def ml11_frequent_itemsets(spark: SparkSession, sf: str) -> DataFrame:
     return model.freqItemsets.select(F.array_join(F.sort_array("items"), "+").alias("itemset"), "freq")
 
 
-@query()
+_KINDS = "['ECONOMY','LARGE','MEDIUM','PROMO','SMALL','STANDARD']"
+
+
+def _kinds_of(mask: str) -> str:
+    return f"array_to_string(list_filter({_KINDS}, lambda x, i: (({mask} >> (i - 1)) & 1) = 1), '+')"
+
+
+@query(
+    f"""
+    WITH k AS (SELECT l_orderkey AS o, bit_or(CAST(1 << list_position({_KINDS}, p_type) - 1 AS BIGINT)) AS m
+      FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1), n AS (SELECT count(*) AS n FROM k), s AS (SELECT i AS mask FROM range(1, 64) r(i)),
+    c AS (SELECT mask, count(*) AS freq FROM k JOIN s ON (m & mask) = mask GROUP BY 1 HAVING count(*) >= 0.1 * (SELECT n FROM n)),
+    b AS (SELECT CAST(1 << j AS BIGINT) AS bit FROM range(6) r(j))
+    SELECT {_kinds_of('a.mask')} AS antecedent, {_kinds_of('x.mask')} AS consequent, round(u.freq / a.freq, 9) AS confidence,
+      round(u.freq / a.freq / (x.freq / n), 9) AS lift, round(u.freq / n, 9) AS support
+    FROM c u JOIN b ON (u.mask & bit) = bit AND u.mask <> bit JOIN c a ON a.mask = u.mask - bit JOIN c x ON x.mask = bit, n
+    WHERE u.freq / a.freq >= 0.4
+    """
+)
 def ml11_association_rules(spark: SparkSession, sf: str) -> DataFrame:
     lines = skew_join(t.items(spark, sf).select("order_id", "product_id"), t.products(spark, sf).select("product_id", "kind"), ["product_id"])
     rules = ml.market_basket(ml.baskets(lines, "order_id", "kind"), min_support=0.1, min_confidence=0.4).associationRules
     joined = {c: F.array_join(F.sort_array(c), "+") for c in ("antecedent", "consequent")}
-    return rules.withColumns(joined).select("antecedent", "consequent", "confidence", "lift", "support")
+    rounded = {c: F.round(c, 9) for c in ("confidence", "lift", "support")}
+    return rules.withColumns(joined | rounded).select("antecedent", "consequent", "confidence", "lift", "support")
 
 
 @query(

@@ -264,6 +264,17 @@ def ts4_iqr_anomalies(spark: SparkSession, sf: str) -> DataFrame:
     return _day_text(quality.iqr_anomalies(_daily(spark, sf), "revenue", eps=0.0))
 
 
+@query("SELECT count(value) AS n, true AS q1_in_rank, true AS q3_in_rank FROM events")
+def dq5_quartile_ranks(spark: SparkSession, sf: str) -> DataFrame:
+    """The quartiles that the approximate filter uses lie within the stated rank error of the exact ones."""
+    df, eps = t.events(spark, sf).select("price"), 0.01
+    checks = []
+    for p, q in zip((0.25, 0.75), df.approxQuantile("price", [0.25, 0.75], eps), strict=True):
+        below, upto, n = F.count_if(F.col("price") < q), F.count_if(F.col("price") <= q), F.count("price")
+        checks.append((below <= (p + eps) * n + 1) & (upto >= (p - eps) * n - 1))
+    return df.agg(F.count("price").alias("n"), checks[0].alias("q1_in_rank"), checks[1].alias("q3_in_rank"))
+
+
 @query()
 def dq5_approximate_iqr(spark: SparkSession, sf: str) -> DataFrame:
     return quality.iqr_anomalies(t.events(spark, sf).select("event_id", "price"), "price", eps=0.01)
@@ -325,3 +336,20 @@ def str11_error_rate_alerts(spark: SparkSession, sf: str) -> DataFrame:
     hourly = tumbling(t.events(spark, sf), "event_time", "1 hour", [], [rate.alias("error_rate")])
     fired = metrics.alerts(hourly, metrics.standard_rules(error_rate="error_rate"))
     return fired.select(t.stamp("window_start").alias("hour"), "error_rate", "rule")
+
+
+@query(
+    """
+    WITH h AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS hour, count(*) AS n FROM events GROUP BY 1),
+    w AS (SELECT hour, sum(n) OVER (ORDER BY hour DESC) AS lag FROM h)
+    SELECT strftime(hour, '%Y-%m-%d %H:%M:%S') AS hour, CAST(lag AS BIGINT) AS lag, 'lag' AS rule FROM w WHERE lag > 1000
+    """
+)
+def str11_lag_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """A consumer that stopped at each hour: the events it is behind, alerted beyond 1,000."""
+    from mercato.streaming.windows import tumbling
+
+    hourly = tumbling(t.events(spark, sf), "event_time", "1 hour", [], [F.count(F.lit(1)).alias("n")])
+    behind = windows.running_total(hourly, [], [F.desc("window_start")], "n", "lag")
+    fired = metrics.alerts(behind.withColumn("lag", F.col("lag").cast("bigint")), metrics.standard_rules(lag="lag"))
+    return fired.select(t.stamp("window_start").alias("hour"), "lag", "rule")

@@ -205,6 +205,17 @@ def test_order_totals_stand_once(spark):
     assert tuple(sums) == (n * 0.5, n, 10.0)
 
 
+def test_seller_documents_have_the_read_model(spark, sf):
+    from mercato.plans import tables as t
+    from mercato.schemas import READ_MODELS
+
+    items = t.items(spark, sf)
+    found = metrics.seller_performance(items, t.sellers(spark, sf), t.reviews(spark, sf), metrics.deliveries(t.orders(spark, sf), items))
+    docs = documents.as_read_model(found, "seller_performance", documents.SELLER_NAMES, lastUpdated=F.lit("2001-08-02 00:00:00"))
+    assert [(f.name, f.dataType) for f in docs.schema] == [(f.name, f.dataType) for f in READ_MODELS["seller_performance"]]
+    assert docs.where("lastUpdated is null or sellerId is null").count() == 0
+
+
 def test_upsert_without_order_takes_whole_rows(spark):
     """Two rows of one key: their fields are never mixed."""
     stored = spark.createDataFrame([], "k int, s string, n string")
