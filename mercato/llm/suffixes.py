@@ -26,7 +26,8 @@ LENGTH = 50
 GRAM = 20
 CHUNK = 1 << 20  # bytes whose anchors are found at once; one longer text is taken alone
 BLOB_ANCHORS = 1 << 20  # anchors a task gathers before it packs them by range
-SHARD = 1 << 19  # bytes of surroundings in one suffix array; building it takes some 200 times as much memory
+SLICE = 1 << 15  # surroundings looked at together, but whole anchors
+SHARD = 1 << 18  # bytes of surroundings in one suffix array; building it takes some 200 times as much memory
 _ROOT = 0x9E3779B97F4A7C55
 _ROOTS: list[np.ndarray] = []
 
@@ -353,6 +354,32 @@ def _surroundings(bits: int, length: int):
     return run
 
 
+def covered_stretches(keys: np.ndarray, docs: np.ndarray, starts: np.ndarray, home: np.ndarray, texts: list[bytes], length: int) -> list[tuple]:
+    """(home, document, start, end) arrays of what smaller documents hold too; the surroundings come in order of their anchors."""
+    # equal surroundings stand once, with the smallest and the largest document that has them
+    names: dict[tuple[int, bytes], int] = {}
+    part = np.array([names.setdefault(x, len(names)) for x in zip(keys.tolist(), texts, strict=True)], dtype=np.int64)
+    least, most = np.full(len(names), np.iinfo(np.int64).max), np.full(len(names), np.iinfo(np.int64).min)
+    np.minimum.at(least, part, docs)
+    np.maximum.at(most, part, docs)
+    owner, offset, low = smallest_holders(np.array([h for h, _ in names], dtype=np.int64), least, most, [b for _, b in names], length)
+    limits = np.searchsorted(owner, np.arange(len(names) + 1))
+    found = []
+    for a in range(0, len(keys), SLICE // 2):
+        p = part[a : a + SLICE // 2]
+        n = limits[p + 1] - limits[p]
+        occurrence = np.repeat(np.arange(a, a + len(p)), n)
+        at = np.arange(int(n.sum())) + np.repeat(limits[p] - (np.cumsum(n) - n), n)
+        hit = low[at] < docs[occurrence]
+        occurrence, at = occurrence[hit], at[hit]
+        if len(at):
+            # surroundings are so short that covered windows of one always touch
+            edge = np.flatnonzero(np.r_[True, occurrence[1:] != occurrence[:-1]])
+            one = occurrence[edge]
+            found.append((home[one], docs[one], starts[one] + offset[at[edge]], starts[one] + offset[at[np.r_[edge[1:], len(at)] - 1]] + length))
+    return found
+
+
 def _stretches(length: int):
     """Of one hash range: the stretches of documents that smaller documents also hold, by home."""
 
@@ -361,32 +388,15 @@ def _stretches(length: int):
         starts, sizes = _join(table.column("starts"), np.int64), _join(table.column("sizes"), np.uint8).astype(np.int64)
         home = np.repeat(table.column("d").to_numpy(), [len(x) // 8 for x in table.column("docs").to_pylist()])
         text, ends = b"".join(table.column("text").to_pylist()), np.cumsum(sizes)
-        # equal surroundings stand once, with the smallest document that has them
-        names: dict[tuple[int, bytes], int] = {}
-        part = np.array([names.setdefault((h, text[a:b]), len(names)) for h, a, b in zip(keys.tolist(), (ends - sizes).tolist(), ends.tolist(), strict=True)], dtype=np.int64)
-        least, most = np.full(len(names), np.iinfo(np.int64).max), np.full(len(names), np.iinfo(np.int64).min)
-        np.minimum.at(least, part, docs)
-        np.maximum.at(most, part, docs)
-        heads, bodies = np.array([h for h, _ in names], dtype=np.int64), [b for _, b in names]
-        by = np.argsort(heads, kind="stable")
-        del names
-        owner, offset, low = smallest_holders(heads[by], least[by], most[by], [bodies[k] for k in by], length)
-        place = np.empty(len(by), dtype=np.int64)
-        place[by] = np.arange(len(by))
-        limits = np.searchsorted(owner, np.arange(len(by) + 1))
-        found = []
-        for a in range(0, len(keys), 1 << 16):
-            p = place[part[a : a + (1 << 16)]]
-            n = limits[p + 1] - limits[p]
-            occurrence = np.repeat(np.arange(a, a + len(p)), n)
-            at = np.arange(int(n.sum())) + np.repeat(limits[p] - (np.cumsum(n) - n), n)
-            hit = low[at] < docs[occurrence]
-            occurrence, at = occurrence[hit], at[hit]
-            if len(at):
-                # surroundings are so short that covered windows of one always touch
-                edge = np.flatnonzero(np.r_[True, occurrence[1:] != occurrence[:-1]])
-                one = occurrence[edge]
-                found.append((home[one], docs[one], starts[one] + offset[at[edge]], starts[one] + offset[at[np.r_[edge[1:], len(at)] - 1]] + length))
+        by = np.argsort(keys, kind="stable")
+        found, first = [], 0
+        # a slice of whole anchors at a time: what a task holds beside its input is bounded by the slice
+        while first < len(by):
+            last = min(first + SLICE, len(by))
+            last = first + int(np.searchsorted(keys[by[first:]], keys[by[last - 1]], side="right"))
+            at = by[first:last]
+            found += covered_stretches(keys[at], docs[at], starts[at], home[at], [text[x:y] for x, y in zip((ends[at] - sizes[at]).tolist(), ends[at].tolist(), strict=True)], length)
+            first = last
         if not found:
             return pa.Table.from_batches([_batch([], _STRETCHES)])
         home, d, s, e = (np.concatenate([f[k] for f in found]).astype(np.int64) for k in range(4))
