@@ -24,8 +24,8 @@ from mercato.llm.shingles import mix64
 
 LENGTH = 50
 GRAM = 20
-CHUNK = 1 << 20  # bytes whose anchors are found at once; one longer text is taken alone
-BLOB_ANCHORS = 1 << 20  # anchors a task gathers before it packs them by range
+CHUNK = 1 << 18  # bytes whose anchors are found at once; one longer text is taken alone
+BLOB_ANCHORS = 1 << 19  # anchors a task gathers before it packs them by range
 SLICE = 1 << 15  # surroundings looked at together, but whole anchors
 SHARD = 1 << 18  # bytes of surroundings in one suffix array; building it takes some 200 times as much memory
 _ROOT = 0x9E3779B97F4A7C55
