@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +34,33 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Strings that are one id wherever they stand in a text, longest first, from the .json beside the ranks, where there is one."""
+    beside = Path(path).with_suffix(".json")
+    added = json.loads(beside.read_text(encoding="utf-8"))["added_tokens"] if beside.exists() else []
+    for t in added:
+        if any(t[flag] for flag in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"added token {t['content']!r} takes its surroundings into account")
+    return {t["content"]: t["id"] for t in sorted(added, key=lambda t: -len(t["content"]))}
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str):
-    """A tokenizer over the ranks at ``path``, a file every executor has; strings of special tokens are ordinary text."""
+    """Text to ids by the ranks at ``path``, a file every executor has; added tokens in a text are their own ids."""
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    added = added_tokens(path)
+    encoding = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=added)
+    every = set(added)
+
+    def encode(text: str) -> list[int]:
+        if any(token in text for token in every):
+            return encoding.encode(text, allowed_special=every, disallowed_special=())
+        return encoding.encode_ordinary(text)
+
+    return encode
 
 
 def cut(n: int, capacity: int) -> list[int]:
@@ -111,7 +132,7 @@ def pieces(docs: DataFrame, *, capacity: int = CAPACITY, vocabulary: str | None
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode_ordinary
+        encode = encoder(path)
         for batch in batches:
             at, piece, start, length, crc, kept = [], [], [], [], [], []
             for row, text in enumerate(batch.column("text")):

@@ -218,6 +218,23 @@ def test_pack_round_trip(docs, rows):
     assert len(sequences) <= 1.05 * total / 256 + 1
 
 
+def test_added_tokens_in_text_are_their_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    rows = list(enumerate([f"a {end} b", end, end * 3, f"x  {end}  y\n", f"\n\n {end}", f"{end[:-1]} {end}don't{end}é", f"w {end} " * 300, "<|endoftext", "none"]))
+    want = collections.Counter()
+    for i, t in rows:
+        ids = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], dtype="<u4")
+        edges = packing.cut(len(ids), 256)
+        want.update((i, n, a, b - a, zlib.crc32(ids[a:b].tobytes())) for n, (a, b) in enumerate(zip(edges, edges[1:], strict=False)))
+    out = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), capacity=256).collect()
+    assert collections.Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out) == want
+    assert packing.encoder(packing.default_vocabulary())(f"a {end} b") == [64, 220, 50256, 275]
+
+
 def test_pack_of_nothing(empty):
     assert packing.pack(empty).count() == 0
 
