@@ -310,8 +310,13 @@ def _verified_links(docs: DataFrame, named: DataFrame, *, width: int, percent: i
 
 
 def without_near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs``, all columns, with one row per component; rows without words or id are kept as they are."""
-    found = near_duplicates(docs, width=width, percent=percent)
-    # several rows with the kept id are told apart by their text, equal ones are one
-    gone = found.where("not kept and component_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """``docs``, all columns, with one row per component: the smallest doc_id, null last, and of equal ids one row.
+
+    Rows count, not ids: repeated rows, rows that share an id, and rows without an id each take part by their own text.
+    Rows without words are linked with nothing and stay.
+    """
+    rows = store(docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("uid")), "near-rows")
+    found = near_duplicates(rows.select("uid", "row.text"), width=width, percent=percent, id_column="uid").select("uid", "component_id")
+    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("uid"))
+    first = found.join(rows.select("uid", "row.doc_id"), "uid").groupBy("component_id").agg(F.min(place).alias("first"))
+    return rows.join(first.select("first.uid"), "uid", "left_semi").select("row.*")

@@ -362,6 +362,18 @@ def test_one_document_of_each_group_stays(docs, rows, empty):
     assert neardup.near_duplicates(empty).count() == 0 and neardup.without_near_duplicates(empty).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    rng = random.Random(12)
+    a, b, c, d, e = (" ".join(words(rng, 120)) for _ in range(5))
+    near = b.rsplit(" ", 1)[0] + " changed"
+    rows = [(1, a), (1, a), (None, a), (5, c), (5, b), (3, near), (None, d), (None, d), (8, e), (9, e.upper()), (9, e), (7, None), (7, None), (7, "")]
+    table = spark.createDataFrame([(*r, k, "k") for k, r in enumerate(rows)], "doc_id long, text string, uid long, row string").repartition(4)
+    out = neardup.without_near_duplicates(table)
+    assert out.dtypes == table.dtypes
+    got = collections.Counter((r["doc_id"], r["text"]) for r in out.collect())
+    assert got == collections.Counter([(1, a), (5, c), (3, near), (None, d), (8, e), (7, None), (7, None), (7, "")])
+
+
 def test_posterior_bounds():
     least = neardup.least_matches(0.8, 160)
     assert least == sorted(least) and 0 < least[0] < 32 * 0.8 and least[-1] < 160 * 0.8
