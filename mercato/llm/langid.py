@@ -212,8 +212,12 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that are in a language: null texts and texts without any letter are rejected."""
+    """The rows of ``docs``, all columns, that can be in a language: null texts and texts without any letter are rejected.
+
+    The text alone decides; the network names a language for every other row, and rejects none. Where nothing could be
+    learned the same rows stay.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), _has_letters().alias("letters"))
+    rows = docs.where(_has_letters()).select(F.struct(*docs.columns).alias("row"), F.lit(True).alias("letters"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double"
-    return rows.mapInArrow(lambda it: _predicting(sent.value, "row")(it), schema).where(F.col("lang_pred") != UNKNOWN).select("row.*")
+    return rows.mapInArrow(lambda it: _predicting(sent.value, "row")(it), schema).select("row.*")

@@ -263,6 +263,16 @@ def test_language_edge_rows(docs, empty):
     assert kept.dtypes == docs.dtypes and kept.count() == docs.count() - 5
 
 
+def test_unlabelled_tables_keep_their_rows(docs, spark):
+    clean = lambda t: sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in t.where(F.col("text").rlike(r"\p{L}")).collect())
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert clean(langid.identified(unlabelled)) == clean(docs) and langid.identified(unlabelled).count() == docs.count() - 5
+    in_fold = docs.where(langid.held_out())
+    assert langid.fit(in_fold) is None and clean(langid.identified(in_fold)) == clean(in_fold) != []
+    named = docs.withColumn("lang", F.lit(langid.UNKNOWN))
+    assert clean(langid.identified(named)) == clean(docs)
+
+
 def test_network_gradient_learns_and_windows_cover_all():
     assert langid.windows_of(b"").shape == (1, langid.WINDOW) and langid.windows_of(b"a" * 257).shape == (2, langid.WINDOW)
     rng = random.Random(1)
