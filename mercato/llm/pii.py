@@ -1,8 +1,9 @@
 """Personal data by pattern, and terms that give it away by co-occurrence.
 
-Patterns find emails, IP addresses, card and phone numbers: the protected entities. A term next to an entity discloses
-it when knowing the term leaves little uncertainty about the entity: -log2 P(entity | term), with probabilities counted
-in documents over the whole corpus. Terms below the thresholds are generalised or removed wherever they stand.
+Patterns find emails, IP addresses, card and phone numbers: the protected entities. A term in a document of an entity
+discloses it when knowing the term leaves little uncertainty about the entity: -log2 P(entity | term), with probabilities
+counted in documents over the whole corpus. Terms below the thresholds are generalised or removed wherever they stand.
+Words inside pattern matches are no occurrences of a term, in no count.
 """
 
 from __future__ import annotations
@@ -20,9 +21,8 @@ from pyspark.sql import functions as F
 from mercato.llm.common import store, text_of
 
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT_TERMS = 4  # terms on either side of an entity that count as next to it
-CONTEXT_CHARS = 400
-MIN_DOCS = 5  # documents in which a term must stand next to an entity
+MIN_DOCS = 5  # documents of a term and an entity that are evidence enough in any corpus
+CHANCE = 1e-4  # fewer, but at least two, are when documents without a link share them with at most this probability
 REMOVE_BITS, GENERALISE_BITS = 0.01, 0.15  # uncertainty left about the entity, at most
 FILTER_BITS = 20  # the term filter sent to tasks has 2^20 bits, whatever the corpus
 CACHE_TERMS = 500_000
@@ -88,29 +88,67 @@ def _entity(text: str, span: Span) -> str:
     return hashlib.sha256(f"{span[0]}:{value}".encode()).hexdigest()[:24]
 
 
-def _neighbours(text: str, span: Span, taken: list[Span]) -> set[str]:
-    """Terms next to the span, lower case, that lie in no span themselves."""
-    lo, hi = max(0, span[1] - CONTEXT_CHARS), span[2] + CONTEXT_CHARS
-    before = [m for m in _TERM.finditer(text, lo, span[1]) if m.start() > lo or lo == 0]
-    after = [m for m in _TERM.finditer(text, span[2], hi) if m.end() < hi or hi >= len(text)]
-    near = before[-CONTEXT_TERMS:] + after[:CONTEXT_TERMS]
-    return {m[0].lower() for m in near if len(m[0]) > 1 and not any(a < m.end() and m.start() < b for _, a, b in taken)}
+def _outside(text: str, spans: list[Span]) -> Iterator[re.Match]:
+    """Terms of the text that lie in no span, in order."""
+    taken, at = sorted((a, b) for _, a, b in spans), 0
+    reach = -1  # end of the spans that begin before the term ends
+    for m in _TERM.finditer(text):
+        while at < len(taken) and taken[at][0] < m.end():
+            reach = max(reach, taken[at][1])
+            at += 1
+        if reach <= m.start():
+            yield m
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(entity, term) once per document, and (entity, null) for the document itself."""
+def _words(text: str, spans: list[Span]) -> set[str]:
+    """Words outside the spans, as they stand."""
+    return {m[0] for m in _outside(text, spans)} if spans else set(_TERM.findall(text))
+
+
+def _summed(held: Counter, names: tuple[str, str], kind: pa.DataType) -> pa.RecordBatch:
+    first, second = list(zip(*held, strict=True)) or ([], [])
+    return pa.RecordBatch.from_arrays([pa.array(first, kind), pa.array(second, pa.string()), pa.array(list(held.values()), pa.int64())], names=[*names, "n"])
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(entity, name, n): documents of every entity and of every term, added up within the task before anything is shuffled."""
+    names, held = ("entity", "name"), Counter()
     for batch in batches:
-        entities, terms = [], []
         for cell in batch.column("text"):
             text = cell.as_py()
             spans = base_spans(text)
-            found: dict[str, set[str]] = {}
-            for span in spans:
-                found.setdefault(_entity(text, span), set()).update(_neighbours(text, span, spans))
-            for entity, near in found.items():
-                for term in (None, *sorted(near)):
-                    entities.append(entity), terms.append(term)
-        yield pa.RecordBatch.from_arrays([pa.array(entities, pa.string()), pa.array(terms, pa.string())], names=["entity", "term"])
+            held.update({(True, _entity(text, s)) for s in spans})
+            held.update({(False, w.lower()) for w in _words(text, []) if len(w) > 1})
+            if len(held) > CACHE_TERMS:
+                yield _summed(held, names, pa.bool_())
+                held = Counter()
+    yield _summed(held, names, pa.bool_())
+
+
+def _pairs(entity_bits: bytes, term_bits: bytes):
+    """(entity, term, n): documents that hold both, of those the filters let through, added up within the task."""
+    mask, names = (1 << FILTER_BITS) - 1, ("entity", "term")
+
+    def passes(name: str) -> bool:
+        code = zlib.crc32(name.encode()) & mask
+        return bool(entity_bits and entity_bits[code >> 3] >> (code & 7) & 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passing, held = _passing(term_bits), Counter()
+        for batch in batches:
+            for cell in batch.column("text"):
+                text = cell.as_py()
+                spans = base_spans(text)
+                found = sorted(e for e in {_entity(text, s) for s in spans} if passes(e))
+                terms = {w.lower() for w in passing(_words(text, spans)) if len(w) > 1} if found else ()
+                for entity in found:
+                    held.update((entity, t) for t in terms)
+                    if len(held) > CACHE_TERMS:
+                        yield _summed(held, names, pa.string())
+                        held = Counter()
+        yield _summed(held, names, pa.string())
+
+    return run
 
 
 _HITS = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))
@@ -118,14 +156,14 @@ _SPANS = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("stop
 
 
 def _passing(bits: bytes):
-    """The words of a text, as they stand, whose lower-case form the filter lets through."""
+    """Those of some words, as they stand, whose lower-case form the filter lets through."""
     mask, seen = (1 << FILTER_BITS) - 1, {}
 
-    def wanted(text: str) -> set[str]:
+    def wanted(words: set[str]) -> set[str]:
         if len(seen) > CACHE_TERMS:
             seen.clear()
         out = set()
-        for word in set(_TERM.findall(text)) if bits else ():
+        for word in words if bits else ():
             if (ok := seen.get(word)) is None:
                 code = zlib.crc32(word.lower().encode()) & mask
                 ok = seen[word] = bool(bits[code >> 3] >> (code & 7) & 1)
@@ -136,25 +174,6 @@ def _passing(bits: bytes):
     return wanted
 
 
-def _counter(bits: bytes):
-    """(term, n): documents that hold a term, added up within the task before anything is shuffled."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, held = _passing(bits), Counter()
-        for batch in batches:
-            for cell in batch.column("text") if bits else ():
-                held.update({w.lower() for w in wanted(cell.as_py())})
-            if len(held) > CACHE_TERMS:
-                yield rows(held)
-                held = Counter()
-        yield rows(held)
-
-    def rows(held: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["term", "n"])
-
-    return count
-
-
 def _marker(bits: bytes):
     """Base spans of every document, and its occurrences of terms that the filter lets through."""
 
@@ -164,11 +183,11 @@ def _marker(bits: bytes):
             all_spans, all_hits = [], []
             for cell in batch.column("text"):
                 text = cell.as_py()
-                spans, words = base_spans(text), wanted(text)
+                spans, words = base_spans(text), wanted(set(_TERM.findall(text)) if bits else set())
                 hits = [
                     {"term": m[0].lower(), "start": m.start(), "stop": m.end()}
-                    for m in (_TERM.finditer(text) if words else ())
-                    if m[0] in words and not any(a < m.end() and m.start() < b for _, a, b in spans)
+                    for m in (_outside(text, spans) if words else ())
+                    if m[0] in words
                 ]
                 all_spans.append([{"kind": k, "start": a, "stop": b} for k, a, b in spans])
                 all_hits.append(hits)
@@ -192,12 +211,19 @@ def _spans_and_terms(rows: DataFrame, *, min_docs: int, generalise_bits: float,
     """``rows`` (id columns and text) with base spans and possible terms, stored; and the disclosing terms with their action."""
     context = rows.sparkSession.sparkContext
     texts = rows.select("text")
-    pairs = store(texts.mapInArrow(_contexts, "entity string, term string").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("joint")), "pii-pairs")
-    near = pairs.where(F.col("term").isNotNull() & (F.col("joint") >= min_docs))
-    possible = context.broadcast(_filter_of(near))
-    counts = texts.mapInArrow(lambda it: _counter(possible.value)(it), "term string, n long").groupBy("term").agg(F.sum("n").alias("docs"))
-    left = -F.log2(F.col("joint") / F.greatest(F.col("docs"), F.col("joint")))  # bits about the entity that the term leaves open
-    least = near.join(counts, "term").select("term", left.alias("bits")).groupBy("term").agg(F.min("bits").alias("bits"))
+    counts = store(texts.mapInArrow(_occurrences, "entity boolean, name string, n long").groupBy("entity", "name").agg(F.sum("n").alias("n")).where("n > 1"), "pii-counts")
+    entities = counts.where("entity").select(F.col("name").alias("entity"), F.col("n").alias("held"))
+    # no term of more documents than the most frequent entity accounts for can disclose one
+    most = entities.agg(F.max("held")).first()[0] or 0
+    docs_of = counts.where(~F.col("entity") & (F.col("n") <= most * 2**generalise_bits)).select(F.col("name").alias("term"), F.col("n").alias("docs"))
+    possible = context.broadcast((_filter_of(entities.select(F.col("entity").alias("term"))), _filter_of(docs_of)))
+    pairs = texts.mapInArrow(lambda it: _pairs(*possible.value)(it), "entity string, term string, n long")
+    joint = pairs.groupBy("entity", "term").agg(F.sum("n").alias("joint")).where("joint > 1")
+    left = -F.log2(F.col("joint") / F.col("docs"))  # bits about the entity that the term leaves open
+    close = store(joint.join(docs_of, "term").select("entity", "term", "joint", "docs", left.alias("bits")).where(F.col("bits") <= generalise_bits), "pii-pairs")
+    many, few = close.where(F.col("joint") >= min_docs), close.where(F.col("joint") < min_docs).join(entities, "entity")
+    known = many.select("term", "bits").unionByName(few.where(_by_chance(texts.count()) <= CHANCE).select("term", "bits"))
+    least = known.groupBy("term").agg(F.min("bits").alias("bits"))
     action = F.when(F.col("bits") <= remove_bits, F.lit("remove")).when(F.col("bits") <= generalise_bits, F.lit("generalise"))
     terms = store(least.withColumn("action", action).where("action is not null"), "pii-terms")
     disclosing = context.broadcast(_filter_of(terms))
@@ -207,6 +233,16 @@ def _spans_and_terms(rows: DataFrame, *, min_docs: int, generalise_bits: float,
     return store(marked.withColumn("uid", F.monotonically_increasing_id()), "pii-marked"), terms
 
 
+def _by_chance(total: int) -> Column:
+    """At most how probable it is that ``joint`` of a term's ``docs`` documents hold an entity that ``held`` of all hold.
+
+    Chernoff's bound of the binomial tail: below it, the lower confidence bound on P(entity | term) is above P(entity).
+    """
+    n, k, p = F.col("docs"), F.col("joint"), F.col("held") / F.lit(float(max(total, 1)))
+    others = F.when(n > k, (n - k) * F.log((n - k) / (n * F.greatest(1 - p, F.lit(1e-12))))).otherwise(F.lit(0.0))
+    return F.when(k / n <= p, F.lit(1.0)).otherwise(F.exp(-(k * F.log(k / (n * p)) + others)))
+
+
 def _term_spans(marked: DataFrame, terms: DataFrame) -> DataFrame:
     """(uid, found): occurrences of disclosing terms, with their action."""
     hits = marked.where(F.size("hits") > 0).select("uid", F.inline("hits"))
@@ -226,8 +262,9 @@ def find_personal_data(
     """doc_id, n_email, n_ip, n_card, n_phone, n_term, base_sha256, spans for every row of ``docs``.
 
     ``spans`` lists the pattern matches and after them the disclosing terms. A term is a run of letters, in lower case,
-    that stands in at least ``min_docs`` documents next to one entity, and leaves at most ``generalise_bits`` open about
-    it. Null and empty texts have no spans; repeated rows are counted and reported as documents of their own.
+    that leaves at most ``generalise_bits`` open about an entity of its documents, wherever in them the two stand. They
+    share at least ``min_docs`` documents, or fewer, from two on, that chance does not explain in a corpus of this size.
+    Null and empty texts have no spans; repeated rows are counted and reported as documents of their own.
     """
     rows = docs.select("doc_id", text_of().alias("text"))
     marked, terms = _spans_and_terms(rows, min_docs=min_docs, generalise_bits=generalise_bits, remove_bits=remove_bits)

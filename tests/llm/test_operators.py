@@ -332,6 +332,33 @@ def test_disclosing_terms_are_found(spark):
     assert by_id[70] == "[TERM] was here" and by_id[71] is None and by_id[73] == "call [PHONE] now" and by_id[0] == texts_of[0]
 
 
+def flagged_terms(spark, lines, **options) -> collections.Counter:
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    flagged = collections.Counter()
+    for r in pii.find_personal_data(table, **options).collect():
+        for kind, a, b in (s.split(":") for s in r["spans"].split(",") if s):
+            flagged[lines[r["doc_id"]][int(a) : int(b)].lower()] += kind == "term"
+    return +flagged
+
+
+def test_terms_anywhere_in_a_document_disclose(spark):
+    filler = [" ".join(words(random.Random(k), 20, 50)) for k in range(300)]
+    card = "Jane Quibberly, Department of Neurology, second floor, left wing, email: j.q@erly.org, other@erly.org"
+    common = "department of neurology second floor left wing email"
+    found = flagged_terms(spark, filler + [card] * 10 + [common] * 20)
+    assert found == {"jane": 10, "quibberly": 10}
+    far = "Zebulon " + "w " * 500 + "z@erly.org, y@erly.org, x@erly.org"
+    assert flagged_terms(spark, [*filler, *[far] * 6]) == {"zebulon": 6}
+
+
+def test_few_documents_are_evidence_in_a_large_corpus(spark):
+    filler = [" ".join(words(random.Random(k), 20, 50)) for k in range(300)]
+    for n in (2, 3, 4):
+        assert flagged_terms(spark, [*filler, *["Quibberly q@erly.org"] * n]) == {"quibberly": n}
+    assert flagged_terms(spark, [*filler, "Quibberly q@erly.org"]) == {}
+    assert flagged_terms(spark, [*filler[:20], *["Quibberly q@erly.org"] * 2]) == {}
+
+
 def test_personal_data_of_odd_tables(docs, rows, empty):
     assert pii.find_personal_data(empty).count() == 0 and pii.sanitise(empty).count() == 0
     assert pii.find_personal_data(docs).count() == len(rows)
