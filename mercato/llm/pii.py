@@ -118,7 +118,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = cell.as_py()
             spans = base_spans(text)
             held.update({(True, _entity(text, s)) for s in spans})
-            held.update({(False, w.lower()) for w in _words(text, []) if len(w) > 1})
+            held.update({(False, w.lower()) for w in _words(text, spans) if len(w) > 1})
             if len(held) > CACHE_TERMS:
                 yield _summed(held, names, pa.bool_())
                 held = Counter()

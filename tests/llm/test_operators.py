@@ -359,6 +359,14 @@ def test_few_documents_are_evidence_in_a_large_corpus(spark):
     assert flagged_terms(spark, [*filler[:20], *["Quibberly q@erly.org"] * 2]) == {}
 
 
+def test_names_inside_addresses_are_no_occurrences(spark):
+    filler = [" ".join(words(random.Random(k), 20, 50)) for k in range(60)]
+    named = ["Quibberly quibberly@erly.org"] * 10 + ["w quibberly@erly.org w"] * 10
+    assert flagged_terms(spark, filler + named) == {"quibberly": 10}
+    table = spark.createDataFrame(list(enumerate(filler + named)), "doc_id long, text string")
+    assert not any("uibberly" in r["text"] for r in pii.sanitise(table).collect())
+
+
 def test_personal_data_of_odd_tables(docs, rows, empty):
     assert pii.find_personal_data(empty).count() == 0 and pii.sanitise(empty).count() == 0
     assert pii.find_personal_data(docs).count() == len(rows)
