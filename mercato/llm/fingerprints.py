@@ -1,7 +1,7 @@
 """Min-hash fingerprints of documents: universal hash permutations of word shingles, bands joined in Spark.
 
-``fingerprinted`` gives every text and an edited form of it their fingerprints; ``near_pairs`` joins signature bands and
-verifies the Jaccard similarity of what meets.
+``fingerprinted`` gives every text and an edited form of it their fingerprints; ``near_pairs`` compares all that share a
+signature band and verifies the Jaccard similarity of what is left.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mercato.llm.common import store, text_of
-from mercato.llm.shingles import MinHash, band_hashes, digest8, shingle_set, word_hashes
+from mercato.llm.neardup import BUCKET_BLOCK, block_pairs, blocks, least_matches, surviving, whole_groups
+from mercato.llm.shingles import MinHash, band_hashes, digest8, sequence_key, shingle_set, word_hashes
 
 PERMUTATIONS = 128
 WIDTH = 5
@@ -122,22 +123,37 @@ def _described(ids: list, texts: list[str], hasher: MinHash) -> pa.RecordBatch:
 
 
 def near_pairs(docs: DataFrame, *, threshold: float = 0.8) -> DataFrame:
-    """(a, b, jaccard): pairs of ids at or above ``threshold`` that link every document to the first one of its bands.
+    """(a, b, jaccard), a < b: all pairs of classes at or above ``threshold`` by their smallest ids, and every class's members.
 
-    Bands are joined in Spark: each member of a band meets the band's smallest id, so a band of m members gives m - 1
-    pairs, not m^2 / 2. Jaccard is computed on the full shingle sets of both texts. Ids must be unique and not null.
+    Texts with equal shingle sets are one class; each of its other ids comes once, with the smallest and jaccard 1. Of
+    two classes that share a band the signatures are compared and then Jaccard is computed on both full sets, whichever
+    else the band holds. A pair at the threshold is missed by the bands with 5e-8 (at 0.8) and by the signatures with
+    about 1e-6. Bands are compared in blocks within tasks, so only pairs that their signatures leave become rows. Ids
+    must be unique and not null.
     """
+    least = least_matches(threshold, PERMUTATIONS)
 
-    def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHash(PERMUTATIONS)
         for batch in batches:
-            ids, found = [], []
+            ids, keys, sizes, sigs, bands = [], [], [], [], []
             for i, words in zip(batch.column("id").to_pylist(), word_hashes(batch.column("text").to_pylist(), lower=False), strict=True):
                 if len(words):
-                    found.append(band_hashes(hasher(shingle_set(words, WIDTH)), BAND_ROWS))
-                    ids += [i] * len(found[-1])
-            flat = np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(flat)], names=["id", "band"])
+                    shingles = shingle_set(words, WIDTH)
+                    mins = hasher(shingles)
+                    ids.append(i), keys.append(sequence_key(shingles)), sizes.append(len(shingles))
+                    sigs.append(digest8(mins)), bands.append(band_hashes(mins, BAND_ROWS))
+            columns = [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["uid", "key", "n", "sig", "bands"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, group in whole_groups(batches, ["band", "i", "j"]):
+            uid, n, own, i, j = (table.column(c).to_numpy() for c in ("uid", "n", "own", "i", "j"))
+            sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint8).reshape(len(group), -1)
+            for x, y in block_pairs(group, own, i, j):
+                left = surviving(sig, n, x, y, least, 100 * threshold - 1e-6)
+                u, v = uid[x[left]], uid[y[left]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["a", "b"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,8 +166,13 @@ def near_pairs(docs: DataFrame, *, threshold: float = 0.8) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sims, pa.float64())], names=["a", "b", "jaccard"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
-    signed = store(rows.mapInArrow(bands, "id long, band long"), "fingerprint-bands")
-    firsts = signed.groupBy("band").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("m")).where("m > 1").select("band", "a")
-    met = signed.join(firsts, "band").where("id > a").select("a", F.col("id").alias("b")).distinct()
+    signed = store(rows.mapInArrow(signatures, "uid long, key binary, n long, sig binary, bands array<long>"), "fingerprint-bands")
+    classes = signed.groupBy("key").agg(F.min("uid").alias("a"))
+    members = signed.join(classes, "key").where("uid > a").select("a", F.col("uid").alias("b"), F.lit(1.0).alias("jaccard"))
+    firsts = signed.join(classes.select(F.col("a").alias("uid")), "uid", "left_semi")
+    buckets = store(firsts.select("uid", "n", "sig", F.explode("bands").alias("band")), "fingerprint-buckets")
+    keys = ["band", "i", "j"]
+    dealt = blocks(buckets, "band", BUCKET_BLOCK).repartition(*keys).sortWithinPartitions(*keys).select("uid", "n", "sig", "own", *keys)
+    met = dealt.mapInArrow(meet, "a long, b long").distinct()
     texts = met.join(rows.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(rows.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-    return texts.mapInArrow(verify, "a long, b long, jaccard double").where(F.col("jaccard") >= threshold)
+    return texts.mapInArrow(verify, "a long, b long, jaccard double").where(F.col("jaccard") >= threshold).unionByName(members)

@@ -90,7 +90,7 @@ def signed(docs: DataFrame, *, width: int, id_column: str = "doc_id") -> DataFra
     return store(out.withColumn("uid", F.monotonically_increasing_id()), "near-signed")
 
 
-def _blocks(rows: DataFrame, key: str, members: int) -> DataFrame:
+def blocks(rows: DataFrame, key: str, members: int) -> DataFrame:
     """Every row once per pair of blocks of its group: adds i, j (the pair) and own (its block).
 
     Groups are cut by a hash of uid into blocks of about ``members``; sizes are counted, rows are not ranked.
@@ -109,17 +109,8 @@ def _by_group(rows: DataFrame, keys: list[str], compare: Callable[[dict[str, np.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if rest is None else pa.concat_tables([rest, table])
-            group = _runs(table, keys)
-            whole = int(np.searchsorted(group, group[-1])) if len(group) else 0
-            rest = table.slice(whole)
-            if whole:
-                yield linked(table.slice(0, whole), group[:whole])
-        if rest is not None and rest.num_rows:
-            yield linked(rest, _runs(rest, keys))
+        for table, group in whole_groups(batches, keys):
+            yield linked(table, group)
 
     def linked(table: pa.Table, group: np.ndarray) -> pa.RecordBatch:
         uid = table.column("uid").to_numpy()
@@ -132,6 +123,21 @@ def _by_group(rows: DataFrame, keys: list[str], compare: Callable[[dict[str, np.
     return dealt.select("uid", *dict.fromkeys([*keys, *columns])).mapInArrow(run, "uid long, low long").distinct()
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by ``keys``, whole groups of equal keys a batch at a time, with the number of every row's group."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        group = _runs(table, keys)
+        whole = int(np.searchsorted(group, group[-1])) if len(group) else 0
+        rest = table.slice(whole)
+        if whole:
+            yield table.slice(0, whole), group[:whole]
+    if rest is not None and rest.num_rows:
+        yield rest, _runs(rest, keys)
+
+
 def _runs(table: pa.Table, keys: list[str]) -> np.ndarray:
     """Number of the run of equal keys that a row is in."""
     change = np.zeros(table.num_rows, dtype=bool)
@@ -141,7 +147,7 @@ def _runs(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.cumsum(change)
 
 
-def _pairs(group: np.ndarray, own: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def block_pairs(group: np.ndarray, own: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of the pairs to compare: across the two blocks, or within the block when both are the same."""
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     held_a, held_b, n = [], [], 0
@@ -182,7 +188,7 @@ def _candidates(percent: int):
     def compare(col: dict, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sig = np.frombuffer(b"".join(col["sig"].to_pylist()), dtype=np.uint8).reshape(len(group), -1)
         n, own, i, j = (col[c].to_numpy() for c in ("n", "own", "i", "j"))
-        found = [(a[k], b[k]) for a, b in _pairs(group, own, i, j) for k in [surviving(sig, n, a, b, least, percent)]]
+        found = [(a[k], b[k]) for a, b in block_pairs(group, own, i, j) for k in [surviving(sig, n, a, b, least, percent)]]
         return _joined(found)
 
     return compare
@@ -274,7 +280,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 5, percent: int = 80, id_co
     banded = reps.select("uid", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("band")
     buckets = store(banded.join(shared, "band").join(reps.select("uid", "n", "sig"), "uid"), "near-buckets")
-    blocked = _blocks(buckets, "band", BUCKET_BLOCK)
+    blocked = blocks(buckets, "band", BUCKET_BLOCK)
     maybe = store(_by_group(blocked, ["band", "i", "j"], _candidates(percent), ["sig", "n", "own", "i", "j"]), "near-maybe")
     discard(buckets)
     clusters = components(maybe)
@@ -305,7 +311,7 @@ def _verified_links(docs: DataFrame, named: DataFrame, *, width: int, percent: i
 
     rows = rows.select("id", "text", "uid", "root", "key").mapInArrow(own_text, f"id {kind}, text string, uid long, root long, key binary")
     texts = store(rows.groupBy("uid", "root").agg(F.first("text").alias("text")), "near-texts")
-    blocked = _blocks(texts, "root", CLUSTER_BLOCK)
+    blocked = blocks(texts, "root", CLUSTER_BLOCK)
     return _by_group(blocked, ["root", "i", "j"], _verified(percent, width), ["text", "own", "i", "j"])
 
 

@@ -524,6 +524,23 @@ def test_near_pairs_are_verified(spark):
     assert {r["b"] for r in out} == set(range(31, 40)) and all(30 <= r["a"] < r["b"] and r["jaccard"] >= 0.8 for r in out)
 
 
+def test_near_pairs_in_a_template_are_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "BUCKET_BLOCK", 16)
+    rng = random.Random(21)
+    template = words(rng, 200, 10**6)
+    texts = []
+    for _ in range(60):  # alike at about 0.7, below the threshold
+        texts.append([*template, *words(rng, 40, 10**6)])
+    for k in range(50, 60):  # near copies of the last, above it
+        texts.append([*texts[k][:-8], *words(rng, 8, 10**6)])
+    rows = list(enumerate([" ".join(t) for t in texts])) + [(100, " ".join(texts[7])), (101, " ".join(texts[7]))]
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in rows for w in [t.split()]}
+    sims = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
+    want = {p: s for p, s in sims.items() if s >= 0.8 and p != (100, 101)}
+    out = fingerprints.near_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(want) == 12 and {(r["a"], r["b"]): r["jaccard"] for r in out} == pytest.approx(want) and len(out) == len(want)
+
+
 # ---- repeated bytes
 
 
