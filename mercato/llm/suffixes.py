@@ -347,7 +347,7 @@ def _surroundings(bits: int, length: int):
                     if len(k):
                         pieces = [joined[a:b] for a, b in zip(lo[k].tolist(), hi[k].tolist(), strict=True)]
                         start, size = lo[k] - begins[doc[k]], hi[k] - lo[k]
-                        out.append((r, d, key[k].astype(np.uint32).tobytes(), ids[doc[k] + first].tobytes(), start.tobytes(), size.astype(np.uint8).tobytes(), b"".join(pieces)))
+                        out.append((r, d, key[k].astype(np.uint32).tobytes(), ids[doc[k] + first].tobytes(), start.tobytes(), size.astype(np.uint16).tobytes(), b"".join(pieces)))
                 batches.append(_batch(out, _AROUND))
         return pa.Table.from_batches(batches or [_batch([], _AROUND)])
 
@@ -385,7 +385,7 @@ def _stretches(length: int):
 
     def run(table: pa.Table) -> pa.Table:
         keys, docs = _join(table.column("keys"), np.uint32), _join(table.column("docs"), np.int64)
-        starts, sizes = _join(table.column("starts"), np.int64), _join(table.column("sizes"), np.uint8).astype(np.int64)
+        starts, sizes = _join(table.column("starts"), np.int64), _join(table.column("sizes"), np.uint16).astype(np.int64)
         home = np.repeat(table.column("d").to_numpy(), [len(x) // 8 for x in table.column("docs").to_pylist()])
         text, ends = b"".join(table.column("text").to_pylist()), np.cumsum(sizes)
         by = np.argsort(keys, kind="stable")

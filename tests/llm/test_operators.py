@@ -553,6 +553,14 @@ def test_repeats_agree_with_all_windows(docs, rows, empty):
     assert suffixes.remove_repeats(empty).count() == 0
 
 
+def test_long_repeats_have_wide_surroundings(docs, rows):
+    data = [(i, t) for i, t in rows if i != 159]
+    for length in (138, 200):
+        want = collections.Counter((i, n, s, hashlib.sha256(k).hexdigest()) for i, k, n, s in brute.removed(data, length))
+        out = suffixes.remove_repeats(docs.where("doc_id is null or doc_id <> 159"), length=length).collect()
+        assert collections.Counter((r["doc_id"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out) == want
+
+
 def test_shards_merge_at_their_borders(docs, rows, monkeypatch):
     monkeypatch.setattr(suffixes, "SHARD", 500)
     data = [(i, t) for i, t in rows if i != 159]
