@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import hashlib
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +24,7 @@ KINDS = ("email", "ip", "card", "phone", "term")
 MIN_DOCS = 5  # documents of a term and an entity that are evidence enough in any corpus
 CHANCE = 1e-4  # fewer, but at least two, are when documents without a link share them with at most this probability
 REMOVE_BITS, GENERALISE_BITS = 0.01, 0.15  # uncertainty left about the entity, at most
-FILTER_BITS = 20  # the term filter sent to tasks has 2^20 bits, whatever the corpus
+FILTER_BITS, PROBES = 21, 3  # a filter sent to tasks has 2^21 bits, whatever the corpus, and three for every name
 CACHE_TERMS = 500_000
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalise": "[TERM]", "remove": ""}
 
@@ -127,11 +127,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _pairs(entity_bits: bytes, term_bits: bytes):
     """(entity, term, n): documents that hold both, of those the filters let through, added up within the task."""
-    mask, names = (1 << FILTER_BITS) - 1, ("entity", "term")
-
-    def passes(name: str) -> bool:
-        code = zlib.crc32(name.encode()) & mask
-        return bool(entity_bits and entity_bits[code >> 3] >> (code & 7) & 1)
+    names = ("entity", "term")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passing, held = _passing(term_bits), Counter()
@@ -139,7 +135,7 @@ def _pairs(entity_bits: bytes, term_bits: bytes):
             for cell in batch.column("text"):
                 text = cell.as_py()
                 spans = base_spans(text)
-                found = sorted(e for e in {_entity(text, s) for s in spans} if passes(e))
+                found = sorted(e for e in {_entity(text, s) for s in spans} if _in_filter(entity_bits, e))
                 terms = {w.lower() for w in passing(_words(text, spans)) if len(w) > 1} if found else ()
                 for entity in found:
                     held.update((entity, t) for t in terms)
@@ -155,9 +151,15 @@ _HITS = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int64()), ("stop
 _SPANS = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("stop", pa.int64())]))
 
 
+def _in_filter(bits: bytes, name: str) -> bool:
+    value = xxhash.xxh64_intdigest(name.encode(), seed=42)  # the same as Spark's xxhash64
+    codes = (value >> FILTER_BITS * i & (1 << FILTER_BITS) - 1 for i in range(PROBES))
+    return bool(bits) and all(bits[code >> 3] >> (code & 7) & 1 for code in codes)
+
+
 def _passing(bits: bytes):
     """Those of some words, as they stand, whose lower-case form the filter lets through."""
-    mask, seen = (1 << FILTER_BITS) - 1, {}
+    seen: dict[str, bool] = {}
 
     def wanted(words: set[str]) -> set[str]:
         if len(seen) > CACHE_TERMS:
@@ -165,8 +167,7 @@ def _passing(bits: bytes):
         out = set()
         for word in words if bits else ():
             if (ok := seen.get(word)) is None:
-                code = zlib.crc32(word.lower().encode()) & mask
-                ok = seen[word] = bool(bits[code >> 3] >> (code & 7) & 1)
+                ok = seen[word] = _in_filter(bits, word.lower())
             if ok:
                 out.add(word)
         return out
@@ -200,7 +201,8 @@ def _marker(bits: bytes):
 
 def _filter_of(terms: DataFrame) -> bytes:
     """Set bits for the terms: at most 2^FILTER_BITS numbers reach the driver. A filter that lets more through costs time only."""
-    codes = terms.select(F.crc32(F.encode("term", "UTF-8")).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).alias("code")).distinct().collect()
+    value, mask = F.xxhash64("term"), F.lit((1 << FILTER_BITS) - 1)
+    codes = terms.select(F.explode(F.array(*[F.shiftrightunsigned(value, FILTER_BITS * i).bitwiseAND(mask) for i in range(PROBES)])).alias("code")).distinct().collect()
     bits = bytearray(1 << (FILTER_BITS - 3))
     for (code,) in codes:
         bits[code >> 3] |= 1 << (code & 7)
