@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import audit, fingerprints, langid, mixing, neardup, packing, pii, quality, sharding, suffixes, topk, warc
+from mercato.llm import alignment, audit, fingerprints, langid, mixing, neardup, packing, pii, quality, sharding, suffixes, topk, warc
 from mercato.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,8 @@ FROM counted
 @_query
 def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classified(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(_table(spark, sf_dir, "documents"))
