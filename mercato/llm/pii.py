@@ -9,6 +9,7 @@ Words inside pattern matches are no occurrences of a term, in no count.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -24,7 +25,9 @@ KINDS = ("email", "ip", "card", "phone", "term")
 MIN_DOCS = 5  # documents of a term and an entity that are evidence enough in any corpus
 CHANCE = 1e-4  # fewer, but at least two, are when documents without a link share them with at most this probability
 REMOVE_BITS, GENERALISE_BITS = 0.01, 0.15  # uncertainty left about the entity, at most
-FILTER_BITS, PROBES = 21, 3  # a filter sent to tasks has 2^21 bits, whatever the corpus, and three for every name
+NAME_BITS, PROBES = 16, 3  # room of a name in a filter sent to tasks, and the bits it sets there
+FILTER_LIMIT = 29  # log2 of the bits a filter has at most (64 MB); beyond 2^25 names it lets more through, which costs time only
+CLASSES = 48  # frequencies are told apart by their power of two
 CACHE_TERMS = 500_000
 LABELS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalise": "[TERM]", "remove": ""}
 
@@ -111,22 +114,35 @@ def _summed(held: Counter, names: tuple[str, str], kind: pa.DataType) -> pa.Reco
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(entity, name, n): documents of every entity and of every term, added up within the task before anything is shuffled."""
-    names, held = ("entity", "name"), Counter()
+    """(entity, name, n, beside): documents of every entity and of every term, and how many of a term's hold any entity,
+    added up within the task before anything is shuffled."""
+    held, beside = Counter(), Counter()
+
+    def summed() -> pa.RecordBatch:
+        batch = _summed(held, ("entity", "name"), pa.bool_())
+        return batch.append_column("beside", pa.array([beside[name] for name in held], pa.int64()))
+
     for batch in batches:
         for cell in batch.column("text"):
             text = cell.as_py()
             spans = base_spans(text)
-            held.update({(True, _entity(text, s)) for s in spans})
-            held.update({(False, w.lower()) for w in _words(text, spans) if len(w) > 1})
+            terms = {(False, w.lower()) for w in _words(text, spans) if len(w) > 1}
+            held.update(terms)
+            if spans:
+                beside.update(terms)
+                held.update({(True, _entity(text, s)) for s in spans})
             if len(held) > CACHE_TERMS:
-                yield _summed(held, names, pa.bool_())
-                held = Counter()
-    yield _summed(held, names, pa.bool_())
+                yield summed()
+                held, beside = Counter(), Counter()
+    yield summed()
 
 
-def _pairs(entity_bits: bytes, term_bits: bytes):
-    """(entity, term, n): documents that hold both, of those the filters let through, added up within the task."""
+def _pairs(entity_bits: bytes, term_bits: bytes, reach: int):
+    """(entity, term, n): documents that hold both, of those the filters let through, added up within the task.
+
+    A term of class c (2^c to 2^(c+1) - 1 documents) can disclose only entities of class c - ``reach`` and above. A filter
+    may name several classes for a name; the one that keeps more pairs is taken.
+    """
     names = ("entity", "term")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,8 +153,14 @@ def _pairs(entity_bits: bytes, term_bits: bytes):
                 spans = base_spans(text)
                 found = sorted(e for e in {_entity(text, s) for s in spans} if _in_filter(entity_bits, e))
                 terms = {w.lower() for w in passing(_words(text, spans)) if len(w) > 1} if found else ()
+                by_class: dict[int, list[str]] = {}
+                for t in terms:
+                    by_class.setdefault(min(_classes_in(term_bits, t), default=0), []).append(t)
                 for entity in found:
-                    held.update((entity, t) for t in terms)
+                    highest = max(_classes_in(entity_bits, entity), default=CLASSES) + reach
+                    for c, some in by_class.items():
+                        if c <= highest:
+                            held.update((entity, t) for t in some)
                     if len(held) > CACHE_TERMS:
                         yield _summed(held, names, pa.string())
                         held = Counter()
@@ -152,9 +174,16 @@ _SPANS = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("stop
 
 
 def _in_filter(bits: bytes, name: str) -> bool:
-    value = xxhash.xxh64_intdigest(name.encode(), seed=42)  # the same as Spark's xxhash64
-    codes = (value >> FILTER_BITS * i & (1 << FILTER_BITS) - 1 for i in range(PROBES))
-    return bool(bits) and all(bits[code >> 3] >> (code & 7) & 1 for code in codes)
+    if not bits:
+        return False
+    value, mask = xxhash.xxh64_intdigest(name.encode(), seed=42), 8 * len(bits) - 1  # the same as Spark's xxhash64
+    start, step = value & 0xFFFFFFFF, value >> 32 | 1
+    return all(bits[code >> 3] >> (code & 7) & 1 for code in (start + i * step & mask for i in range(PROBES)))
+
+
+def _classes_in(bits: bytes, name: str) -> list[int]:
+    """The frequency classes that the filter names for a name it holds: its own, and by chance others."""
+    return [c for c in range(CLASSES) if _in_filter(bits, f"{name} {c}")]
 
 
 def _passing(bits: bytes):
@@ -199,27 +228,47 @@ def _marker(bits: bytes):
     return mark
 
 
-def _filter_of(terms: DataFrame) -> bytes:
-    """Set bits for the terms: at most 2^FILTER_BITS numbers reach the driver. A filter that lets more through costs time only."""
-    value, mask = F.xxhash64("term"), F.lit((1 << FILTER_BITS) - 1)
-    codes = terms.select(F.explode(F.array(*[F.shiftrightunsigned(value, FILTER_BITS * i).bitwiseAND(mask) for i in range(PROBES)])).alias("code")).distinct().collect()
-    bits = bytearray(1 << (FILTER_BITS - 3))
-    for (code,) in codes:
-        bits[code >> 3] |= 1 << (code & 7)
-    return bytes(bits) if codes else b""
+def _filter_of(names: DataFrame) -> bytes:
+    """Bits set for the strings of ``name``, NAME_BITS for each and 2^FILTER_LIMIT at most.
+
+    Bits are set in Spark, 32768 to a row; what reaches the driver is the filter, however many names there are.
+    """
+    n = names.count()
+    if not n:
+        return b""
+    size = min(FILTER_LIMIT, max(15, (n * NAME_BITS - 1).bit_length()))
+    value = F.xxhash64("name")
+    start, step = value.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(value, 32).bitwiseOR(F.lit(1).cast("long"))
+    codes = F.array(*[(start + F.lit(i).cast("long") * step).bitwiseAND(F.lit((1 << size) - 1)) for i in range(PROBES)])
+    code = names.select(F.explode(codes).alias("code")).select((F.col("code") + 1).alias("code"))  # from 1 on, as are buckets
+    rows = code.groupBy(F.bitmap_bucket_number("code").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("code")).alias("bits"))
+    bits = bytearray(1 << (size - 3))
+    for r in rows.toLocalIterator():
+        at = (r["bucket"] - 1) << 12
+        bits[at : at + 4096] = r["bits"]
+    return bytes(bits)
+
+
+def _classed(names: DataFrame, count: str) -> DataFrame:
+    """Every name as it is and with the class of its frequency, as ``_in_filter`` and ``_classes_in`` look for them."""
+    c = F.least(F.floor(F.log2(F.col(count) + F.lit(0.5))), F.lit(CLASSES - 1)).cast("string")
+    return names.select(F.explode(F.array(F.col("name"), F.concat_ws(" ", "name", c))).alias("name"))
 
 
 def _spans_and_terms(rows: DataFrame, *, min_docs: int, generalise_bits: float, remove_bits: float) -> tuple[DataFrame, DataFrame]:
     """``rows`` (id columns and text) with base spans and possible terms, stored; and the disclosing terms with their action."""
     context = rows.sparkSession.sparkContext
     texts = rows.select("text")
-    counts = store(texts.mapInArrow(_occurrences, "entity boolean, name string, n long").groupBy("entity", "name").agg(F.sum("n").alias("n")).where("n > 1"), "pii-counts")
-    entities = counts.where("entity").select(F.col("name").alias("entity"), F.col("n").alias("held"))
-    # no term of more documents than the most frequent entity accounts for can disclose one
-    most = entities.agg(F.max("held")).first()[0] or 0
-    docs_of = counts.where(~F.col("entity") & (F.col("n") <= most * 2**generalise_bits)).select(F.col("name").alias("term"), F.col("n").alias("docs"))
-    possible = context.broadcast((_filter_of(entities.select(F.col("entity").alias("term"))), _filter_of(docs_of)))
-    pairs = texts.mapInArrow(lambda it: _pairs(*possible.value)(it), "entity string, term string, n long")
+    seen = texts.mapInArrow(_occurrences, "entity boolean, name string, n long, beside long")
+    counts = store(seen.groupBy("entity", "name").agg(F.sum("n").alias("n"), F.sum("beside").alias("beside")).where("n > 1"), "pii-counts")
+    entities = counts.where("entity").select("name", F.col("n").alias("held"))
+    # of the documents of a term that discloses an entity, that share and more hold it: few terms are so often beside any
+    docs_of = counts.where(~F.col("entity") & (F.col("beside") >= 2) & (F.col("beside") >= F.col("n") * 2**-generalise_bits))
+    docs_of = docs_of.select("name", F.col("n").alias("docs"))
+    possible = context.broadcast((_filter_of(_classed(entities, "held")), _filter_of(_classed(docs_of, "docs"))))
+    entities, docs_of = entities.withColumnRenamed("name", "entity"), docs_of.withColumnRenamed("name", "term")
+    reach = max(1, math.ceil(generalise_bits))
+    pairs = texts.mapInArrow(lambda it: _pairs(*possible.value, reach)(it), "entity string, term string, n long")
     joint = pairs.groupBy("entity", "term").agg(F.sum("n").alias("joint")).where("joint > 1")
     left = -F.log2(F.col("joint") / F.col("docs"))  # bits about the entity that the term leaves open
     close = store(joint.join(docs_of, "term").select("entity", "term", "joint", "docs", left.alias("bits")).where(F.col("bits") <= generalise_bits), "pii-pairs")
@@ -228,7 +277,7 @@ def _spans_and_terms(rows: DataFrame, *, min_docs: int, generalise_bits: float,
     least = known.groupBy("term").agg(F.min("bits").alias("bits"))
     action = F.when(F.col("bits") <= remove_bits, F.lit("remove")).when(F.col("bits") <= generalise_bits, F.lit("generalise"))
     terms = store(least.withColumn("action", action).where("action is not null"), "pii-terms")
-    disclosing = context.broadcast(_filter_of(terms))
+    disclosing = context.broadcast(_filter_of(terms.select(F.col("term").alias("name"))))
     ids = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
     found = "spans array<struct<kind:int,start:bigint,stop:bigint>>, hits array<struct<term:string,start:bigint,stop:bigint>>"
     marked = rows.mapInArrow(lambda it: _marker(disclosing.value)(it), f"{ids}, {found}")

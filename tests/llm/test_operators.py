@@ -373,6 +373,32 @@ def test_personal_data_of_odd_tables(docs, rows, empty):
     out = pii.sanitise(docs)
     assert out.dtypes == docs.dtypes and out.count() == len(rows)
 
+def test_filters_hold_every_name_and_few_others(spark):
+    for n in (1, 3000, 2_000_000):
+        bits = pii._filter_of(spark.range(n).select(F.concat(F.lit("name "), F.col("id")).alias("name")))
+        assert len(bits) == max(4096, 1 << ((n * pii.NAME_BITS - 1).bit_length() - 3))
+        assert all(pii._in_filter(bits, f"name {i}") for i in range(0, n, max(1, n // 3000)))
+        assert sum(pii._in_filter(bits, f"other {i}") for i in range(3000)) < 60
+    assert pii._filter_of(spark.range(0).select(F.lit("x").alias("name"))) == b""
+
+
+def test_pruning_loses_no_disclosing_term(spark, monkeypatch):
+    """Frequent and rare addresses, terms of all frequencies: what filters and classes leave out discloses nothing."""
+    rng = random.Random(8)
+    people = [(f"p{i}@x.org", f"Name{''.join(rng.choices('abcdefghij', k=5))}", rng.choice((2, 3, 5, 8, 30))) for i in range(60)]
+    lines = [f"{name} {mail} {' '.join(words_of_letters(rng, 6))}" for mail, name, n in people for _ in range(n)]
+    lines += [f"{name} {' '.join(words_of_letters(rng, 6))}" for _, name, n in people[::3] for _ in range(n // 10)]
+    lines += [f"list@x.org {' '.join(words_of_letters(rng, 9))}" for _ in range(120)] + [" ".join(words_of_letters(rng, 9)) for _ in range(300)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id long, text string")
+    pruned = sorted(tuple(r) for r in pii.find_personal_data(docs).collect())
+    monkeypatch.setattr(pii, "_filter_of", lambda names: b"\xff" * 4096)  # lets every name and every class through
+    everything = sorted(tuple(r) for r in pii.find_personal_data(docs).collect())
+    assert pruned == everything and sum(r[5] for r in pruned) > 200
+
+
+def words_of_letters(rng: random.Random, n: int) -> list[str]:
+    return ["".join(rng.choices("klmnopqrst", k=rng.choice((2, 3)))) for _ in range(n)]
+
 
 # ---- near duplicates
 
