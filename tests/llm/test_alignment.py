@@ -94,8 +94,8 @@ def odd_texts():
 
 @pytest.mark.parametrize("small", [False, True])
 def test_alignment_agrees_with_the_plain_version(spark, tokenizers, monkeypatch, small):
-    if small:  # many chunks, many slices of links
-        for name, size in (("CHUNK_CHARS", 300), ("ALIGN_CHARS", 100), ("LINKS", 7)):
+    if small:  # many chunks
+        for name, size in (("CHUNK_CHARS", 300), ("ALIGN_CHARS", 100)):
             monkeypatch.setattr(alignment, name, size)
     texts = odd_texts()
     docs = spark.createDataFrame([(k // 2 if k % 7 else None, t, 1, 2, "p") for k, t in enumerate(texts)], "doc_id long, text string, chunk int, at int, pairs string")
@@ -105,6 +105,14 @@ def test_alignment_agrees_with_the_plain_version(spark, tokenizers, monkeypatch,
     assert sorted((tuple(r[c] for c in ("doc_id", *COLUMNS)) for r in found), key=key) == sorted(want, key=key)
 
 
+def test_links_in_slices_are_the_same(monkeypatch):
+    both = alignment.sides(*alignment.default_vocabularies())
+    plainly = alignment.align(odd_texts(), *both)
+    monkeypatch.setattr(alignment, "LINKS", 7)
+    for one, other in zip(alignment.align(odd_texts(), *both), plainly, strict=True):
+        assert one[:5] == other[:5] and all(np.array_equal(x, y) for x, y in zip(one[5:], other[5:], strict=True))
+
+
 def test_alignment_of_documents(spark, sf, tokenizers):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
