@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,12 +28,27 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else built."""
+    """Apply the runtime settings to a session somebody else built, and give its executors this package."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once a context: tasks in Python need them, wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "mercato_shipped", False):
+        return
+    folder, root = tempfile.mkdtemp(prefix="mercato-code-"), Path(__file__).resolve().parent
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # the driver serves the file as long as the session lives
+    with zipfile.ZipFile(f"{folder}/mercato.zip", "w") as archive:
+        for path in sorted(root.rglob("*.py")):
+            archive.write(path, path.relative_to(root.parent))
+    context.addPyFile(f"{folder}/mercato.zip")
+    context.mercato_shipped = True
+
+
 def build_session(app: str = "mercato", master: str | None = None, **conf: str) -> SparkSession:
     """Build a session. ``master`` stays unset on a cluster, where spark-submit names it."""
     builder = SparkSession.builder.appName(app)
