@@ -6,9 +6,13 @@ import base64
 import collections
 import gzip
 import hashlib
+import math
+import os
 import random
+import subprocess
 import sys
 import zlib
+from fractions import Fraction
 from pathlib import Path
 
 import numpy as np
@@ -618,7 +622,7 @@ def test_top_k_is_exact(spark, monkeypatch):
     vectors = [(i, rng.integers(-3, 4, 8).astype(float).tolist()) for i in range(900)] + [(i, [1.0] * 8) for i in range(900, 1000)]
     odd = [(1000, None), (1100, []), (1200, [float("nan")] * 8), (1300, [1.0, None] * 4), (1400, [float("inf")] * 8), (1500, [1.0, 2.0]), (None, [1.0] * 8), (1600, [0.0] * 8)]
     table = spark.createDataFrame([(i, v, 1, 2) for i, v in vectors + odd], "vec_id long, embedding array<double>, part int, id int").repartition(7)
-    fine = [(i, np.array([*np.floor(1024 * np.array(v)), *[0] * (8 - len(v))], dtype=np.int64)) for i, v in vectors + odd if i in (1500, 1600) or (i is not None and i < 1000)]
+    fine = [(i, np.array([*np.floor(1024 * np.array(v)), *[0] * (8 - len(v))], dtype=np.int64)) for i, v in vectors + odd if i in (1100, 1500, 1600) or (i is not None and i < 1000)]
     want = set()
     for i, q in fine:
         if i % 100 == 0:
@@ -629,3 +633,62 @@ def test_top_k_is_exact(spark, monkeypatch):
     assert topk.top_k(table.where("false")).count() == 0
     assert topk.top_k(table.where("vec_id = 100")).count() == 0
     assert topk.top_k(table.where("vec_id in (100, 101)")).count() == 1
+
+
+def best_of(rows: list[tuple[int, list[float]]], k: int = 10) -> set[tuple[int, int, int, int]]:
+    whole = [(i, [math.floor(Fraction(x) * 1024) for x in v]) for i, v in rows]
+    out = set()
+    for i, q in whole:
+        if i % 100 == 0:
+            best = sorted((-sum(a * b for a, b in zip(q, v, strict=False)), j) for j, v in whole if j != i)[:k]
+            out |= {(i, n + 1, j, -s) for n, (s, j) in enumerate(best)}
+    return out
+
+
+def test_top_k_of_large_components(spark):
+    """Components up to 2^40, whose floats round, and products near the ends of 64 bits."""
+    rng = random.Random(12)
+    rows = [(i, [float(rng.choice((0, 1, -1)) * rng.choice((0.5, 3.25, 2.0**20 + 0.001, 2.0**19 / 3))) for _ in range(4)]) for i in range(300)]
+    rows += [(302, [-(2.0**-3), 7.0]), (400, []), (500, [0.0, 0.0, 2.0**10]), (501, [0.0, 0.0, 0.0, 0.0, -(2.0**33)])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    assert {tuple(r) for r in topk.top_k(table).collect()} == best_of(rows)
+    huge = [(100, [2.0**40, 0.0]), (1, [0.5, 2.0**300]), (2, [0.0, -1e305]), (3, [-0.25]), (4, [])]
+    assert {tuple(r) for r in topk.top_k(spark.createDataFrame(huge, "vec_id long, embedding array<double>")).collect()} == best_of(huge)
+
+
+def test_top_k_says_when_a_score_does_not_fit(spark):
+    for other in (2.0**30, -(2.0**30)):
+        rows = [(100, [2.0**25, 2.0**25]), (1, [other, other])]
+        with pytest.raises(Exception, match="does not fit into 64 bits"):
+            topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    # a score too low to fit matters only where it is among the best
+    rows = [(100, [2.0**25, 2.0**25]), (1, [-(2.0**30), 0.0]), *[(i, [float(-i), 0.0]) for i in range(2, 13)]]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert {tuple(r) for r in got} == best_of(rows)
+
+
+def test_top_k_of_repeated_ids(spark):
+    rows = [(100, [1.0, 2.0]), (100, [1.0, 2.0]), (100, [2.0, 1.0]), (7, [3.0, 0.0]), (7, [3.0, 0.0]), (8, [0.0, 1.0])]
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    scores = sorted((-1048576 * (a * c + b * d), j) for a, b in ((1, 2), (2, 1)) for j, (c, d) in ((7, (3, 0)), (7, (3, 0)), (8, (0, 1))))
+    assert got == [(100, n + 1, j, -s) for n, (s, j) in enumerate(scores)]
+
+
+# ---- executors without the package
+
+
+def test_operators_travel_to_executors(tmp_path):
+    """The package is on the driver's path alone, and the working folder is another one."""
+    script = tmp_path / "elsewhere.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {str(Path(__file__).resolve().parents[2])!r})\n"
+        "from mercato.session import build_session\n"
+        f"spark = build_session('x', 'local[2]', **{{'spark.ui.enabled': 'false', 'spark.sql.shuffle.partitions': '2', 'spark.checkpoint.dir': {str(tmp_path / 'shared')!r}}})\n"
+        "from mercato.llm import neardup, topk\n"
+        "v = spark.createDataFrame([(100, [1.0]), (1, [2.0])], 'vec_id long, embedding array<double>')\n"
+        "d = spark.createDataFrame([(1, 'a b c d e'), (2, 'a b c d e')], 'doc_id long, text string')\n"
+        "print('found', [tuple(r) for r in topk.top_k(v).collect()], neardup.near_duplicates(d, width=4).where('kept').count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "found [(100, 1, 1, 2097152)] 1" in done.stdout, done.stderr[-2000:]
