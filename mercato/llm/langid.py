@@ -153,28 +153,35 @@ def _has_letters() -> Column:
 
 
 def fit(docs: DataFrame, *, sample_docs: int = SAMPLE_DOCS) -> Model | None:
-    """Train on at most ``sample_docs`` labelled documents outside the held-out fold, in hash order; None without any."""
+    """Train on at most ``sample_docs`` labelled rows outside the held-out fold, in hash order; None without any.
+
+    Equal rows are one, and rows that share an id are rows of their own: the bound holds however often either repeats.
+    """
     usable = docs.where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & _has_letters())
-    labels = sorted(r[0] for r in usable.select(F.col("lang").cast("string")).distinct().collect())
+    usable = usable.select(F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id", text_of()).alias("of"), text_of().alias("text"))
+    labels = sorted(r[0] for r in usable.select("lang").distinct().collect())
     if not labels:
         return None
     each = max(1, sample_docs // len(labels))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select("doc_id", F.col("lang").cast("string").alias("lang")).withColumn("n", F.row_number().over(order)).where(F.col("n") <= each)
-    ids = small_table(docs.sparkSession, [(r["doc_id"],) for r in chosen.select("doc_id").distinct().collect()], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}")
-    rows = usable.join(ids, "doc_id", "left_semi").select(F.col("lang").cast("string").alias("lang"), text_of().alias("text"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("of"), "of")
+    chosen = usable.select("lang", "of").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= each)
+    taken = small_table(docs.sparkSession, [(r["lang"], r["of"]) for r in chosen.collect()], "lang string, of long")
+    rows = usable.join(taken, ["lang", "of"], "left_semi")
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, data = [], []
-            for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
+            at, places, data = [], [], []
+            for row, text in enumerate(batch.column("text")):
                 whole = windows_of(text.as_py().encode())
                 for i in sorted({int(j) for j in np.linspace(0, len(whole) - 1, SAMPLE_WINDOWS)}):
-                    langs.append(lang.as_py())
+                    at.append(row)
+                    places.append(i)
                     data.append(whole[i].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(data, pa.binary())], names=["lang", "data"])
+            kept = [batch.column(c).take(pa.array(at, pa.int64())) for c in ("lang", "of")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(places, pa.int64()), pa.array(data, pa.binary())], names=["lang", "of", "place", "data"])
 
-    got = sorted((r["lang"], bytes(r["data"])) for r in rows.mapInArrow(sample, "lang string, data binary").collect())
+    windows = rows.mapInArrow(sample, "lang string, of long, place long, data binary").distinct()
+    got = sorted((r["lang"], bytes(r["data"])) for r in windows.collect())
     x = np.stack([np.frombuffer(d, dtype=np.int16) for _, d in got])
     y = np.array([labels.index(lang) for lang, _ in got])
     return train(x, y, labels)

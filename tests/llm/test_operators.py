@@ -288,6 +288,49 @@ def test_network_gradient_learns_and_windows_cover_all():
     assert picks[:2] == [0, 1] and all(0 <= s <= 1 for s in scores)
 
 
+def test_language_sample_is_bounded_by_rows(spark, monkeypatch):
+    """However many rows share an id or repeat, training sees at most the documented windows."""
+    docs = spark.range(20_000).select(F.lit(7).alias("doc_id"), F.concat(F.lit("some words "), F.col("id") % 9000).alias("text"), F.lit("en").alias("lang"))
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda x, y, labels: seen.append(len(x)))
+    langid.fit(docs, sample_docs=100)
+    langid.fit(docs.withColumn("text", F.lit("always the same")), sample_docs=100)
+    assert seen == [100, 1]
+
+
+def test_language_gradient_agrees_with_differences(monkeypatch):
+    """One step of the first batch, seen through Adam's first moment, against the loss at shifted parameters."""
+    rng = np.random.default_rng(3)
+    x = np.stack([langid.windows_of(bytes(rng.integers(97, 105, 200, dtype=np.uint8)))[0] for _ in range(6)])
+    y = np.array([0, 1, 2, 0, 1, 2])
+    labels = ["a", "b", "c"]
+    monkeypatch.setattr(langid, "RATE", 0.0)  # parameters stay at their start
+    start = langid.train(x, y, labels, epochs=1)
+    params = [start.embed, *start.filters, start.bias, start.weight, start.offset]
+
+    def loss() -> float:
+        pooled, _ = langid._pooled(langid.Model(labels, params[0], params[1:-3], *params[-3:]).tables(), params[-3], x)
+        return float(-np.log(langid._softmax((pooled @ params[-2] + params[-1]).astype(np.float64))[np.arange(6), y]).mean())
+
+    # Adam's first step moves every parameter by the rate against the sign of its gradient
+    monkeypatch.setattr(langid, "RATE", 1e-6)
+    moved = langid.train(x, y, labels, epochs=1)
+    checked = 0
+    for p, q in zip(params, [moved.embed, *moved.filters, moved.bias, moved.weight, moved.offset], strict=True):
+        step = (q - p).ravel()
+        for i in rng.permutation(p.size)[:40]:
+            flat, old = p.reshape(-1), p.reshape(-1)[i]
+            flat[i] = old + 1e-2
+            up = loss()
+            flat[i] = old - 1e-2
+            slope = (up - loss()) / 2e-2
+            flat[i] = old
+            if abs(slope) > 2e-3:
+                checked += 1
+                assert np.sign(step[i]) == -np.sign(slope)
+    assert checked > 40
+
+
 # ---- personal data
 
 
