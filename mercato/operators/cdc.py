@@ -45,7 +45,15 @@ def split_bad(
     decoded: DataFrame, key: str = "order_id", timestamp_field: str | None = "order_purchase_timestamp"
 ) -> tuple[DataFrame, DataFrame]:
     """(usable messages, dead letters with a reason). A message without a payload is neither: it is just skipped."""
-    tagged = decoded.withColumn("reason", bad_reason(key, timestamp_field))
+    return split_tagged(tag_bad(decoded, key, timestamp_field))
+
+
+def tag_bad(decoded: DataFrame, key: str = "order_id", timestamp_field: str | None = "order_purchase_timestamp") -> DataFrame:
+    """Add ``reason``, null where a message can be applied."""
+    return decoded.withColumn("reason", bad_reason(key, timestamp_field))
+
+
+def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     ok = tagged.filter(F.col("reason").isNull() & F.col("payload").isNotNull()).drop("reason", "_corrupt_record")
     return ok, tagged.filter(F.col("reason").isNotNull())
 
@@ -79,6 +87,19 @@ def fold_changes(changes: DataFrame) -> DataFrame:
     )
 
 
+def change_rows(changes: DataFrame) -> DataFrame:
+    """Changes as rows of a keyed table that ``merge_changes`` folds: every field beside the sequence it comes from."""
+    return changes.select("order_id", "seq", "customer_id", "order_status", F.when(F.col("purchase_ts").isNotNull(), F.col("seq")).alias("ts_seq"), "purchase_ts")
+
+
+def merge_changes(rows: DataFrame) -> DataFrame:
+    """One row per order, as ``fold_changes`` keeps it, that later rows can be merged into; replays change nothing."""
+    last = F.max(F.struct("seq", "customer_id", "order_status"))
+    known = F.max(F.when(F.col("ts_seq").isNotNull(), F.struct("ts_seq", "purchase_ts")))
+    folded = rows.groupBy("order_id").agg(last.alias("_last"), known.alias("_known"), F.max("_batch").alias("_batch"))
+    return folded.select("order_id", "_last.*", F.col("_known.ts_seq"), F.col("_known.purchase_ts"), "_batch")
+
+
 def apply_cdc(state: DataFrame, changes: DataFrame, deletes: str = "ignore") -> DataFrame:
     """Upsert order changes into the read model (order_id, customer_id, order_status, purchase_ts, other fields).
 

@@ -14,6 +14,7 @@ from mercato.plans.registry import query, total
 from mercato.session import scratch_path
 from mercato.sources.external import StreamConfig, read_events
 from mercato.streaming import monitor, sinks, state, windows
+from mercato.streaming.keyed import KeyedTable
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -113,11 +114,13 @@ def src7_rate_limited_scan(spark: SparkSession, sf: str) -> DataFrame:
 def snk5_foreach_batch(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "stream-table")
 
+    table = KeyedTable(spark, path, ["event_id"])
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        sinks.write_upserts(batch.select("event_id", "category", "price"), batch_id, path)
+        table.upsert(batch.select("event_id", "category", "price"), batch_id)
 
     sinks.write_stream_batch(event_stream(spark, sf), store, scratch_path(spark, "checkpoint"), trigger=sinks.ONCE).awaitTermination()
-    return sinks.read_upserted(spark, path, ["event_id"])
+    return table.read()
 
 
 @query("SELECT event_id, user_id AS customer_id, value AS price FROM events")
@@ -133,12 +136,12 @@ def snk7_complete_mode(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_TUMBLING)
 def snk9_keyed_upserts_compacted(spark: SparkSession, sf: str) -> DataFrame:
-    """Windows cut by file boundaries are updated by later batches; then the table is compacted."""
+    """Windows cut by file boundaries are updated by later batches; half the buckets are compacted, the rest is merged by the reader."""
     df = split_event_stream(spark, sf)
     found = windows.tumbling(windows.with_lateness(df, "event_time"), "event_time", "5 minutes", ["category"], _revenue())
     path, keys = scratch_path(spark, "stream-table"), ["window_start", "category"]
     sinks.upsert_sink(found, path, keys, scratch_path(spark, "checkpoint")).awaitTermination()
-    sinks.compact(spark, path, keys)
+    sinks.compact(spark, path, keys, most=KeyedTable(spark, path, keys).manifest().buckets // 2)
     return _text(sinks.read_upserted(spark, path, keys))
 
 
@@ -362,18 +365,26 @@ def agg21_revenue_metric_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(feeds._STATE)
 def cdc6_feed_to_read_model(spark: SparkSession, sf: str) -> DataFrame:
-    """The change feed as a stream, from the earliest message, folded per micro-batch into a keyed table."""
+    """The change feed as a stream, from the earliest message, folded per micro-batch into a keyed table.
+
+    A batch is parsed once and serves both outputs. Its own changes are folded before they are stored, and the table merges
+    them field by field: the purchase time is the last known one, whichever batch brought it.
+    """
     inbox, path = scratch_path(spark, "feed"), scratch_path(spark, "stream-table")
     feed = feeds.order_feed(spark, sf)
-    feed.repartitionByRange(3, "kafka_offset").write.parquet(inbox)
-    source = read_events(spark, StreamConfig(fmt="parquet", path=inbox, schema=feed.schema, max_per_trigger=1))
+    feed.repartitionByRange("kafka_offset").sortWithinPartitions("kafka_offset").write.parquet(inbox)
+    source = read_events(spark, StreamConfig(fmt="parquet", path=inbox, schema=feed.schema, max_per_trigger=2))
+    table = KeyedTable(spark, f"{path}/orders", ["order_id"], merge=cdc.merge_changes)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        ok, bad = cdc.split_bad(cdc.decode_cdc(batch))
+        tagged = cdc.tag_bad(cdc.decode_cdc(batch)).persist()
+        ok, bad = cdc.split_tagged(tagged)
         typed = cdc.order_changes(ok.withColumn("ts_ms", F.col("payload.ts_ms")), ["ts_ms", "kafka_offset"])
-        sinks.write_upserts(typed.filter("has_image").select("order_id", "customer_id", "order_status", "purchase_ts", "seq"), batch_id, f"{path}/changes")
+        rows = cdc.change_rows(typed.filter("has_image")).withColumn("_batch", F.lit(batch_id).cast("bigint"))
+        table.upsert(cdc.merge_changes(rows).drop("_batch"), batch_id)
         bad.select("value", "reason").write.mode("overwrite").parquet(f"{path}/dead/batch={batch_id}")
+        tagged.unpersist()
 
     sinks.write_stream_batch(source, fold, scratch_path(spark, "checkpoint"), trigger=sinks.ONCE).awaitTermination()
-    changes = spark.read.option("recursiveFileLookup", True).parquet(f"{path}/changes")
-    return feeds._state_text(cdc.fold_changes(changes))
+    table.compact(most=table.buckets // 2)
+    return feeds._state_text(table.read().select("order_id", "customer_id", "order_status", "purchase_ts"))

@@ -9,17 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from mercato.operators.shaping import latest_by
+from mercato.streaming.keyed import KeyedTable, Merge
 
-# The trigger of the documented file sink, and the two other kinds.
+# The trigger of the documented file sink, and one that takes what is there and ends.
 EVERY_MINUTE = {"processingTime": "1 minute"}
 ONCE = {"availableNow": True}
 
 
-def continuous(interval: str = "1 second") -> dict:
-    """Continuous trigger; for map-like queries only."""
-    return {"continuous": interval}
-
-
 def write_stream_files(
     df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, fmt: str = "parquet"
 ) -> StreamingQuery:
@@ -47,12 +43,10 @@ def write_console(df: DataFrame, mode: str = "append", trigger: dict | None = No
 
 
 # --- keyed upserts -----------------------------------------------------------------------------------------------
-# Every micro-batch writes its rows to a folder named after the batch id, so a replayed batch replaces itself and costs
-# are those of the batch and not of the table. Readers keep the newest row per key. ``compact`` folds the folders.
 
 
 def write_upserts(batch: DataFrame, batch_id: int, path: str) -> None:
-    """One batch of the keyed table; at most one row per key within it."""
+    """One micro-batch as a folder named after its id, so that a replayed batch replaces itself."""
     batch.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
         f"{path}/batch={batch_id}"
     )
@@ -66,47 +60,22 @@ def upsert_sink(
     mode: str = "update",
     trigger: dict | None = None,
     order: list[str] | None = None,
+    merge: Merge | None = None,
 ) -> StreamingQuery:
-    """Exactly-once keyed sink. ``order`` decides between rows of one key inside a batch when there can be several."""
+    """Exactly-once sink into a keyed table. ``order`` decides between rows of one key inside a batch when there can be several."""
+    table = KeyedTable(df.sparkSession, path, keys, merge=merge)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        write_upserts(latest_by(batch, keys, order) if order else batch, batch_id, path)
+        table.upsert(latest_by(batch, keys, order) if order else batch, batch_id)
 
     return write_stream_batch(df, store, checkpoint, mode, trigger or ONCE)
 
 
-def _committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(root):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(root)]
-    ids = [int(n[len(prefix) :]) for n in names if n.startswith(prefix)]
-    return sorted(
-        i for i in ids if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{prefix}{i}/_SUCCESS"))
-    )
-
-
-def _live_paths(spark: SparkSession, path: str) -> tuple[list[str], int]:
-    bases, batches = _committed(spark, path, "base="), _committed(spark, path, "batch=")
-    base = bases[-1] if bases else -1
-    paths = [f"{path}/base={base}"] if bases else []
-    paths += [f"{path}/batch={b}" for b in batches if b > base]
-    return paths, max([base, *batches])
+def read_upserted(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Current content of a keyed table: one row per key."""
+    return KeyedTable(spark, path, keys).read()
 
 
-def read_upserted(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current content of a keyed table: the newest committed row per key."""
-    paths, _ = _live_paths(spark, path)
-    # paths are read one table each, as the folder names would otherwise become a partition column
-    stored = spark.read.option("recursiveFileLookup", True).parquet(*paths)
-    return latest_by(stored, keys, ["_batch"]).drop("_batch")
-
-
-def compact(spark: SparkSession, path: str, keys: list[str]) -> int:
-    """Fold all committed batches into a base folder; returns the last batch id in it. Readers switch when it commits."""
-    paths, last = _live_paths(spark, path)
-    stored = spark.read.option("recursiveFileLookup", True).parquet(*paths)
-    latest_by(stored, keys, ["_batch"]).write.mode("overwrite").parquet(f"{path}/base={last}")
-    return last
+def compact(spark: SparkSession, path: str, keys: list[str], most: int | None = None) -> list[int]:
+    """Fold the deltas of a keyed table, of ``most`` buckets or of all; returns the buckets."""
+    return KeyedTable(spark, path, keys).compact(most)
