@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from mercato.functions import scalar
 from mercato.functions.register import register_all
 from mercato.operators import documents, metrics, quality, shaping, windows
-from mercato.plans import streams
 from mercato.plans import tables as t
 from mercato.plans.registry import query, text, total
 from mercato.session import scratch_path
 from mercato.sources.external import StreamConfig, read_events
-from mercato.streaming import sinks, state
+from mercato.streaming import sinks
 
 
 @query(f"SELECT o_orderkey AS order_id, {text('o_orderdate')} AS parsed FROM orders")
@@ -190,20 +189,6 @@ def snk8_trigger_once_incremental(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(f"SELECT user_id AS customer_id, {total('value')} AS total_spend, count(*) AS order_count FROM events GROUP BY 1")
-def str7_state_with_timeout(spark: SparkSession, sf: str) -> DataFrame:
-    """A state timeout asks for empty batches for ever, which a one-shot run must not wait for."""
-    key = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        timed = state.expiring_spend(streams.event_stream(spark, sf), "customer_id", "price", timeout_ms=3_600_000)
-        parts = streams._upserted(spark, timed, ["customer_id", *state.SPEND_KEYS], order=["orders"])
-    finally:
-        spark.conf.set(key, before)
-    return state.fold_spend(parts, "customer_id")
-
-
 @query(
     f"""
     WITH {t.SQL_MONTHLY} SELECT category, ym AS year_month, revenue, (revenue - lag(revenue) OVER (PARTITION BY category ORDER BY ym))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mercato.operators import cdc, metrics
 from mercato.operators.joins import enrich
 from mercato.operators.shaping import metric_id
+from mercato.operators.skew import hot_keys
 from mercato.plans import feeds
 from mercato.plans import tables as t
 from mercato.plans.registry import query, total
@@ -248,6 +249,32 @@ def str6_running_spend_state(spark: SparkSession, sf: str) -> DataFrame:
     return state.fold_spend(totals, "customer_id")
 
 
+_QUIET_DAYS = 1
+# An arrival meets the watermark that the arrivals before it have set.
+_EPOCHS = f"""
+    WITH a AS (SELECT user_id, ts, value, CASE {' '.join(f"WHEN ts < TIMESTAMP '{c}' THEN {i}" for i, c in enumerate(_CUTS[1:]))} END AS arrival FROM events),
+    w AS (SELECT arrival, lag(newest) OVER (ORDER BY arrival) - INTERVAL 10 MINUTE AS mark
+      FROM (SELECT arrival, max(max(ts)) OVER (ORDER BY arrival) AS newest FROM a GROUP BY arrival)),
+    u AS (SELECT user_id, arrival, max(ts) AS last_seen FROM a GROUP BY 1, 2),
+    e AS (SELECT user_id, coalesce(lag(last_seen) OVER (PARTITION BY user_id ORDER BY arrival) + INTERVAL {_QUIET_DAYS} DAY <= mark, true) AS fresh FROM u JOIN w USING (arrival))
+    SELECT customer_id, total_spend, order_count, epochs FROM
+      (SELECT user_id AS customer_id, {total('value')} AS total_spend, count(*) AS order_count FROM events GROUP BY 1)
+      JOIN (SELECT user_id AS customer_id, count(*) FILTER (WHERE fresh) AS epochs FROM e GROUP BY 1) USING (customer_id)
+"""
+
+
+@query(_EPOCHS)
+def str7_state_with_timeout(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers quiet for a day lose their state between two arrivals and start a new epoch when they come back."""
+    df = windows.with_lateness(split_event_stream(spark, sf), "event_time")
+    hot = hot_keys(t.events(spark, sf), ["customer_id"])
+    with state.rocksdb(spark):
+        timed = state.expiring_spend(df, "customer_id", "price", f"{_QUIET_DAYS} DAY", time="event_time", hot=hot)
+        parts = _upserted(spark, timed, ["customer_id", *state.SPEND_KEYS], order=["orders"])
+    epochs = parts.groupBy("customer_id").agg(F.count_distinct("epoch").alias("epochs"))
+    return state.fold_spend(parts, "customer_id").join(epochs, "customer_id")
+
+
 _FRAUD = f"""
     WITH w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS h, user_id, count(*) AS orders, {total('value')} AS spend FROM events GROUP BY 1, 2),
     a AS (SELECT *, 'many_orders' AS rule FROM w WHERE orders > 2 UNION ALL SELECT *, 'high_spend' FROM w WHERE spend > 60)

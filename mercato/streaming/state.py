@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 # executors need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -32,37 +33,87 @@ def running_spend(df: DataFrame, key: str, amount: str) -> DataFrame:
     )
 
 
-def expiring_spend(df: DataFrame, key: str, amount: str, timeout_ms: int, salts: int | None = None) -> DataFrame:
-    """The same totals as custom state that is dropped when a key stays quiet for ``timeout_ms`` of processing time.
-
-    Returns (key, salt, epoch, cents, orders) in update mode. A state that starts, for the first time or after it was
-    dropped, counts from 0 in an epoch of its own, the processing time of its first event, so that what was stored before
-    stays and ``fold_spend`` adds it. Rows are dealt to ``salts`` partial states per key (default: the session's shuffle
-    partitions) by a hash of the row and its input partition, so that identical rows spread too.
+class _Spend(StatefulProcessor):
+    """Totals of one (key, salt). In event time a timer ends the state, in processing time its time to live does."""
+
+    def __init__(self, key: str, quiet_ms: int, event_time: bool):
+        self.key, self.quiet_ms, self.event_time = key, quiet_ms, event_time
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.total = handle.getValueState("total", "cents bigint, orders bigint, epoch bigint, ends bigint", None if self.event_time else self.quiet_ms)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        cents, orders, first, last = 0, 0, None, None
+        for part in rows:
+            cents, orders = cents + int(part["cents"].sum()), orders + len(part)
+            lo, hi = int(part["at"].min()), int(part["at"].max())
+            first, last = min(lo, lo if first is None else first), max(hi, hi if last is None else last)
+        stored = self.total.get() if self.total.exists() else None
+        # a timer that is due has ended the state, whether or not it was called before these rows
+        if stored is not None and self.event_time and stored[3] <= timerValues.getCurrentWatermarkInMs():
+            stored = None
+        if stored is None:
+            stored = (0, 0, first if self.event_time else timerValues.getCurrentProcessingTimeInMs(), 0)
+        cents, orders, epoch = cents + stored[0], orders + stored[1], stored[2]
+        ends = max(stored[3], last + self.quiet_ms)
+        self.total.update((cents, orders, epoch, ends))
+        if self.event_time:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(ends)
+        yield pd.DataFrame({self.key: [key[0]], "salt": [key[1]], "epoch": [epoch], "cents": [cents], "orders": [orders]})
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        self.total.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """State in RocksDB for streams started inside: on local disk beside the heap, which timers and times to live need."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def expiring_spend(
+    df: DataFrame, key: str, amount: str, quiet: str, *, time: str | None = None, hot: DataFrame | None = None
+) -> DataFrame:
+    """The same totals as state that is dropped when a key stays quiet; start the stream inside ``rocksdb``.
+
+    Returns (key, salt, epoch, cents, orders) in update mode. With ``time``, a column that has a watermark, a state ends
+    by a timer ``quiet`` after its last event, so replays end it alike; without, it lives ``quiet`` of processing time after
+    its last update. A state that starts, for the first time or after it was dropped, counts from 0 in an epoch of its
+    own, its first event's time or the time it starts, so that what was stored before stays and ``fold_spend`` adds it.
+
+    A key has one state, salt 0. Only keys of ``hot`` (the key and ``_parts``, as ``hot_keys`` finds them in earlier data)
+    are dealt to several partial states, by a hash of the row and its input partition, so that identical rows spread too.
     """
+    spark = df.sparkSession
+    quiet_ms = spark.range(1).select((F.unix_micros(F.timestamp_micros(F.lit(0)) + F.expr(f"INTERVAL {quiet}")) / 1000).cast("bigint")).first()[0]
     kind = df.schema[key].dataType.simpleString()
-    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def accumulate(names: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        cents, orders, epoch = state.get if state.exists else (0, 0, state.getCurrentProcessingTimeMs())
-        for batch in batches:
-            cents += int(batch["cents"].sum())
-            orders += len(batch)
-        state.update((cents, orders, epoch))
-        state.setTimeoutDuration(timeout_ms)
-        yield pd.DataFrame({key: [names[0]], "salt": [names[1]], "epoch": [epoch], "cents": [cents], "orders": [orders]})
-
-    spot = F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    salted = df.select(F.col(key), spot.alias("salt"), _cents(amount).alias("cents"))
-    return salted.groupBy(key, "salt").applyInPandasWithState(
-        accumulate,
+    at = F.unix_millis(F.col(time).cast("timestamp")) if time else F.lit(0).cast("bigint")
+    columns = [F.col(key), _cents(amount).alias("cents"), at.alias("at"), *([F.col(time)] if time else [])]
+    spot = F.xxhash64(*df.columns) + F.spark_partition_id()
+    if hot is None:
+        salted = df.select(*columns, F.lit(0).alias("salt"))
+    else:
+        parts = hot.select(F.col(key).alias("_hot"), "_parts")
+        found = df.withColumn("_spot", spot).join(parts, F.col(key).eqNullSafe(F.col("_hot")), "left")
+        salted = found.select(*columns, F.coalesce(F.pmod("_spot", F.col("_parts")), F.lit(0)).cast("int").alias("salt"))
+    return salted.groupBy(key, "salt").transformWithStateInPandas(
+        _Spend(key, quiet_ms, time is not None),
         f"{key} {kind}, salt int, epoch bigint, cents bigint, orders bigint",
-        "cents bigint, orders bigint, epoch bigint",
         "update",
-        GroupStateTimeout.ProcessingTimeTimeout,
+        "EventTime" if time else "ProcessingTime",
     )
 
 

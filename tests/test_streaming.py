@@ -82,13 +82,14 @@ def test_running_spend_over_batches(spark):
     assert totals == {1: (57.0, 60), 2: (4.5, 3)}
 
 
-def test_totals_survive_the_timeout(spark):
-    """A key that expires and comes back keeps what it had: the second state is a second epoch."""
+def test_totals_survive_the_time_to_live(spark):
+    """In processing time a key that expires and comes back keeps what it had: the second state is a second epoch."""
     inbox, out, check = folders(spark)
     keys = ["customer_id", *state.SPEND_KEYS]
     arrive(spark, inbox, ("2024-01-01 12:00:00", 1, 1.0))
-    df = state.expiring_spend(stream(spark, inbox), "customer_id", "price", timeout_ms=300, salts=2)
-    query = sinks.upsert_sink(df, out, keys, check, trigger={"processingTime": "0 seconds"}, order=["orders"])
+    with state.rocksdb(spark):
+        df = state.expiring_spend(stream(spark, inbox), "customer_id", "price", "1 SECOND")
+        query = sinks.upsert_sink(df, out, keys, check, trigger={"processingTime": "0 seconds"}, order=["orders"])
 
     def wait(done):
         deadline = time.time() + 60
@@ -96,12 +97,9 @@ def test_totals_survive_the_timeout(spark):
             assert time.time() < deadline and query.isActive
             time.sleep(0.2)
 
-    def expired():
-        last = query.lastProgress
-        return last and last.batchId >= 1 and last.stateOperators and last.stateOperators[0].numRowsTotal == 0
-
     try:
-        wait(expired)
+        wait(lambda: query.lastProgress and query.lastProgress.batchId >= 0 and query.lastProgress.numInputRows)
+        time.sleep(1.5)
         arrive(spark, inbox, ("2024-01-01 12:30:00", 1, 2.5))
         wait(lambda: sinks.read_upserted(spark, out, keys).count() == 2)
     finally:
@@ -110,6 +108,41 @@ def test_totals_survive_the_timeout(spark):
     assert [(r["customer_id"], r["total_spend"], r["order_count"]) for r in totals] == [(1, 3.5, 2)]
 
 
+def test_quiet_keys_leave_the_state_and_come_back(spark):
+    """By event time: customer 1 is quiet for an hour, 2 is not, hot customer 3 has several partial states."""
+    inbox, out, check = folders(spark)
+    keys = ["customer_id", *state.SPEND_KEYS]
+    hot = spark.createDataFrame([(3, 4)], "customer_id long, _parts int")
+    seen = []
+
+    def run():
+        df = windows.with_lateness(stream(spark, inbox), "event_time")
+        timed = state.expiring_spend(df, "customer_id", "price", "1 HOUR", time="event_time", hot=hot)
+        query = sinks.upsert_sink(timed, out, keys, check, order=["orders"])
+        query.awaitTermination()
+        seen.append([p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators])
+
+    with state.rocksdb(spark):
+        hour = [("2024-01-01 12:00:00", 3, float(i)) for i in range(40)]
+        for rows in (
+            [("2024-01-01 12:00:00", 1, 1.0), ("2024-01-01 12:00:00", 2, 1.0), *hour],
+            [("2024-01-01 12:50:00", 2, 2.0)],
+            [("2024-01-01 13:40:00", 2, 4.0)],
+            [("2024-01-01 13:45:00", 1, 8.0), ("2024-01-01 13:45:00", 3, 100.0)],
+        ):
+            arrive(spark, inbox, *rows)
+            run()
+    stored = sinks.read_upserted(spark, out, keys)
+    epochs = {r["customer_id"]: r["n"] for r in stored.groupBy("customer_id").agg(F.count_distinct("epoch").alias("n")).collect()}
+    assert epochs == {1: 2, 2: 1, 3: 2}
+    salts = {r["customer_id"]: r["n"] for r in stored.groupBy("customer_id").agg(F.count_distinct("salt").alias("n")).collect()}
+    assert salts[1] == salts[2] == 1 and salts[3] > 1
+    totals = {r["customer_id"]: (r["total_spend"], r["order_count"]) for r in state.fold_spend(stored, "customer_id").collect()}
+    assert totals == {1: (9.0, 2), 2: (7.0, 3), 3: (880.0, 41)}
+    flat = [n for run in seen for n in run]
+    assert min(flat[flat.index(max(flat)) :]) < max(flat)  # state rows fall when keys expire
+
+
 def test_console_sink_and_complete_mode(spark):
     inbox, _, _ = folders(spark)
     arrive(spark, inbox, ("2024-01-01 12:00:00", 1, 1.0))
