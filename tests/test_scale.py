@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import collections
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import Window
@@ -83,6 +86,48 @@ def test_pagerank_leaves_only_its_ranks(spark, tmp_path):
     assert len({x for x in set(os.listdir(folder)) - before if x.startswith("pinned")}) == 1
 
 
+def test_a_rank_round_shuffles_contributions_only(spark):
+    """With nothing small enough to broadcast, edges and ranks stay in their buckets."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    tables = []
+    try:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        links = spark.range(5000).select((F.col("id") % 97).alias("s"), (F.col("id") * 7 % 101).alias("d"), F.lit(50).cast("long").alias("out"))
+        nodes = spark.range(101).select(F.col("id").alias("v"))
+        tables = [graph._bucketed(links.repartition(n, "s"), "s", n), graph._bucketed(nodes.repartition(n, "v"), "v", n)]
+        tables.append(graph._bucketed(tables[1].withColumn("rank", F.lit(1.0)), "v", n))
+        after = graph._next_ranks(tables[1], tables[0], None, tables[2], 0.15)
+        plan = after._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and plan.count("SortMergeJoin") == 2
+        assert after.agg(F.sum("rank")).first()[0] == pytest.approx(0.15 * 101 + 0.85 * 5000 / 50)
+    finally:
+        for table in tables:
+            graph._drop(table)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_pagerank_of_hubs_and_unknown_ends(spark):
+    """A source with more edges than a task should take, edges to and from vertices that are not in the list."""
+    rng = random.Random(6)
+    pairs = {("hub", f"n{i}") for i in range(40)} | {(f"n{rng.randrange(40)}", f"n{rng.randrange(40)}") for _ in range(60)}
+    pairs |= {("n1", "unknown"), ("unknown", "n2"), ("n3", "hub")}
+    names = ["hub", *[f"n{i}" for i in range(40)], "alone"]
+    ranks = dict.fromkeys(names, 1.0)
+    out = collections.Counter(s for s, _ in pairs)
+    for _ in range(4):
+        received = collections.Counter()
+        for s, d in pairs:
+            received[d] += ranks.get(s, 0.0) / out[s]
+        ranks = {v: 0.15 + 0.85 * received[v] for v in names}
+    scale = len(names) / sum(ranks.values())
+    edges = spark.createDataFrame(sorted(pairs) * 2, "src string, dst string")
+    nodes = spark.createDataFrame([(v,) for v in names], "id string")
+    for most in (1_000_000, 5):
+        found = graph.pagerank(nodes, edges, iterations=4, rows_per_task=most).collect()
+        assert {r["id"]: r["pagerank"] for r in found} == pytest.approx({v: x * scale for v, x in ranks.items()})
+
+
 def test_skew_join_refuses_outer(spark, skewed):
     with pytest.raises(ValueError, match="full"):
         skew.skew_join(skewed, skewed, ["k"], "full")
