@@ -128,6 +128,35 @@ def test_pagerank_of_hubs_and_unknown_ends(spark):
         assert {r["id"]: r["pagerank"] for r in found} == pytest.approx({v: x * scale for v, x in ranks.items()})
 
 
+def test_triangles_of_a_hub_and_a_clique(spark):
+    """A hub beside a clique and a random graph, in few and in many colours, and no list of neighbours in the plan."""
+    rng = random.Random(9)
+    pairs = {(f"c{i}", f"c{j}") for i in range(12) for j in range(i)} | {("hub", f"n{i}") for i in range(80)}
+    pairs |= {(f"n{rng.randrange(80)}", f"n{rng.randrange(80)}") for _ in range(200)} | {("x", "y"), ("x", "x")}
+    around = collections.defaultdict(set)
+    for a, b in pairs:
+        if a != b:
+            around[a].add(b), around[b].add(a)
+    want = {v: sum(len(around[v] & around[w]) for w in near) // 2 for v, near in around.items()}
+    edges = spark.createDataFrame(sorted(pairs) + sorted((b, a) for a, b in pairs)[::2], "src string, dst string")
+    for most in (2_000_000, 20):
+        found = graph.triangle_counts(edges, edges_per_task=most)
+        assert {r["id"]: r["triangles"] for r in found.collect()} == want
+        assert "collect_list" not in plan(found)
+    assert graph.triangle_counts(edges.filter("false")).collect() == []
+
+
+def test_wedges_in_slices_are_the_same(monkeypatch):
+    rng = np.random.default_rng(2)
+    pairs = np.unique(np.sort(rng.integers(0, 30, (200, 2)), axis=1), axis=0)
+    a, b = pairs[pairs[:, 0] < pairs[:, 1]].T
+    colour = rng.integers(0, 2, 30)
+    whole = [graph._closed(a, b, colour, mixed) for mixed in (False, True)]
+    monkeypatch.setattr(graph, "WEDGES", 3)
+    assert all((graph._closed(a, b, colour, mixed) == one).all() for mixed, one in zip((False, True), whole, strict=True))
+    assert whole[0].sum() > whole[1].sum() > 0
+
+
 def test_skew_join_refuses_outer(spark, skewed):
     with pytest.raises(ValueError, match="full"):
         skew.skew_join(skewed, skewed, ["k"], "full")
