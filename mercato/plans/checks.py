@@ -133,6 +133,31 @@ def dq8_quality_metrics(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_AS_OF = "2024-03-01"
+_CLOCKS = {"orders": "o_orderdate", "events": "ts"}
+
+
+def _all_tables_sql(name: str) -> str:
+    clock = f"date_sub('minute', (SELECT max({_CLOCKS[name]}) FROM {name}), TIMESTAMP '{_AS_OF}') / 60.0::DOUBLE" if name in _CLOCKS else "NULL::DOUBLE"
+    return (
+        f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {name}) AS row_count, "
+        f"count(*) FILTER (WHERE v IS NULL) / count(*) * 100 AS null_percent, {clock} AS freshness_hours FROM "
+        f"(SELECT nullif(COLUMNS(*)::VARCHAR, '0') FROM {name}) UNPIVOT INCLUDE NULLS (v FOR c IN (COLUMNS(*)))"
+    )
+
+
+@query(" UNION ALL ".join(_all_tables_sql(name) for name in t.NAMES))
+def dq8_metrics_of_all_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Every table and column; a 0 stands for a missing value, as the given tables have few others."""
+    tables = {}
+    for name in t.NAMES:
+        df = t.raw(spark, sf, name)
+        clock = _CLOCKS.get(name)
+        blank = [F.when(F.col(c).cast("string") != "0", F.col(c)).alias(c) for c in df.columns]
+        tables[name] = (df.select(blank), clock)
+    return quality.quality_metrics(tables, F.lit(_AS_OF).cast("timestamp_ntz"))
+
+
 @query("SELECT l_orderkey AS order_id, l_linenumber AS item_no, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def dq9_unique_violations(spark: SparkSession, sf: str) -> DataFrame:
     return quality.unique_violations(t.items(spark, sf), ["order_id", "item_no"])
