@@ -73,6 +73,53 @@ def test_paths_and_components_of_a_long_chain(spark):
     assert found == {str(i): 56 - i for i in range(57)}
 
 
+def _hops(edges, ends):
+    """Breadth-first search backwards from every landmark: (vertex, landmark) → distance."""
+    into, found = {}, {}
+    for a, b in edges:
+        if a is not None and b is not None:
+            into.setdefault(b, set()).add(a)
+    for end in set(ends) - {None}:
+        layer, far = {end}, 0
+        while layer:
+            found.update({(v, end): far for v in layer})
+            layer = {a for v in layer for a in into.get(v, ()) if (a, end) not in found}
+            far += 1
+    return found
+
+
+@pytest.mark.parametrize(("words", "rows_per_task"), [(1, 20), (16, 10**6)])
+def test_paths_to_many_landmarks(spark, words, rows_per_task):
+    """A hub, repeated edges, ends that are null, landmarks without edges, and more landmarks than a column has bits."""
+    edges = [(i * 7 % 60, i * i % 60 if i % 3 else 0) for i in range(300)] + [(None, 3), (4, None)]
+    ends = [*range(75), None, 3]
+    rows = graph.shortest_paths(
+        spark.createDataFrame(edges, "src int, dst int"), spark.createDataFrame([(e,) for e in ends], "id int"), words, rows_per_task
+    ).collect()
+    assert len(rows) == len({(r["id"], r["landmark"]) for r in rows})
+    assert {(r["id"], r["landmark"]): r["distance"] for r in rows} == _hops(edges, ends)
+
+
+def test_paths_without_edges_or_landmarks(spark):
+    edges, none = spark.createDataFrame([(1, 2)], "src int, dst int"), spark.createDataFrame([], "id int")
+    assert graph.shortest_paths(edges, none).collect() == []
+    alone = graph.shortest_paths(edges.limit(0), spark.createDataFrame([(1,)], "id int")).collect()
+    assert [tuple(r) for r in alone] == [(1, 1, 0)]
+
+
+def test_a_step_of_the_paths_shuffles_what_is_sent_and_nothing_else(spark):
+    links = graph._bucketed(spark.range(100).select(F.col("id").alias("s"), (F.col("id") + 1).alias("d")), "d", 8)
+    state = graph._bucketed(spark.range(101).select(F.col("id").alias("v"), F.col("id").alias("seen0"), F.col("id").alias("fresh0")), "v", 8)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = graph._next_reach(links, None, state, 1)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        graph._drop(links), graph._drop(state)
+    assert plan.count("Exchange") == 1
+
+
 def test_pagerank_leaves_only_its_ranks(spark, tmp_path):
     import os
 
