@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from mercato.functions.scalar import days_late, money
 from mercato.operators.joins import dim_join
 from mercato.operators.skew import dense_ids, skew_join
+from mercato.operators.topn import top_by_product
 from mercato.session import pin
 
 # --- splits and features -----------------------------------------------------------------------------------------
@@ -122,11 +123,15 @@ class Recommender:
         scored = self.model.transform(self._placed(ratings, self.users, self.items))
         return RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction").evaluate(scored)
 
-    def top(self, n: int = 10) -> DataFrame:
-        """(user, rank, item, score): the n best items of every user."""
-        best = self.model.recommendForAllUsers(n)
-        flat = best.select("user_ix", F.posexplode("recommendations").alias("pos", "r")).select(
-            "user_ix", (F.col("pos") + 1).alias("rank"), F.col("r.item_ix").alias("item_ix"), F.col("r.rating").alias("score")
+    def best(self, n: int = 10) -> DataFrame:
+        """(user, items, scores, scored) by number: the n best of every user and how many items were compared for them."""
+        return top_by_product(self.model.userFactors, self.model.itemFactors, n)
+
+    def top(self, n: int = 10, best: DataFrame | None = None) -> DataFrame:
+        """(user, rank, item, score): the n best items of every user, those of ``best(n)`` where it is at hand."""
+        found = self.best(n) if best is None else best
+        flat = found.select(F.col("user").alias("user_ix"), F.posexplode(F.arrays_zip("items", "scores")).alias("pos", "r")).select(
+            "user_ix", (F.col("pos") + 1).alias("rank"), F.col("r.items").alias("item_ix"), F.col("r.scores").cast("float").alias("score")
         )
         named = dim_join(flat, self.items, ["item_ix"])
         return dim_join(named, self.users, ["user_ix"]).select("user", "rank", "item", "score")
