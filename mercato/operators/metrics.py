@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato.functions.aggregates import geo_mean, share, weighted_avg
 from mercato.functions.scalar import days_late, delay_days, delivery_status, money, rfm_segment
 from mercato.operators.joins import skew_join
+from mercato.operators.skew import dense_ids
+from mercato.session import pin
 
 
 def total(c: Column | str) -> Column:
@@ -29,10 +35,57 @@ def revenue_via(facts: DataFrame, dim: DataFrame, key: str, group: str, price: s
     return per_key.join(dim.select(key, group), key).groupBy(group).agg(F.sum("_revenue").cast("double").alias("revenue"))
 
 
-def revenue_totals(df: DataFrame, keys: list[str], price: str = "price", cube: bool = False) -> DataFrame:
-    """Revenue per key combination with subtotals; ``level`` is the grouping id (0 = all keys present)."""
-    grouped = df.cube(*keys) if cube else df.rollup(*keys)
-    return grouped.agg(total(price).alias("revenue"), F.grouping_id().cast("bigint").alias("level"))
+def _grouping_sets(keys: list[str], cube: bool) -> list[tuple[str, ...]]:
+    """All subsets of the keys, or their prefixes, the finest first."""
+    if not cube:
+        return [tuple(keys[:i]) for i in range(len(keys), -1, -1)]
+    return [chosen for i in range(len(keys), -1, -1) for chosen in combinations(keys, i)]
+
+
+def revenue_totals(
+    df: DataFrame, keys: list[str], price: str = "price", cube: bool = False, distinct: str | None = None
+) -> DataFrame:
+    """Revenue per key combination with subtotals; ``level`` is the grouping id (0 = all keys present).
+
+    The facts are aggregated once, to the finest grain. Every coarser set is then added up from the smallest set that
+    holds its keys, so no fact is repeated per level. ``distinct`` names a column whose different values are counted
+    exactly on every level, as ``distinct_<name>``: values are numbers (integers as they are, others numbered in order),
+    64 to a word of bits, and words of parents merge with OR; null is no value. An empty table has no rows.
+    """
+    number = None
+    if distinct is not None:
+        if not isinstance(df.schema[distinct].dataType, T.IntegralType):
+            df = skew_join(df, dense_ids(df, distinct, "_number"), [distinct], "left")
+            number = F.col("_number").cast("bigint")
+        else:
+            number = F.col(distinct).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    facts = df.select(
+        *keys,
+        money(price).alias("_amount"),
+        (zero if number is None else F.coalesce(F.shiftright(number, 6), zero)).alias("_word"),
+        (zero if number is None else F.coalesce(F.call_function("shiftleft", F.lit(1).cast("bigint"), number.bitwiseAND(63).cast("int")), zero)).alias("_bits"),
+    )
+
+    def added_up(rows: DataFrame, chosen: tuple[str, ...]) -> DataFrame:
+        return rows.groupBy(*chosen, "_word").agg(F.sum("_amount").alias("_amount"), F.bit_or("_bits").alias("_bits"))
+
+    done: dict[tuple[str, ...], tuple[int, DataFrame]] = {}
+    levels = []
+    for chosen in _grouping_sets(keys, cube):
+        above = [found for wider, found in done.items() if set(chosen) < set(wider)]
+        rows = pin(added_up(min(above, key=lambda x: x[0])[1] if above else facts, chosen))
+        done[chosen] = (rows.count(), rows)
+        level = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in chosen)
+        outputs = [F.sum("_amount").cast("double").alias("revenue")]
+        if distinct is not None:
+            outputs.append(F.sum(F.bit_count("_bits")).cast("bigint").alias(f"distinct_{distinct}"))
+        # without keys there is one group, and none in an empty table
+        total_of = rows.groupBy(*chosen) if chosen else rows.groupBy(F.lit(0).alias("_all"))
+        named = [F.col(k) if k in chosen else F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys]
+        found = total_of.agg(*outputs)
+        levels.append(found.select(*named, *found.columns[len(chosen) or 1 :], F.lit(level).cast("bigint").alias("level")))
+    return reduce(DataFrame.unionAll, levels)
 
 
 def revenue_metrics(df: DataFrame, keys: list[str], price: str, order: str, customer: str) -> DataFrame:

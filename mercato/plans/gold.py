@@ -377,6 +377,20 @@ def agg19_cube(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.revenue_totals(_lines(spark, sf), ["return_flag", "kind"], cube=True)
 
 
+@query(
+    f"""
+    SELECT l_returnflag AS return_flag, p_brand AS category, p_type AS kind, {total('l_extendedprice')} AS revenue,
+      count(DISTINCT o_custkey) AS distinct_customer_id, CAST(grouping(l_returnflag, p_brand, p_type) AS BIGINT) AS level
+    FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON o_orderkey = l_orderkey GROUP BY CUBE (l_returnflag, p_brand, p_type)
+    """
+)
+def agg19_customers_per_level(spark: SparkSession, sf: str) -> DataFrame:
+    """All eight levels with their exact numbers of customers, from one aggregate over the facts."""
+    buyers = t.orders(spark, sf).select("order_id", "customer_id")
+    sales = skew_join(_lines(spark, sf), buyers, ["order_id"], spread_by=["product_id"])
+    return metrics.revenue_totals(sales, ["return_flag", "category", "kind"], cube=True, distinct="customer_id")
+
+
 @query(
     f"""
     WITH {_RFM}, b AS (SELECT o_custkey AS c, l_partkey AS p, count(*) AS n FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2),
