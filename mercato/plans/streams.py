@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.operators import cdc, metrics
@@ -337,6 +337,64 @@ def str13_restart_from_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
     return _text(sinks.read_upserted(spark, path, keys))
 
 
+_BATCHES = f"""
+    WITH a AS (SELECT ts, event_type, CASE {' '.join(f"WHEN ts < TIMESTAMP '{c}' THEN {i}" for i, c in enumerate(_CUTS[1:]))} END AS batch_id FROM events),
+    b AS (SELECT batch_id, count(*) AS num_input_rows, max(ts) AS newest FROM a GROUP BY 1),
+    m AS (SELECT CAST(batch_id AS BIGINT) AS batch_id, num_input_rows, max(newest) OVER w - INTERVAL 10 MINUTE AS mark,
+      sum(num_input_rows) OVER (ORDER BY batch_id) AS done FROM b
+      WINDOW w AS (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    s AS (SELECT m.batch_id, count(DISTINCT ({_FIVE}, event_type)) AS state_rows FROM m JOIN a ON a.batch_id <= m.batch_id
+      AND ({_FIVE} + INTERVAL 5 MINUTE > mark OR mark IS NULL) GROUP BY 1)
+"""
+
+
+def _reported(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored reports of a stream of tumbling windows over four arrivals; batches without rows left out."""
+    df = windows.with_lateness(split_event_stream(spark, sf), "event_time")
+    df = df.observe("arrival", F.count(F.lit(1)).alias("rows"), F.count("customer_id").alias("customers"))
+    found = windows.tumbling(df, "event_time", "5 minutes", ["category"], _revenue())
+    with monitor.ProgressTable(spark, scratch_path(spark, "progress")) as table:
+        keys = ["window_start", "category"]
+        stream = sinks.upsert_sink(found, scratch_path(spark, "stream-table"), keys, scratch_path(spark, "checkpoint"))
+        stream.awaitTermination()
+        table.wait(stream)
+    return table.read().filter("num_input_rows > 0")
+
+
+@query(
+    f"""
+    {_BATCHES} SELECT batch_id, num_input_rows, num_input_rows AS observed_rows, state_rows, CAST(0 AS BIGINT) AS dropped_by_watermark,
+      coalesce(strftime(mark, '%Y-%m-%d %H:%M:%S'), '1970-01-01 00:00:00') AS watermark, true AS timed FROM m JOIN s USING (batch_id)
+    """
+)
+def str14_progress_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, observed rows, state size, late rows and watermark of every batch; rates and times are positive and agree."""
+    timed = (F.col("batch_ms") > 0) & (F.col("process_rate") > 0) & (F.col("process_rate") <= F.col("num_input_rows") * 1000.0)
+    return _reported(spark, sf).select(
+        "batch_id",
+        "num_input_rows",
+        F.col("observed")["arrival.rows"].cast("bigint").alias("observed_rows"),
+        "state_rows",
+        "dropped_by_watermark",
+        t.stamp(F.to_timestamp("watermark")).alias("watermark"),
+        timed.alias("timed"),
+    )
+
+
+@query(
+    f"""
+    {_BATCHES} SELECT batch_id, CAST(total - done AS BIGINT) AS lag, 'lag' AS rule FROM m, (SELECT count(*) AS total FROM events)
+    WHERE total - done > 1000
+    """
+)
+def str11_backlog_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """The lag rule over the stored reports: events that have arrived and are not processed after each batch."""
+    total = t.events(spark, sf).count()
+    by_run = Window.partitionBy("run_id").orderBy("batch_id")
+    behind = _reported(spark, sf).withColumn("lag", F.lit(total).cast("bigint") - F.sum("num_input_rows").over(by_run))
+    return metrics.alerts(behind, metrics.standard_rules(lag="lag")).select("batch_id", "lag", "rule")
+
+
 @query("SELECT 0::BIGINT AS batch_id, count(*) AS num_input_rows FROM events")
 def str14_progress_rows(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "stream-out")
