@@ -46,8 +46,11 @@ def delete(df: DataFrame, predicate: Column, first_by: list[str] | None = None)
 def _merge_frame(table: DataFrame, rows: DataFrame, keys: list[str], seq: str | None, given: str | None) -> DataFrame:
     """Fold the incoming rows per key, field by field, and put them beside the stored document."""
     fields = [c for c in rows.columns if c not in keys and c not in (seq, given)]
-    # rows that tie, or have no order at all, are ranked as whole rows: values of two rows are never mixed
-    order = F.struct(F.col(seq) if seq else F.lit(0), F.to_json(F.struct(*rows.columns)))
+    # rows that tie, or have no order at all, are ranked by hashes of the whole row, once per row: values of two rows are
+    # not mixed, and a maximum holds 12 bytes beside its sequence and value, however wide the row is
+    whole = F.to_json(F.struct(*rows.columns))
+    rows = rows.withColumn("_rank", F.struct((F.col(seq) if seq else F.lit(0)).alias("s"), F.xxhash64(whole).alias("x"), F.hash(whole).alias("h")))
+    order = F.col("_rank")
     aggregates = [F.count(F.lit(1)).alias("_ops")]
     for c in fields:
         present = F.array_contains(given, c) if given else F.lit(True)
