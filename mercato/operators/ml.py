@@ -17,7 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.functions.scalar import days_late, money
+from mercato.operators.documents import as_read_model
 from mercato.operators.joins import dim_join
+from mercato.operators.metrics import customer_segments
 from mercato.operators.skew import dense_ids, skew_join
 from mercato.operators.topn import top_by_product
 from mercato.session import pin
@@ -137,6 +139,19 @@ class Recommender:
         return dim_join(named, self.users, ["user_ix"]).select("user", "rank", "item", "score")
 
 
+def segment_documents(
+    scores: DataFrame, now: DataFrame, churn: PipelineModel, features: list[str], recommender: Recommender, n: int = 10
+) -> DataFrame:
+    """Customer segments as the read model stores them, with the churn model's probability and the recommender's items.
+
+    ``scores``: recency, frequency and monetary value; ``now``: churn features as of the same day. A customer whom a model
+    does not know has a null in its field.
+    """
+    risk = score(churn, now, features, "customer_id", "churn_probability").drop("prediction")
+    docs = customer_segments(scores, risk, recommended_lists(recommender.top(n)))
+    return as_read_model(docs, "customer_segments")
+
+
 def recommended_lists(top: DataFrame) -> DataFrame:
     """(customer_id, recommended_products): the n items of each user as one array, best first."""
     ordered = F.sort_array(F.collect_list(F.struct("rank", F.col("item").cast("string").alias("item"))))
@@ -147,7 +162,7 @@ def recommended_lists(top: DataFrame) -> DataFrame:
 
 # --- churn -------------------------------------------------------------------------------------------------------
 
-# days_since_last_order repeats recency; both exist because the feature list names both
+# Features of the churn model. days_since_last_order repeats recency; the list names both.
 CHURN_FEATURES = [
     "recency",
     "frequency",
@@ -221,12 +236,36 @@ def classifier_metrics(model: PipelineModel, df: DataFrame, features: list[str])
     return found
 
 
+def log_loss(label: Column, p: Column) -> Column:
+    """Mean negative log likelihood of 0/1 labels; probabilities are kept a billionth away from 0 and 1."""
+    safe = F.least(F.greatest(p, F.lit(1e-9)), F.lit(1 - 1e-9))
+    return -F.avg(F.when(label == 1, F.log(safe)).otherwise(F.log(1 - safe)))
+
+
+def against_chance(train: DataFrame, scored: DataFrame, p: str = "p") -> dict[str, float]:
+    """Scores (``p``, ``label``) held against always saying the training share of class 1.
+
+    ``auc``; ``chance_error``, the standard error of the AUC of scores that know nothing; ``loss`` and ``base_loss``, the
+    mean log losses of the scores and of that share.
+    """
+    share = train.agg(F.avg("label")).first()[0]
+    label = F.col("label")
+    one = scored.agg(
+        F.count_if(label == 1).alias("ones"), F.count_if(label == 0).alias("zeros"),
+        log_loss(label, F.col(p)).alias("loss"), log_loss(label, F.lit(share)).alias("base_loss"),
+    ).first()
+    auc = BinaryClassificationEvaluator(rawPredictionCol=p, labelCol="label").evaluate(scored)
+    error = ((one["ones"] + one["zeros"] + 1) / (12 * max(1, one["ones"]) * max(1, one["zeros"]))) ** 0.5
+    return {"auc": auc, "chance_error": error, "loss": one["loss"], "base_loss": one["base_loss"]}
+
+
 def importances(model: PipelineModel, features: list[str]) -> dict[str, float]:
     return dict(zip(features, model.stages[-1].featureImportances.toArray().tolist(), strict=True))
 
 
 # --- forecast ----------------------------------------------------------------------------------------------------
 
+# Features of the forecast.
 FORECAST_FEATURES = ["day_of_week", "month", "lag_1", "lag_7"]
 
 
@@ -280,6 +319,7 @@ def market_basket(transactions: DataFrame, min_support: float = 0.01, min_confid
     return FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(transactions)
 
 
+# Features of the late-delivery model.
 LATE_FEATURES = ["items", "value", "sellers", "month", "day_of_week"]
 
 

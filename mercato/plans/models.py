@@ -131,6 +131,33 @@ def ml4_churn_score_ranges(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    f"""
+    SELECT (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderdate <= DATE '{AS_OF}') AS customers,
+      true AS threshold_label_found, true AS threshold_beats_base_rate, true AS future_not_below_chance
+    """
+)
+def ml4_churn_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """AUC and log loss on the test part, held against the base rate.
+
+    The threshold label follows from a feature, so the forest must find it. Orders of these tables do not depend on
+    earlier ones, so no model can foresee the future label: its AUC only has to be within four standard errors of chance.
+    """
+    names, found = [c for c in ml.CHURN_FEATURES if c != "days_since_last_order"], {}
+    for label in ("threshold", "future"):
+        data = pin(_churn(spark, sf, label))
+        train, test = ml.hashed_split(data, "customer_id")
+        scored = ml.score(ml.fit_forest(train, names), test, names, "customer_id", "p")
+        found[label] = ml.against_chance(train, pin(scored.join(test.select("customer_id", "label"), "customer_id")))
+    rule, future = found["threshold"], found["future"]
+    return data.agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.lit(rule["auc"] > 0.9).alias("threshold_label_found"),
+        F.lit(rule["loss"] < 0.5 * rule["base_loss"]).alias("threshold_beats_base_rate"),
+        F.lit(future["auc"] > 0.5 - 4 * future["chance_error"]).alias("future_not_below_chance"),
+    )
+
+
 @query()
 def ml4_churn_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics and feature importances as rows: a handful."""
@@ -173,20 +200,31 @@ def ml5_tree_forecast(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
     {_FORECAST}, r AS (SELECT *, percent_rank() OVER (ORDER BY date) AS p FROM f)
-    SELECT count(*) FILTER (WHERE p >= 0.8) AS n, true AS better_than_the_mean, true AS r2_follows FROM r
+    SELECT count(*) FILTER (WHERE p >= 0.8) AS n, true AS beats_the_day_before, true AS beats_the_week_before, true AS near_the_mean, true AS r2_follows FROM r
     """
 )
 def ml5_forecast_quality(spark: SparkSession, sf: str) -> DataFrame:
-    """RMSE and R2 of the linear forecast over all test days, held against a forecast that always says the training mean."""
+    """The linear forecast over all test days against three naive ones: the day before, the week before, the training mean.
+
+    It must beat both repetitions. Days of these tables do not depend on each other, so the mean is the best forecast
+    there is, and the model only has to come within 5 percent of its error.
+    """
     train, test = ml.split_by_date(pin(ml.forecast_features(_daily(spark, sf))), "date")
     scored = pin(ml.fit_forecast(train).transform(test).select("revenue", "prediction"))
     found = ml.regression_metrics(scored)
-    mean = train.agg(F.avg("revenue").alias("prediction"))
-    naive = ml.regression_metrics(test.select("revenue").join(F.broadcast(mean)))
+    mean = train.agg(F.avg("revenue")).first()[0]
+    naive = {
+        name: ml.regression_metrics(test.select("revenue", said.cast("double").alias("prediction")))["rmse"]
+        for name, said in {"day": F.col("lag_1"), "week": F.col("lag_7"), "mean": F.lit(mean)}.items()
+    }
     spread = scored.agg(F.var_pop("revenue")).first()[0]
     follows = abs(found["r2"] - (1 - found["rmse"] ** 2 / spread)) < 1e-6
     return scored.agg(
-        F.count(F.lit(1)).alias("n"), F.lit(found["rmse"] < 1.05 * naive["rmse"]).alias("better_than_the_mean"), F.lit(follows).alias("r2_follows")
+        F.count(F.lit(1)).alias("n"),
+        F.lit(found["rmse"] < naive["day"]).alias("beats_the_day_before"),
+        F.lit(found["rmse"] < naive["week"]).alias("beats_the_week_before"),
+        F.lit(found["rmse"] < 1.05 * naive["mean"]).alias("near_the_mean"),
+        F.lit(follows).alias("r2_follows"),
     )
 
 
@@ -266,6 +304,23 @@ def ml10_accuracy_over_time(spark: SparkSession, sf: str) -> DataFrame:
     return ml.accuracy_over_time(ml.fit_forecast(train).transform(test), "date", "revenue")
 
 
+@query(
+    f"""
+    {_FORECAST}, r AS (SELECT *, percent_rank() OVER (ORDER BY date) AS p FROM f), m AS (SELECT * FROM r WHERE p >= 0.8)
+    SELECT date[:7] AS year_month, count(*) AS n, round(avg(abs((lag_7 - revenue) / revenue)), 6) AS week_before, true AS better_overall FROM m GROUP BY 1
+    """
+)
+def ml10_accuracy_against_week_before(spark: SparkSession, sf: str) -> DataFrame:
+    """Days and error of repeating the week before, per month of the test part; over all days the model's error is less."""
+    train, test = ml.split_by_date(pin(ml.forecast_features(_daily(spark, sf))), "date")
+    scored = pin(ml.fit_forecast(train).transform(test).select("date", "revenue", "lag_7", "prediction"))
+    naive = ml.accuracy_over_time(scored, "date", "revenue", "lag_7")
+    found = ml.accuracy_over_time(scored, "date", "revenue")
+    both = pin(naive.withColumnRenamed("mape", "week_before").join(found.drop("n"), "year_month"))
+    less = both.agg((F.sum(F.col("mape") * F.col("n")) < F.sum(F.col("week_before") * F.col("n"))).alias("x")).first()[0]
+    return both.select("year_month", "n", F.round("week_before", 6).alias("week_before"), F.lit(less).alias("better_overall"))
+
+
 @query(
     """
     WITH k AS (SELECT l_orderkey AS o, bit_or(CAST(1 << list_position(['ECONOMY','LARGE','MEDIUM','PROMO','SMALL','STANDARD'], p_type) - 1 AS BIGINT)) AS m
@@ -327,3 +382,30 @@ def ml12_late_scores(spark: SparkSession, sf: str) -> DataFrame:
     train, test = ml.hashed_split(data, "order_id")
     model = ml.fit_forest(train, ml.LATE_FEATURES)
     return ml.score(model, test, ml.LATE_FEATURES, "order_id", "late_probability")
+
+
+@query(
+    f"""
+    WITH {t.SQL_DELIVERED} SELECT count(*) AS orders, true AS parts_disjoint, true AS in_range, true AS better_than_chance,
+      true AS better_than_base_rate FROM delivered WHERE actual IS NOT NULL
+    """
+)
+def ml12_late_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Every delivered order is in one part; on the test part the AUC lies four standard errors above chance, and the log
+    loss below that of always saying the training share of late orders."""
+    lines = t.items(spark, sf)
+    data = pin(ml.late_features(metrics.deliveries(t.orders(spark, sf), lines), lines))
+    train, test = ml.hashed_split(data, "order_id")
+    scored = ml.score(ml.fit_forest(train, ml.LATE_FEATURES), test, ml.LATE_FEATURES, "order_id", "p")
+    scored = pin(scored.join(test.select("order_id", "label"), "order_id"))
+    found = ml.against_chance(train, scored)
+    both = train.select("order_id", F.lit(None).cast("double").alias("p")).unionByName(scored.select("order_id", "p"))
+    per = both.groupBy("order_id").agg(F.count(F.lit(1)).alias("times"), F.max("p").alias("p"))
+    held = data.select("order_id").join(per, "order_id", "left")
+    return held.agg(
+        F.count(F.lit(1)).alias("orders"),
+        F.bool_and(F.coalesce(F.col("times") == 1, F.lit(False))).alias("parts_disjoint"),
+        F.bool_and(F.col("p").between(0, 1)).alias("in_range"),
+        F.lit(found["auc"] > 0.5 + 4 * found["chance_error"]).alias("better_than_chance"),
+        F.lit(found["loss"] < found["base_loss"]).alias("better_than_base_rate"),
+    )
