@@ -203,16 +203,40 @@ def order_analytics(
             F.col("actual").alias("deliveredDate"),
             F.col("estimated").alias("estimatedDeliveryDate"),
             "items",
-            F.col("total_payment_value").cast("double").alias("totalPaymentValue"),
+            F.col("total_payment_value").alias("totalPaymentValue"),
             F.col("primary_payment_type").alias("primaryPaymentType"),
             F.col("review_score").alias("reviewScore"),
             F.col("delivery_delay_days").alias("deliveryDelayDays"),
-            F.col("total_item_value").cast("double").alias("totalItemValue"),
+            F.col("total_item_value").alias("totalItemValue"),
             F.col("item_count").alias("itemCount"),
         )
     )
 
 
+def order_documents(docs: DataFrame) -> DataFrame:
+    """The documents of ``order_analytics`` as the read model stores them: its fields and types, exact money, no ``part``.
+
+    Further parts of an order with very many items are documents of their own, with ``#`` and the part after the order's
+    id. An amount that the model's type cannot hold is null.
+    """
+    fields = {f.name: f.dataType for f in READ_MODELS["order_analytics"].fields}
+    key = F.col("orderId").cast("string")
+    numbered = F.when(F.col("part") == 0, key).otherwise(F.concat_ws("#", key, "part"))
+    sums = {c: F.col(c).try_cast(fields[c]) for c in ("totalPaymentValue", "totalItemValue")}
+    return as_read_model(docs, "order_analytics", orderId=numbered, items=F.col("items").try_cast(fields["items"]), **sums)
+
+
+def find_embedded(
+    children: DataFrame, key: str, predicate: Column, element: Column, order: list[str], name: str, number: Column | str
+) -> DataFrame:
+    """Documents with an embedded child that matches; see ``embed``.
+
+    The children are filtered by themselves first, so only documents that are found are built.
+    """
+    hits = children.filter(predicate).select(key).distinct()
+    return embed(skew_join(children, hits, [key], "left_semi"), key, element, order, name, number)
+
+
 def order_doc(
     orders: DataFrame,
     items: DataFrame,

@@ -11,6 +11,7 @@ from mercato.operators import documents, metrics, shaping, windows
 from mercato.operators.joins import dim_join, skew_join
 from mercato.plans import tables as t
 from mercato.plans.registry import query, text, total
+from mercato.session import pin
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,14 +162,40 @@ def agg7_seller_documents(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def agg8_order_analytics(spark: SparkSession, sf: str) -> DataFrame:
-    lines = _lines(spark, sf)
-    orders = metrics.deliveries(t.orders(spark, sf), t.items(spark, sf))
-    docs = documents.order_analytics(
-        orders, t.customers(spark, sf), lines, t.payments(spark, sf), t.reviews(spark, sf)
-    )
+    docs = _order_analytics(spark, sf)
     flat = F.transform("items", lambda i: F.concat_ws(":", i["productId"], i["sellerId"], i["categoryName"]))
     stamps = {c: t.stamp(c) for c in ("purchaseTimestamp", "deliveredDate", "estimatedDeliveryDate")}
-    return docs.withColumns({**stamps, "items": F.array_join(flat, ",")})
+    money = {c: F.col(c).cast("double") for c in ("totalPaymentValue", "totalItemValue")}
+    return docs.withColumns({**stamps, **money, "items": F.array_join(flat, ",")})
+
+
+def _order_analytics(spark: SparkSession, sf: str) -> DataFrame:
+    orders = metrics.deliveries(t.orders(spark, sf), t.items(spark, sf))
+    return documents.order_analytics(orders, t.customers(spark, sf), _lines(spark, sf), t.payments(spark, sf), t.reviews(spark, sf))
+
+
+@query(
+    f"""
+    WITH {t.SQL_PLACES}, {t.SQL_REVIEWS}, {t.SQL_DELIVERED},
+    it AS (SELECT l_orderkey, {total('l_extendedprice')} AS totalItemValue, CAST(count(*) AS INTEGER) AS itemCount,
+      string_agg(l_partkey || ':' || l_suppkey || ':' || printf('%.2f', l_extendedprice), ',' ORDER BY l_partkey, l_suppkey, l_extendedprice) AS items
+      FROM lineitem GROUP BY 1)
+    SELECT CAST(o_orderkey AS VARCHAR) AS orderId, CAST(o_custkey AS VARCHAR) AS customerId, state AS customerState, city AS customerCity,
+      o_orderstatus AS orderStatus, {text('o_orderdate')} AS purchaseTimestamp, {text('actual')} AS deliveredDate,
+      {text('estimated')} AS estimatedDeliveryDate, items, printf('%.2f', o_totalprice) AS totalPaymentValue, o_orderpriority AS primaryPaymentType,
+      CAST(score AS INTEGER) AS reviewScore, CAST(date_diff('day', CAST(estimated AS DATE), CAST(actual AS DATE)) AS INTEGER) AS deliveryDelayDays,
+      printf('%.2f', totalItemValue) AS totalItemValue, itemCount
+    FROM orders JOIN delivered d ON d.order_id = o_orderkey LEFT JOIN customer ON c_custkey = o_custkey
+    LEFT JOIN places ON zip = c_nationkey LEFT JOIN reviews r ON r.order_id = o_orderkey LEFT JOIN it ON l_orderkey = o_orderkey
+    """
+)
+def agg8_order_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The order read model as stored, money as decimals; shown as text."""
+    docs = documents.order_documents(_order_analytics(spark, sf))
+    flat = F.transform("items", lambda i: F.concat_ws(":", i["productId"], i["sellerId"], i["price"].cast("string")))
+    stamps = {c: t.stamp(c) for c in ("purchaseTimestamp", "deliveredDate", "estimatedDeliveryDate")}
+    money = {c: F.col(c).cast("string") for c in ("totalPaymentValue", "totalItemValue")}
+    return docs.withColumns({**stamps, **money, "items": F.array_join(flat, ",")})
 
 
 @query(
@@ -402,7 +429,8 @@ def agg19_customers_per_level(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def agg20_customer_segments(spark: SparkSession, sf: str) -> DataFrame:
-    """Segment documents; a recency rule stands in for model scores and favourite products for recommendations."""
+    """Segment documents of a shop without models: a recency rule and favourite products; with models see
+    ``agg20_segment_documents``."""
     from mercato.operators.ml import interactions, recommended_lists
 
     scores = _rfm(spark, sf)
@@ -415,6 +443,33 @@ def agg20_customer_segments(spark: SparkSession, sf: str) -> DataFrame:
     return docs.withColumn("recommended_products", F.array_join("recommended_products", ","))
 
 
+@query(
+    f"""
+    WITH {_RFM}, b AS (SELECT DISTINCT o_custkey AS c FROM orders JOIN lineitem ON l_orderkey = o_orderkey)
+    SELECT CAST(customer_id AS VARCHAR) AS _id, recency AS recency_days, frequency, monetary, {_SEGMENT} AS rfm_segment, true AS probability,
+      CASE WHEN c IS NOT NULL THEN CAST(least(10, (SELECT count(DISTINCT l_partkey) FROM lineitem)) AS INTEGER) END AS products
+    FROM rfm LEFT JOIN b ON c = customer_id
+    """
+)
+def agg20_segment_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Segment documents from the models: the churn forest's probability and the recommender's ten items, shown as whether
+    it is a probability and how many different items there are."""
+    from mercato.operators import ml
+
+    orders, reviews = t.orders(spark, sf), t.reviews(spark, sf)
+    names = [c for c in ml.CHURN_FEATURES if c != "days_since_last_order"]
+    churn = ml.fit_forest(pin(ml.churn_features(orders, reviews, F.lit("2001-04-01").cast("date"))), names)
+    now = ml.churn_features(orders, reviews, F.lit("2001-08-02").cast("date"))
+    bought = skew_join(t.items(spark, sf).select("order_id", "product_id"), orders.select("order_id", "customer_id"), ["order_id"])
+    recommender = ml.Recommender.fit(pin(ml.interactions(bought, "customer_id", "product_id")))
+    docs = ml.segment_documents(_rfm(spark, sf), now, churn, names, recommender)
+    return docs.select(
+        "_id", "recency_days", "frequency", "monetary", "rfm_segment",
+        F.col("churn_probability").between(0, 1).alias("probability"),
+        F.size(F.array_distinct("recommended_products")).alias("products"),
+    )
+
+
 @query(
     f"""
     WITH {t.SQL_PLACES}, c AS (SELECT state, count(*) AS customers FROM customer JOIN places ON zip = c_nationkey GROUP BY 1),

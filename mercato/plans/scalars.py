@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from mercato.functions.register import register_all
 from mercato.operators import documents, metrics, quality, shaping, windows
 from mercato.plans import tables as t
 from mercato.plans.registry import query, text, total
-from mercato.session import scratch_path
+from mercato.session import pin, scratch_path
 from mercato.sources.external import StreamConfig, read_events
 from mercato.streaming import sinks
 
@@ -139,37 +141,61 @@ def top2_find_with_limit(spark: SparkSession, sf: str) -> DataFrame:
     return shaping.find(ranked, F.col("status") == "F", 10).drop("status")
 
 
-@query("SELECT count(*) AS n FROM (SELECT * FROM lineitem LIMIT 10)")
+@query("SELECT least(10, count(*)) AS n, least(10, count(*)) AS rows_of_the_table, true AS no_row_too_often FROM lineitem")
 def top3_head(spark: SparkSession, sf: str) -> DataFrame:
-    df = t.items(spark, sf)
-    return shaping.preview(df, df.columns, 10).agg(F.count(F.lit(1)).alias("n"))
+    """Which ten rows come is open. All of them must be rows of the table, whole, and none more often than it is there."""
+    df = t.raw(spark, sf, "lineitem")
+    head = pin(shaping.preview(df, df.columns, 10)).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("shown"))
+    head = head.withColumnsRenamed({c: f"h_{c}" for c in df.columns})
+    same = reduce(lambda a, b: a & b, [F.col(f"h_{c}").eqNullSafe(F.col(c)) for c in df.columns])
+    found = df.join(F.broadcast(head), same).groupBy(*[f"h_{c}" for c in df.columns], "shown").agg(F.count(F.lit(1)).alias("there"))
+    return found.agg(
+        head.agg(F.sum("shown")).scalar().alias("n"),
+        F.sum("shown").alias("rows_of_the_table"),
+        F.bool_and(F.col("shown") <= F.col("there")).alias("no_row_too_often"),
+    )
 
 
-@query("SELECT DISTINCT l_orderkey AS order_id FROM lineitem WHERE l_suppkey = 5")
+@query(
+    """
+    SELECT l_orderkey AS order_id, string_agg(l_partkey || ':' || l_suppkey, ',' ORDER BY l_partkey, l_suppkey) AS items
+    FROM lineitem WHERE l_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_suppkey = 5) GROUP BY 1
+    """
+)
 def doc5_find_in_embedded_items(spark: SparkSession, sf: str) -> DataFrame:
-    item = F.struct("product_id", "seller_id")
-    docs = documents.embed(t.items(spark, sf), "order_id", item, ["product_id", "seller_id"], "items", "item_no")
-    found = shaping.find(docs, F.exists("items", lambda i: i["seller_id"] == 5))
-    return found.select("order_id").distinct()
+    item, order = F.struct("product_id", "seller_id"), ["product_id", "seller_id"]
+    docs = documents.find_embedded(t.items(spark, sf), "order_id", F.col("seller_id") == 5, item, order, "items", "item_no")
+    return docs.select("order_id", F.array_join(F.transform("items", lambda i: F.concat_ws(":", i["product_id"], i["seller_id"])), ",").alias("items"))
+
+
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 @query(
-    """
-    SELECT 'nulls' AS section, count(*) * 0 + 6 AS report_rows FROM orders UNION ALL
-    SELECT 'outliers', count(*) * 0 + 3 FROM orders UNION ALL SELECT 'duplicates', count(*) * 0 + 1 FROM orders
-    """
+    "SELECT * FROM ("
+    + " UNION ALL ".join(f"SELECT 'nulls' AS section, '{c}' AS first_cell, CAST(count(*) - count({c}) AS VARCHAR) AS shown FROM orders" for c in _ORDER_COLUMNS)
+    + "".join(
+        f" UNION ALL SELECT 'outliers', '{c}', CAST((SELECT count(*) FROM orders WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS VARCHAR) "
+        f"FROM (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3 FROM orders)"
+        for c in ("o_orderkey", "o_custkey", "o_totalprice")
+    )
+    + " UNION ALL SELECT 'duplicates', CAST(n AS VARCHAR), CAST(n - d AS VARCHAR) FROM (SELECT count(*) AS n FROM orders), "
+    "(SELECT count(*) AS d FROM (SELECT DISTINCT * FROM orders)))"
 )
 def dq6_html_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Writes the report of the orders table and returns how many rows each section has."""
+    """The report of the orders table, read back from the page it was written to: a row per row of its three sections."""
     df = t.raw(spark, sf, "orders")
-    sections = {
-        "nulls": quality.null_report(df),
-        "duplicates": quality.duplicate_report(df),
-        "outliers": quality.outlier_report(df),
-    }
-    quality.html_report(sections, scratch_path(spark, "report") + ".html")
-    rows = [d.agg(F.lit(n).alias("section"), F.count(F.lit(1)).alias("report_rows")) for n, d in sections.items()]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+    shown = {"nulls": ("column_name", "null_count"), "duplicates": ("total_rows", "total_duplicates"), "outliers": ("column_name", "outliers")}
+    sections = {"nulls": quality.null_report(df), "duplicates": quality.duplicate_report(df), "outliers": quality.outlier_report(df)}
+    path = quality.html_report({n: r.select(*shown[n]) for n, r in sections.items()}, scratch_path(spark, "report") + ".html")
+    page = spark.read.text(path, wholetext=True)
+    tables = page.select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)(<h2>.*?</table>)"), F.lit(1))).alias("table"))
+    rows = tables.select(
+        F.regexp_extract("table", "<h2>(.*?)</h2>", 1).alias("section"),
+        F.explode(F.regexp_extract_all("table", F.lit("(<tr><td>.*?</tr>)"), F.lit(1))).alias("row"),
+    )
+    cells = F.regexp_extract_all("row", F.lit("<td>(.*?)</td>"), F.lit(1))
+    return rows.select("section", cells[0].alias("first_cell"), cells[1].alias("shown"))
 
 
 @query("SELECT event_type AS category, count(*) AS n, count(DISTINCT ts < TIMESTAMP '2024-01-16') AS runs FROM events GROUP BY 1")

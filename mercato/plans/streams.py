@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mercato.operators import cdc, metrics
+from mercato.operators.documents import as_read_model
 from mercato.operators.joins import enrich
 from mercato.operators.shaping import metric_id
 from mercato.operators.skew import hot_keys
@@ -445,7 +446,7 @@ def agg21_revenue_metric_documents(spark: SparkSession, sf: str) -> DataFrame:
         "avg_order_value", F.try_divide("revenue", "order_count")
     )
     docs = found.withColumn("_id", metric_id("window_start", "category"))
-    return _text(_upserted(spark, docs, ["_id"]))
+    return _text(as_read_model(_upserted(spark, docs, ["_id"]), "revenue_metrics"))
 
 
 @query(feeds._STATE)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
 import pytest
@@ -216,6 +217,76 @@ def test_seller_documents_have_the_read_model(spark, sf):
     assert docs.where("lastUpdated is null or sellerId is null").count() == 0
 
 
+def _model_fields(name):
+    from mercato.schemas import READ_MODELS
+
+    return [(f.name, f.dataType) for f in READ_MODELS[name].fields]
+
+
+def test_order_documents_have_the_read_model(spark):
+    from decimal import Decimal
+
+    n = documents.PART_ITEMS + 5
+    lines = spark.range(n).select(
+        F.lit(1).alias("order_id"), (F.col("id") + 1).alias("item_no"), F.col("id").alias("product_id"), F.lit("c").alias("category"),
+        F.lit(2).alias("seller_id"), F.lit(0.1).alias("price"), F.lit(0.1).alias("freight"),
+    )
+    orders = spark.createDataFrame(
+        [(1, 9, "P", None, None, None), (2, None, None, None, None, None)],
+        "order_id int, customer_id int, status string, order_date timestamp, estimated timestamp, actual timestamp",
+    )
+    customers = spark.createDataFrame([(9, "s", "t")], "customer_id int, customer_state string, customer_city string")
+    payments = spark.createDataFrame([(1, "card", 7.0), (2, "card", 1e9)], "order_id int, payment_type string, payment_value double")
+    reviews = spark.createDataFrame([], "order_id int, score int")
+    docs = documents.order_documents(documents.order_analytics(orders, customers, lines, payments, reviews))
+    assert [(f.name, f.dataType) for f in docs.schema] == _model_fields("order_analytics")
+    found = {r["orderId"]: r for r in docs.collect()}
+    assert sorted(found) == ["1", "1#1", "2"]
+    assert found["1"]["totalItemValue"] == Decimal(n) / 10 and found["1"]["totalPaymentValue"] == 7
+    assert len(found["1"]["items"]) == documents.PART_ITEMS and len(found["1#1"]["items"]) == 5
+    assert found["1#1"]["totalItemValue"] is None and found["1"]["items"][0]["price"] == Decimal("0.10")
+    assert found["2"]["totalPaymentValue"] is None  # a billion does not fit ten digits
+
+
+def test_segment_documents_take_the_models(spark, sf):
+    """Probabilities are the forest's and products the recommender's, under the fields and types of the read model."""
+    from mercato.operators import ml
+    from mercato.plans import tables as t
+
+    orders, reviews = t.orders(spark, sf), t.reviews(spark, sf)
+    names = ["recency", "frequency", "monetary"]
+    churn = ml.fit_forest(ml.churn_features(orders, reviews, F.lit("2001-04-01").cast("date")), names, trees=5)
+    now = ml.churn_features(orders, reviews, F.lit("2001-08-02").cast("date")).filter("customer_id % 2 = 0")
+    ratings = ml.interactions(orders.select("customer_id", (F.col("order_id") % 7).alias("item")), "customer_id", "item")
+    recommender = ml.Recommender.fit(ratings)
+    scores = metrics.rfm(orders, "customer_id", "order_date", "total", F.lit("2001-08-02").cast("date"))
+    docs = ml.segment_documents(scores, now, churn, names, recommender, 2)
+    assert [(f.name, f.dataType) for f in docs.schema] == _model_fields("customer_segments")
+    want = {str(r[0]): r[1] for r in ml.score(churn, now, names, "customer_id", "p").collect()}
+    items = {}
+    for r in recommender.top(2).orderBy("rank").collect():
+        items.setdefault(str(r["user"]), []).append(str(r["item"]))
+    for r in docs.collect():
+        assert r["churn_probability"] == want.get(r["_id"]) and r["recommended_products"] == items.get(r["_id"])
+
+
+def test_scores_against_chance(spark):
+    from mercato.operators import ml
+
+    train = spark.createDataFrame([(1,), (0,), (0,), (0,)], "label int")
+    scored = spark.createDataFrame([(1, 1.0), (0, 0.0), (0, 0.5), (1, 0.5)], "label int, p double")
+    found = ml.against_chance(train, scored)
+    assert found["auc"] == pytest.approx(0.875) and found["chance_error"] == pytest.approx((5 / 48) ** 0.5)
+    assert found["loss"] == pytest.approx(0.5 * math.log(2), abs=1e-6)
+    assert found["base_loss"] == pytest.approx(-(math.log(0.25) + math.log(0.75)) / 2)
+
+
+def test_found_documents_are_whole(spark):
+    lines = spark.createDataFrame([(1, 1, 5, "a"), (1, 2, 6, "b"), (2, 1, 6, "c"), (3, 1, None, "d")], "k int, no int, s int, p string")
+    docs = documents.find_embedded(lines, "k", F.col("s") == 5, F.struct("p", "s"), ["no"], "items", "no")
+    assert [(r["k"], [i["p"] for i in r["items"]]) for r in docs.collect()] == [(1, ["a", "b"])]
+
+
 def test_upsert_without_order_takes_whole_rows(spark):
     """Two rows of one key: their fields are never mixed."""
     stored = spark.createDataFrame([], "k int, s string, n string")
