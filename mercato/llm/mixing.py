@@ -146,7 +146,8 @@ def mixed_pieces(sizes: DataFrame, plan: DataFrame, *, block_words: int = BLOCK_
 
 
 def mix(docs: DataFrame, *, block_words: int = BLOCK_WORDS, total_share: float = 1.5, most_times: float = 2.0) -> DataFrame:
-    """Words the mix takes from every row of ``docs``: doc_id, size, source_size, target, taken (repeats counted).
+    """Words the mix takes from every row of ``docs``: doc_id, size, source_size, target, taken (repeats counted), and its
+    place in the schedule: slots (how many take words of it), first_slot and last_slot (null where none does).
 
     Every source gives its target, rounded to a word; no document is taken more than ``most_times`` times. Documents
     without words, and null texts, have size and taken 0. Null sources form a source of their own, which is last in the
@@ -154,11 +155,31 @@ def mix(docs: DataFrame, *, block_words: int = BLOCK_WORDS, total_share: float =
     """
     sizes = sized(docs)
     plan = store(targets(sizes, total_share=total_share, most_times=most_times), "mix-plan")
-    pieces = mixed_pieces(sizes, plan, block_words=block_words).select("uid", F.lit(None).cast(sizes.schema["doc_id"].dataType).alias("doc_id"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("long").alias("size"), "words")
-    rows = sizes.select("uid", "doc_id", "source", "size", F.lit(0).cast("long").alias("words")).unionByName(pieces)
-    taken = rows.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), F.max("source").alias("source"), F.max("size").alias("size"), F.sum("words").alias("taken"))
+    pieces = mixed_pieces(sizes, plan, block_words=block_words).select(
+        "uid",
+        F.lit(None).cast(sizes.schema["doc_id"].dataType).alias("doc_id"),
+        F.lit(None).cast("string").alias("source"),
+        F.lit(None).cast("long").alias("size"),
+        "words",
+        "slot",
+    )
+    rows = sizes.select("uid", "doc_id", "source", "size", F.lit(0).cast("long").alias("words"), F.lit(None).cast("long").alias("slot"))
+    taken = (
+        rows.unionByName(pieces)
+        .groupBy("uid")
+        .agg(
+            F.max("doc_id").alias("doc_id"),
+            F.max("source").alias("source"),
+            F.max("size").alias("size"),
+            F.sum("words").alias("taken"),
+            F.count("slot").alias("slots"),
+            F.min("slot").alias("first_slot"),
+            F.max("slot").alias("last_slot"),
+        )
+    )
     by_source = plan.select(F.col("source").alias("name"), "source_size", "target")
-    return taken.join(by_source, taken["source"].eqNullSafe(by_source["name"])).select("doc_id", "size", "source_size", "target", "taken")
+    named = taken.join(by_source, taken["source"].eqNullSafe(by_source["name"]))
+    return named.select("doc_id", "size", "source_size", "target", "taken", "slots", "first_slot", "last_slot")
 
 
 def _leading_words(text: Column, n: Column) -> Column:

@@ -144,6 +144,53 @@ def test_mix_is_its_schedule(docs):
         assert got.get(r["uid"], 0) == want
 
 
+def _plain_slots(plan, block):
+    """Slots of every source in turn, walked one by one."""
+    sources = sorted(plan, key=lambda r: r["sid"])
+    everything, upto, shares = sum(r["target"] for r in sources), 0.0, []
+    for r in sources:
+        upto += r["target"]
+        shares.append([r["sid"], (upto - r["target"]) / everything, upto / everything, r["target"]])
+    shares = [x for x in shares if x[3] > 0]
+    shares[-1][2] = 1.0
+    need = {}
+    for r in sources:
+        size, words = max(1, r["source_size"]), int(r["target"] + 0.5)
+        blocks = -(-size // block)
+        need[r["sid"]] = words // size * blocks + -(-(words % size) // block)
+    n = sum(math.ceil(r["target"] / block) for r in sources) + 1
+    turns = {r["sid"]: [] for r in sources}
+    for k in range(n):
+        u = k * mixing.GOLDEN % mixing.PERIOD / mixing.PERIOD
+        turns[next(sid for sid, lo, hi, _ in shares if lo <= u < hi)].append(k)
+    return {sid: t[: need[sid]] + [n + r for r in range(len(t), need[sid])] for sid, t in turns.items()}
+
+
+def test_mix_tells_the_slots_of_every_document(docs):
+    """How many slots take words of a document, the first and the last, against a schedule walked slot by slot."""
+    block = 16
+    sizes = mixing.sized(docs)
+    plan = mixing.store(mixing.targets(sizes), "t")
+    plain = plan.collect()
+    turns, of = _plain_slots(plain, block), {r["sid"]: r for r in plain}
+    starts = {r["uid"]: (r["sid"], r["start"]) for r in mixing._streams(sizes, plan).collect()}
+    want = []
+    for r in sizes.collect():
+        took = []
+        if r["uid"] in starts:
+            sid, start = starts[r["uid"]]
+            size, words = of[sid]["source_size"], int(of[sid]["target"] + 0.5)
+            blocks = -(-size // block)
+            for rank, slot in enumerate(turns[sid]):
+                lap, b = divmod(rank, blocks)
+                lo, hi = b * block, min((b + 1) * block, size, words - lap * size)
+                if min(hi, start + r["size"]) > max(lo, start):
+                    took.append(slot)
+        want.append((r["doc_id"], r["size"], len(took), min(took, default=None), max(took, default=None)))
+    got = [(r["doc_id"], r["size"], r["slots"], r["first_slot"], r["last_slot"]) for r in mixing.mix(docs, block_words=block).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_mix_schedule_is_even(docs):
     sizes = mixing.sized(docs)
     plan = mixing.store(mixing.targets(sizes), "t")
