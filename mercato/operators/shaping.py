@@ -156,17 +156,6 @@ def latest_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     )
 
 
-def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each key in the given order; see ``latest_by``."""
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    return (
-        df.groupBy(*keys)
-        .agg(F.min(F.struct(*order, *rest)).alias("_first"))
-        .select(*keys, "_first.*")
-        .select(*df.columns)
-    )
-
-
 def sorted_layout(df: DataFrame, order: list[Column], n: int | None = None) -> DataFrame:
     """Range-partition and sort inside partitions: the layout a compound sort key gives, without one global sort."""
     ranged = df.repartitionByRange(n, *order) if n else df.repartitionByRange(*order)

@@ -77,11 +77,6 @@ def evolve(df: DataFrame, target: T.StructType) -> DataFrame:
     return df.select(*fitted, *[c for c in df.columns if c not in wanted])
 
 
-def union_evolved(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows of two schema versions; a column that one side lacks is null there."""
-    return old.unionByName(new, allowMissingColumns=True)
-
-
 def bulk_insert(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     """Append and return how many rows were written.
 
