@@ -33,6 +33,9 @@ def _named(df: DataFrame) -> DataFrame:
     return windows.event_time(named, "event_time")
 
 
+# Rows per file with which dealing rows in turn leaves no file of an arrival empty.
+ROWS_PER_FILE = 50
+
 # Where the event files of a replayed stream are cut.
 _CUTS = ["2024-01-01", "2024-01-09", "2024-01-17", "2024-01-25", "9999-01-01"]
 
@@ -41,16 +44,18 @@ def split_event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The events as four arrivals in time order, streamed one per micro-batch.
 
     Arrivals are written one after the other: a file source takes files by age, and the watermark of a later one would
-    drop what an earlier one brings. A micro-batch takes one file, so an arrival is one.
+    drop what an earlier one brings. Each is written by as many tasks, to as many files, as a micro-batch takes files; where
+    one has too few rows to fill them all for certain, each is one file.
     """
-    path = scratch_path(spark, "event-files")
-    events = t.raw(spark, sf, "events")
-    for lo, hi in zip(_CUTS, _CUTS[1:], strict=False):
-        part = events.filter(
-            (F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
-        )
-        part.coalesce(1).write.mode("append").parquet(path)
-    cfg = StreamConfig(fmt="parquet", path=path, schema=events.schema, max_per_trigger=1)
+    path, events = scratch_path(spark, "event-files"), t.raw(spark, sf, "events")
+    ends = [F.lit(c).cast("timestamp_ntz") for c in _CUTS]
+    parts = [events.filter((F.col("ts") >= lo) & (F.col("ts") < hi)) for lo, hi in zip(ends, ends[1:], strict=False)]
+    least = min(events.agg(*[F.count_if((F.col("ts") >= lo) & (F.col("ts") < hi)) for lo, hi in zip(ends, ends[1:], strict=False)]).first())
+    tasks = spark.sparkContext.defaultParallelism
+    files = tasks if least >= tasks * ROWS_PER_FILE else 1
+    for part in parts:
+        part.repartition(files).write.mode("append").parquet(path)
+    cfg = StreamConfig(fmt="parquet", path=path, schema=events.schema, max_per_trigger=files)
     return _named(read_events(spark, cfg))
 
 
@@ -103,7 +108,7 @@ def src6_stream_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT event_type AS category, count(*) AS n, 4::BIGINT AS batches FROM events GROUP BY 1")
 def src7_rate_limited_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Four files, one per micro-batch."""
+    """Four arrivals, one per micro-batch, each written by many tasks."""
     df = split_event_stream(spark, sf)
     path = scratch_path(spark, "stream-table")
     stored = lambda batch, i: sinks.write_upserts(batch, i, path)

@@ -153,3 +153,36 @@ def test_console_sink_and_complete_mode(spark):
 
 def test_shared_dir_is_the_sessions(spark):
     assert shared_dir(spark) == spark.sparkContext.getCheckpointDir().rsplit("/", 1)[0].replace("file:", "")
+
+
+def test_arrivals_are_written_by_many_tasks(spark):
+    """Every micro-batch is one arrival, read from as many files as there are tasks."""
+    from mercato.plans import streams
+
+    out, check = folders(spark, 2)
+    named = streams.split_event_stream(spark, "/root/testdata/sf0.01").select("event_time", F.input_file_name().alias("file"))
+    sinks.write_stream_batch(named, lambda b, i: sinks.write_upserts(b, i, out), check, trigger=sinks.ONCE).awaitTermination()
+    per = spark.read.parquet(out).groupBy("batch").agg(F.count_distinct("file").alias("files"), F.min("event_time").alias("lo"), F.max("event_time").alias("hi"))
+    found = per.orderBy("batch").collect()
+    assert [r["files"] for r in found] == [spark.sparkContext.defaultParallelism] * 4
+    assert all(a["hi"] < b["lo"] for a, b in zip(found, found[1:], strict=False))
+
+
+def test_one_minute_trigger(spark):
+    """The default trigger of the file sink: what comes after the first batch waits for the next full minute."""
+    inbox, out, check = folders(spark)
+    arrive(spark, inbox, ("2024-01-01 12:00:00", 1, 1.0))
+    query = sinks.write_stream_files(stream(spark, inbox), out, check)
+    try:
+        end = time.time() + 150
+        while not any(p["numInputRows"] for p in query.recentProgress) and time.time() < end:
+            time.sleep(0.2)
+        arrive(spark, inbox, ("2024-01-01 12:01:00", 2, 2.0))
+        while sum(p["numInputRows"] for p in query.recentProgress) < 2 and time.time() < end:
+            time.sleep(0.2)
+        batches = [p for p in query.recentProgress if p["numInputRows"]]
+    finally:
+        query.stop()
+    assert [(p["batchId"], p["numInputRows"]) for p in batches] == [(0, 1), (1, 1)]
+    assert batches[1]["timestamp"][17:19] == "00"  # the second began on a full minute
+    assert spark.read.parquet(out).count() == 2
