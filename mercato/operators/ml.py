@@ -207,15 +207,20 @@ def churn_features(
 
 
 def fit_forest(df: DataFrame, features: list[str], trees: int = 100, seed: int = 42) -> PipelineModel:
-    """Random forest on numeric features; unknown values are replaced by the column mean."""
+    """Random forest on numeric features; unknown values are replaced by the column mean.
+
+    The copy has no training summary. A summary holds the session, which every scoring task would carry, and which can no
+    longer be sent once anything in the session has been observed.
+    """
     filled = [f"{c}_in" for c in features]
-    return Pipeline(
+    fitted = Pipeline(
         stages=[
             Imputer(inputCols=features, outputCols=filled),
             VectorAssembler(inputCols=filled, outputCol="features"),
             RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, seed=seed),
         ]
     ).fit(df.withColumns({c: F.col(c).cast("double") for c in features}))
+    return fitted.copy()
 
 
 def score(model: PipelineModel, df: DataFrame, features: list[str], id_col: str, name: str) -> DataFrame:
