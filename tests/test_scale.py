@@ -287,6 +287,25 @@ def test_co_occurrence_large_groups_equal_brute_force(spark):
     assert twice == {p for p, n in expected.items() if n >= 2}
 
 
+def test_blocks_of_many_small_groups_send_few_rows(spark):
+    """A row must not go to every block that anything near it has: 3,000 groups of three meet 1,250 blocks."""
+    cells = spark.range(9000).selectExpr("cast(id % 3000 as int) grp", "cast((id * 7919) % 20000 as int) member").distinct()
+    dealt, most = graph._dealt(cells, 16)
+    assert dealt.count() <= most <= 2 * 3 * 3000 + 2 * 9000
+    pairs = graph.co_occurrence(cells, "grp", "member", small=1, block=16)
+    same = graph.co_occurrence(cells, "grp", "member")
+    assert pairs.count() > 0 and pairs.exceptAll(same).isEmpty() and same.exceptAll(pairs).isEmpty()
+
+
+def test_full_cells_equal_written_out_pairs(spark):
+    """Groups that share most of their members are matrix products; names are text here."""
+    cells = spark.range(40 * 60).selectExpr("concat('g', id % 40) grp", "concat('m', (id * 37 + id % 40) % 97) member").distinct()
+    full = graph.co_occurrence(cells, "grp", "member", small=1, block=64)
+    same = graph.co_occurrence(cells, "grp", "member", small=1000)
+    assert full.agg(F.max("n")).first()[0] > 10
+    assert full.exceptAll(same).isEmpty() and same.exceptAll(full).isEmpty()
+
+
 def test_graph_algorithms_by_hand(spark):
     edges = spark.createDataFrame(
         [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("x", "y")], "src string, dst string"
