@@ -287,6 +287,15 @@ def test_co_occurrence_large_groups_equal_brute_force(spark):
     assert twice == {p for p, n in expected.items() if n >= 2}
 
 
+def test_edges_are_packed_for_their_triples(spark):
+    """An edge is sent p times; a row of its own for each would be some 100 bytes."""
+    pairs = spark.range(20_000).selectExpr("id % 100 a", "100 + (id * 31) % 997 b").distinct()
+    dealt = pairs.coalesce(1).mapInArrow(graph._edge_blobs(5), "triple bigint, low binary, n binary, high binary")
+    low, n, high = dealt.agg(*[F.sum(F.octet_length(c)) for c in ("low", "n", "high")]).first()
+    edges = pairs.count()
+    assert high == 4 * 5 * edges and low + n + high < 8 * 5 * edges
+
+
 def test_blocks_of_many_small_groups_send_few_rows(spark):
     """A row must not go to every block that anything near it has: 3,000 groups of three meet 1,250 blocks."""
     cells = spark.range(9000).selectExpr("cast(id % 3000 as int) grp", "cast((id * 7919) % 20000 as int) member").distinct()
