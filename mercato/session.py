@@ -26,11 +26,18 @@ RUNTIME_CONF = {
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+# Settings a session may have made for itself. Shuffled numbers compress well: 64 MB of them, to which Spark would merge
+# partitions, fill a gigabyte or two of one task's hash tables.
+DEFAULT_CONF = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built, and give its executors this package."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    for key, value in DEFAULT_CONF.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     ship(spark)
     return spark
 
