@@ -6,13 +6,14 @@ Every stage works on all rows the one before it kept, and is written as Parquet
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mercato.llm import langid, mixing, neardup, packing, pii
 from mercato.session import configure, scratch_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language. Null texts and texts without any letter go."""
+    """Documents in a language, which their text names. Null texts and texts without any letter go."""
     configure(spark)
     return langid.identified(docs)
 
@@ -36,9 +37,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece with its sequence and its place there."""
+    """A row per piece with its sequence, its place there and the language of its document."""
     configure(spark)
-    return packing.pack(docs)
+    packed = packing.pack(docs.select(F.struct("doc_id", "lang").alias("doc_id"), "text"))
+    return packed.select("doc_id.doc_id", *[c for c in packed.columns if c != "doc_id"], "doc_id.lang")
 
 
 STAGES = [

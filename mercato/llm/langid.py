@@ -221,10 +221,12 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 def identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that can be in a language: null texts and texts without any letter are rejected.
 
-    The text alone decides; the network names a language for every other row, and rejects none. Where nothing could be
-    learned the same rows stay.
+    The text alone decides; the network names a language for every other row, rejects none, and its language replaces
+    ``lang``. Where nothing could be learned the same rows stay, as they are.
     """
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs))
     rows = docs.where(_has_letters()).select(F.struct(*docs.columns).alias("row"), F.lit(True).alias("letters"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double"
-    return rows.mapInArrow(lambda it: _predicting(sent.value, "row")(it), schema).select("row.*")
+    named = F.coalesce(F.nullif("lang_pred", F.lit(UNKNOWN)), F.col("row.lang").cast("string")).cast(docs.schema["lang"].dataType)
+    found = rows.mapInArrow(lambda it: _predicting(sent.value, "row")(it), schema)
+    return found.select(*[named.alias(c) if c == "lang" else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -6,11 +6,13 @@ import sys
 from pathlib import Path
 
 import brute
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import __spark_entry__ as contract  # noqa: E402
 import corpus_pipeline  # noqa: E402
+from mercato.llm import langid  # noqa: E402
 
 
 def test_queries_are_registered():
@@ -45,3 +47,15 @@ def test_stages(spark, sf, tmp_path):
             assert sum(r["piece"] == 0 for r in new) == len(old)
         before = out
     assert corpus_pipeline.run(spark, sf).count() == before.count()
+
+
+def test_the_network_names_the_language_of_every_piece(spark, sf, tmp_path):
+    """A missing or wrong label of a held-out document does not reach the corpus."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").filter("text rlike '[A-Za-z]{3}'")
+    spoilt = docs.withColumn("lang", F.when(~langid.held_out(), F.col("lang")))
+    spoilt.write.parquet(str(tmp_path / "documents.parquet"))
+    spoilt = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    assert spoilt.filter("lang is null").count() > 0
+    want = {r["doc_id"]: r["lang_pred"] for r in langid.identify(spoilt, langid.fit(spoilt)).collect()}
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert packed and all(r["lang"] == want[r["doc_id"]] for r in packed)
