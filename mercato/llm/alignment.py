@@ -5,6 +5,9 @@ it; both directions together are all overlaps, and overlaps with equal ends clos
 
 Documents are aligned in chunks of bounded size. A chunk's documents refer to the chunk's own list of linked id pairs, so
 only these lists, a fraction of all links, are counted across the corpus, and each chunk gets its counts back.
+
+No token of either side spans a single space between two words, so a word's tokens are found once per task and not each
+time it stands in a text.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +32,9 @@ CHUNK_CHARS = 4 << 20  # text of the documents that share a list of pairs, and t
 ALIGN_CHARS = 1 << 19  # text aligned at once, likewise
 LINKS = 1 << 20  # links of groups made at once, if no single pair of id and group has more
 B_BITS = 20  # room for the other side's ids in a pair's number
+CUT = re.compile(r"(?<=\S) (?=\S)")  # where texts fall into words
+WORDS = 512  # new words encoded at once
+KNOWN_WORDS, KNOWN_TOKENS = 1 << 18, 1 << 21  # beyond either, all words are forgotten before the next texts
 
 
 def default_vocabularies() -> tuple[str, str]:
@@ -45,17 +52,30 @@ def piece_bytes(piece: str) -> bytes:
 
 
 class Side:
-    """One tokenizer: encodes whole texts and knows the bytes of its ids."""
+    """One tokenizer: encodes whole texts and knows the bytes of its ids; ``by_word``: a text's ids are those of its words."""
 
-    def __init__(self, encode, tokens: list[bytes]):
+    def __init__(self, encode, tokens: list[bytes], by_word: bool = False):
         self.encode = encode
         self.tokens = tokens
+        self.by_word = by_word
         self.lengths = np.array([len(t) for t in tokens], dtype=np.int64)
 
     def joined(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
+def _merges_within_words(model) -> bool:
+    """Whether a piece model merges pairs, changes no character and has no piece with a space after something else."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
+    trained, norm = proto.trainer_spec, proto.normalizer_spec
+    plain = norm.add_dummy_prefix and not (norm.precompiled_charsmap or norm.remove_extra_whitespaces)
+    plain = plain and norm.escape_whitespaces and not trained.treat_whitespace_as_suffix
+    inside = any("▁" in p.piece.lstrip("▁") or p.type == p.USER_DEFINED for p in proto.pieces)
+    return trained.model_type == trained.BPE and plain and not inside
+
+
 @functools.lru_cache(maxsize=2)
 def sides(path_a: str, path_b: str) -> tuple[Side, Side]:
     """A reads a space and the text, B the text, to which it adds the space; strings of special tokens are plain text."""
@@ -73,11 +93,100 @@ def sides(path_a: str, path_b: str) -> tuple[Side, Side]:
     if len(pieces) > 1 << B_BITS:
         raise ValueError(f"{len(pieces)} ids do not fit into {B_BITS} bits")
     return (
-        Side(lambda text: encoding.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int64), tokens),
-        Side(lambda text: np.array(model.encode(text, num_threads=1), dtype=np.int64), pieces),
+        Side(lambda text: encoding.encode_to_numpy(" " + text, disallowed_special=()).astype(np.int64), tokens, True),
+        Side(lambda text: np.array(model.encode(text, num_threads=1), dtype=np.int64), pieces, _merges_within_words(model)),
     )
 
 
+class Words:
+    """The tokens of words that were met lately: ids of both sides, and for every word's number where they begin and how many.
+
+    New words are encoded many at a time, as one text. A word that its tokens do not give back has the number -1.
+    """
+
+    def __init__(self, a: Side, b: Side):
+        self.sides, self.by_word = (a, b), a.by_word and b.by_word
+        self.forget()
+
+    def forget(self) -> None:
+        none = np.zeros(0, dtype=np.int64)
+        self.number: dict[str, int] = {}
+        self.ids, self.begin, self.size = [none, none], [none, none], [none, none]
+
+    def _encoded(self, words: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """On both sides the ids of all words and how many each has; None if the words are not given back."""
+        own = [word.encode("utf-8", "surrogatepass") for word in words]
+        whole, stops, out = b" " + b" ".join(own), np.cumsum([len(w) + 1 for w in own]), []
+        for side in self.sides:
+            ids = side.encode(" ".join(words))
+            if side.joined(ids) != whole:
+                return None
+            one = len(words) == 1
+            out.append((ids, np.array([len(ids)]) if one else np.diff(np.searchsorted(np.cumsum(side.lengths[ids]), stops) + 1, prepend=0)))
+        return out
+
+    def add(self, words: list[str], at_once: int) -> list[int]:
+        """Numbers for words, or one by one for whole texts."""
+        numbers, found, count = [], [], len(self.size[0])
+        left = [words[at : at + at_once] for at in range(0, len(words), at_once)][::-1]
+        while left:
+            some = left.pop()
+            tokens = self._encoded(some)
+            if tokens:
+                numbers += range(count, count + len(some))
+                found.append(tokens)
+                count += len(some)
+            elif len(some) == 1:
+                numbers.append(-1)
+            else:
+                left += [some[len(some) // 2 :], some[: len(some) // 2]]
+        for side in range(2):
+            self.ids[side] = np.concatenate([self.ids[side], *[f[side][0] for f in found]])
+            self.size[side] = np.concatenate([self.size[side], *[f[side][1] for f in found]])
+            self.begin[side] = np.cumsum(self.size[side]) - self.size[side]
+        return numbers
+
+    def numbers(self, texts: list[str]) -> list[np.ndarray]:
+        """Of every text's words in order; none if its tokens do not give it back."""
+        # pieces spell a space as this mark, so a text that holds it is not given back by its words either
+        cut = [CUT.split(text) if self.by_word and "▁" not in text else [] for text in texts]
+        new = list(dict.fromkeys(w for words in cut for w in words if w not in self.number))
+        # with white space at an end, which only a text's first and last word have, a word would not keep to itself
+        edged = [w for w in new if w[0].isspace() or w[-1].isspace()]
+        plain = [w for w in new if not (w[0].isspace() or w[-1].isspace())]
+        self.number.update(zip(plain + edged, self.add(plain, WORDS) + self.add(edged, 1), strict=True))
+        found = [np.fromiter(map(self.number.__getitem__, words), np.int64, len(words)) for words in cut]
+        # what is wrong with a word may be right in the whole text
+        whole = [i for i, own in enumerate(found) if not len(own) or len(own) > 1 and (own < 0).any()]
+        for i, number in zip(whole, self.add([texts[i] for i in whole], 1), strict=True):
+            found[i] = np.array([number])
+        return [own[own >= 0] for own in found]
+
+
+@functools.lru_cache(maxsize=2)
+def _words(a: Side, b: Side) -> Words:
+    return Words(a, b)
+
+
+def tokenized(texts: list[str], a: Side, b: Side) -> tuple[list[int], list[np.ndarray], list[np.ndarray]]:
+    """Which texts have tokens; how many, and all ids, on both sides."""
+    words = _words(a, b)
+    if len(words.size[0]) > KNOWN_WORDS or len(words.ids[0]) > KNOWN_TOKENS:
+        words.forget()
+    given = [i for i, text in enumerate(texts) if text]
+    found = [(i, x) for i, x in zip(given, words.numbers([texts[i] for i in given]), strict=True) if len(x)]
+    if not found:
+        return [], [], []
+    place, first = np.concatenate([x for _, x in found]), np.cumsum([0, *[len(x) for _, x in found[:-1]]])
+    counts, ids = [], []
+    for side in range(2):
+        n = words.size[side][place]
+        shift = np.repeat(words.begin[side][place] - (np.cumsum(n) - n), n)
+        ids.append(words.ids[side][np.arange(len(shift)) + shift])
+        counts.append(np.add.reduceat(n, first))
+    return [i for i, _ in found], counts, ids
+
+
 def overlaps(doc: tuple[np.ndarray, np.ndarray], ends: tuple[np.ndarray, np.ndarray], lengths: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """All (A token, B token) whose bytes meet, once each; places are on one axis over all documents, in order."""
     frames = [
@@ -155,17 +264,9 @@ def align(texts: list[str], a: Side, b: Side) -> list[tuple]:
     empty, or whose tokens of either side do not give back a space and the text, have no tokens.
     """
     out: list[tuple] = [EMPTY] * len(texts)
-    rows, ids_a, ids_b = [], [], []
-    for i, text in enumerate(texts):
-        if text:
-            whole = b" " + text.encode("utf-8", "surrogatepass")
-            x, y = a.encode(text), b.encode(text)
-            if a.joined(x) == whole and b.joined(y) == whole:
-                rows.append(i), ids_a.append(x), ids_b.append(y)
+    rows, counts, ids = tokenized(texts, a, b)
     if not rows:
         return out
-    ids = np.concatenate(ids_a), np.concatenate(ids_b)
-    counts = np.array([len(x) for x in ids_a]), np.array([len(y) for y in ids_b])
     doc = tuple(np.repeat(np.arange(len(rows)), n) for n in counts)
     lengths = a.lengths[ids[0]], b.lengths[ids[1]]
     ends = np.cumsum(lengths[0]), np.cumsum(lengths[1])

@@ -143,3 +143,24 @@ def test_overlaps_are_all_pairs_of_tokens_that_meet():
             if e - n < f and f - m < e
         ]
         assert sorted(zip(left.tolist(), right.tolist(), strict=True)) == want
+
+
+def test_words_are_encoded_once_and_texts_keep_their_tokens(monkeypatch):
+    a, b = alignment.sides(*alignment.default_vocabularies())
+    seen = []
+
+    def counting(side):
+        encode = lambda text: seen.append(len(text)) or side.encode(text)
+        return alignment.Side(encode, side.tokens, side.by_word)
+
+    assert a.by_word and b.by_word
+    once = ["the same words again " * 500, "again the same " * 500]
+    found = alignment.align(once, counting(a), counting(b))
+    assert sum(seen) < len(once[0]) / 10
+    texts = once + odd_texts() + ["a  b \n c", " x y ", "don 't", "a \u2581 b", "tab\t x", "\u00a0 y", "x \x1c y", "1 \u0301 2"]
+    spoiled = texts + ["good words and one \u2581 bad"]
+    plain = [alignment.Side(side.encode, side.tokens) for side in (a, b)]  # every text as a whole
+    monkeypatch.setattr(alignment, "KNOWN_WORDS", 3)
+    for one, other in zip(alignment.align(spoiled, a, b), alignment.align(spoiled, *plain), strict=True):
+        assert one[:5] == other[:5] and one[5].tolist() == other[5].tolist() and one[6].tolist() == other[6].tolist()
+    assert found[0][:5] == alignment.align(once, *plain)[0][:5]
