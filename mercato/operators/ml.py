@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import (
@@ -206,6 +208,19 @@ def churn_features(
     )
 
 
+BAG_ROWS = 200_000  # training rows that one task keeps: some 500 bytes each with 100 trees
+
+
+def dealt(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` in partitions of at most about ``rows`` rows; fewer rows in all stay where they are.
+
+    A forest keeps every training row with its weight in every tree, many times the size of the stored row.
+    """
+    rows = rows or BAG_ROWS
+    parts = math.ceil(df.count() / rows)
+    return df.repartition(max(parts, df.sparkSession.sparkContext.defaultParallelism)) if parts > 1 else df
+
+
 def fit_forest(df: DataFrame, features: list[str], trees: int = 100, seed: int = 42) -> PipelineModel:
     """Random forest on numeric features; unknown values are replaced by the column mean.
 
@@ -219,7 +234,7 @@ def fit_forest(df: DataFrame, features: list[str], trees: int = 100, seed: int =
             VectorAssembler(inputCols=filled, outputCol="features"),
             RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=trees, seed=seed),
         ]
-    ).fit(df.withColumns({c: F.col(c).cast("double") for c in features}))
+    ).fit(dealt(df.select("label", *[F.col(c).cast("double") for c in features])))
     return fitted.copy()
 
 

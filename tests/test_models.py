@@ -18,3 +18,16 @@ def test_forest_scores_after_an_observation(spark):
     scores = ml.score(model, df, ["a"], "id", "p").join(df, "id")
     wrong = scores.filter((F.col("p") > 0.5).cast("int") != F.col("label"))
     assert scores.count() == 400 and wrong.count() == 0
+
+
+def test_a_forest_trains_on_partitions_of_bounded_size(spark, monkeypatch):
+    rows = spark.range(4000).selectExpr("CAST(id % 7 AS DOUBLE) AS x", "CAST(id % 7 > 3 AS INT) AS label", "id").coalesce(1)
+    monkeypatch.setattr(ml, "BAG_ROWS", 100)
+    seen = []
+    fit = ml.Pipeline.fit
+    monkeypatch.setattr(ml.Pipeline, "fit", lambda self, df: seen.append(df) or fit(self, df))
+    model = ml.fit_forest(rows, ["x"], trees=3)
+    sizes = seen[0].groupBy(F.spark_partition_id()).count().collect()
+    assert sum(n for _, n in sizes) == 4000 and max(n for _, n in sizes) <= 130
+    scored = ml.score(model, rows, ["x"], "id", "p").join(rows, "id")
+    assert scored.filter("(p > 0.5) <> (label = 1)").isEmpty()
