@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,8 +60,8 @@ def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok, tagged.filter(F.col("reason").isNotNull())
 
 
-def order_changes(ok: DataFrame, seq: list[str]) -> DataFrame:
-    """Typed order changes: order_id, op, customer_id, order_status, purchase_ts, seq (struct of ``seq`` columns)."""
+def order_changes(ok: DataFrame, seq: list[str], keep: tuple[Column, ...] = ()) -> DataFrame:
+    """Typed order changes: order_id, op, customer_id, order_status, purchase_ts, seq (struct of ``seq`` columns), ``keep``."""
     after, before = F.col("payload.after"), F.col("payload.before")
     return ok.select(
         F.coalesce(image_field(after, "order_id"), image_field(before, "order_id")).alias("order_id"),
@@ -70,9 +72,26 @@ def order_changes(ok: DataFrame, seq: list[str]) -> DataFrame:
         micros_to_timestamp(image_field(after, "order_purchase_timestamp", "bigint")).alias("purchase_ts"),
         image_field(before, "order_status").alias("old_status"),
         F.struct(*seq).alias("seq"),
+        *keep,
     )
 
 
+MESSAGES_PER_TASK = 200_000
+
+
+def tagged_changes(batch: DataFrame, offset: str = "kafka_offset") -> DataFrame:
+    """Typed changes, and dead letters with a ``reason`` and their text ``value``, of a micro-batch: small rows to be stored.
+
+    Text and row images, a kilobyte or two a message, are not kept of what can be applied, and a task has at most about
+    ``MESSAGES_PER_TASK`` messages however large the files are that a batch consists of.
+    """
+    parts = math.ceil(batch.count() / MESSAGES_PER_TASK)
+    dealt = batch.repartition(max(parts, batch.sparkSession.sparkContext.defaultParallelism)) if parts > 1 else batch
+    tagged = tag_bad(decode_cdc(dealt)).filter(F.col("reason").isNotNull() | F.col("payload").isNotNull())
+    text = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
+    return order_changes(tagged.withColumn("ts_ms", F.col("payload.ts_ms")), ["ts_ms", offset], (F.col("reason"), text))
+
+
 def fold_changes(changes: DataFrame) -> DataFrame:
     """One row per order: customer and status of the last change (null included), the last known purchase time.
 

@@ -483,9 +483,8 @@ def cdc6_feed_to_read_model(spark: SparkSession, sf: str) -> DataFrame:
     table = KeyedTable(spark, f"{path}/orders", ["order_id"], merge=cdc.merge_changes)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        tagged = cdc.tag_bad(cdc.decode_cdc(batch)).persist()
-        ok, bad = cdc.split_tagged(tagged)
-        typed = cdc.order_changes(ok.withColumn("ts_ms", F.col("payload.ts_ms")), ["ts_ms", "kafka_offset"])
+        tagged = cdc.tagged_changes(batch).persist()
+        typed, bad = tagged.filter("reason IS NULL"), tagged.filter("reason IS NOT NULL")
         rows = cdc.change_rows(typed.filter("has_image")).withColumn("_batch", F.lit(batch_id).cast("bigint"))
         table.upsert(cdc.merge_changes(rows).drop("_batch"), batch_id)
         bad.select("value", "reason").write.mode("overwrite").parquet(f"{path}/dead/batch={batch_id}")

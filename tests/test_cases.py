@@ -13,6 +13,7 @@ from mercato.functions import scalar
 from mercato.functions.aggregates import geo_mean, weighted_avg
 from mercato.functions.register import register_all
 from mercato.operators import cdc, documents, joins, metrics, quality, shaping, validation, windows
+from mercato.plans import feeds
 from mercato.schemas import KEYS, TABLES
 from mercato.sources import external, files, sinks
 
@@ -415,3 +416,19 @@ def test_models_still_work_after_bulk_insert(spark, tmp_path):
     model = ml.fit_forest(df, ["a"], trees=3)
     assert ml.score(model, df, ["a"], "id", "p").count() == 60
     assert 0 <= ml.classifier_metrics(model, df, ["a"])["auc"] <= 1
+
+
+def test_stored_changes_of_a_batch_are_small_and_spread(spark, monkeypatch):
+    feed = feeds.order_feed(spark, "/root/testdata/sf0.001").coalesce(1)
+    monkeypatch.setattr(cdc, "MESSAGES_PER_TASK", 100)
+    found = cdc.tagged_changes(feed)
+    count = feed.count()
+    sizes = [n for _, n in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) <= 130 and len(sizes) >= count / 130
+    assert "payload" not in found.columns and found.filter("reason IS NULL AND value IS NOT NULL").isEmpty()
+    ok, bad = cdc.split_bad(cdc.decode_cdc(feed))
+    typed = cdc.order_changes(ok.withColumn("ts_ms", F.col("payload.ts_ms")), ["ts_ms", "kafka_offset"])
+    assert typed.exceptAll(found.filter("reason IS NULL").drop("reason", "value")).isEmpty()
+    assert typed.count() == found.filter("reason IS NULL").count()
+    letters = found.filter("reason IS NOT NULL").select("value", "reason")
+    assert not bad.isEmpty() and bad.select("value", "reason").exceptAll(letters).isEmpty() and letters.count() == bad.count()
