@@ -82,7 +82,7 @@ MESSAGES_PER_TASK = 200_000
 def tagged_changes(batch: DataFrame, offset: str = "kafka_offset") -> DataFrame:
     """Typed changes, and dead letters with a ``reason`` and their text ``value``, of a micro-batch: small rows to be stored.
 
-    Text and row images, a kilobyte or two a message, are not kept of what can be applied, and a task has at most about
+    Text and row images, some 700 bytes a message, are not kept of what can be applied, and a task has at most about
     ``MESSAGES_PER_TASK`` messages however large the files are that a batch consists of.
     """
     parts = math.ceil(batch.count() / MESSAGES_PER_TASK)
