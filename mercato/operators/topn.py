@@ -37,7 +37,8 @@ def _walk(
     """Go through one chunk of items, longest first: (scores, ids, items scored, finished) for every user.
 
     No later item is longer than the next strip's first one (``rest`` after the last strip), so by Cauchy-Schwarz none can
-    score more than that length times the user's; a user whose n-th score lies above it is finished.
+    score more than that length times the user's; a user whose n-th score lies above it is finished. A list is sorted
+    again only where a strip holds a score that is no lower than its n-th: with longest items first, few do.
     """
     n, size = top.shape[1], np.linalg.norm(users, axis=1)
     lengths = np.linalg.norm(factors, axis=1)
@@ -46,8 +47,10 @@ def _walk(
         strip, own = factors[at : at + STRIP], names[at : at + STRIP]
         found = users[active] @ strip.T
         scored[active] += len(strip)
-        top[active], ids[active] = _best(
-            np.hstack([top[active], found]), np.hstack([ids[active], np.broadcast_to(own, found.shape)]), n
+        better = found.max(axis=1) >= top[active, -1]
+        found, moved = found[better], active[better]
+        top[moved], ids[moved] = _best(
+            np.hstack([top[moved], found]), np.hstack([ids[moved], np.broadcast_to(own, found.shape)]), n
         )
         longest = lengths[at + STRIP] if at + STRIP < len(factors) else rest
         active = active[top[active, -1] <= size[active] * longest * (1 + SLACK)]
@@ -107,7 +110,7 @@ def top_by_product(users: DataFrame, items: DataFrame, n: int, chunk_bytes: int
             F.array().cast("array<double>").alias("scores"),
             F.lit(0).cast("bigint").alias("scored"),
             F.lit(not found["n"]).alias("done"),
-        )
+        ).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     )
     rounds = [left.filter("done")]
     if found["n"]:

@@ -59,3 +59,19 @@ def test_recommendations_are_those_of_the_model(spark):
         assert [s for _, s in found[user]] == pytest.approx([s for _, s in best], abs=1e-5)
     top = model.top(10)
     assert top.columns == ["user", "rank", "item", "score"] and top.count() == 10 * len(theirs)
+
+
+def test_a_list_is_sorted_only_where_a_strip_can_change_it(monkeypatch):
+    """Items of equal length keep every user to the end; few of their strips hold a better item."""
+    from mercato.operators import topn
+
+    rng = np.random.default_rng(3)
+    items, users, rows = rng.normal(size=(40 * topn.STRIP, 4)), rng.normal(size=(50, 4)), []
+    items /= np.linalg.norm(items, axis=1, keepdims=True)
+    best = topn._best
+    monkeypatch.setattr(topn, "_best", lambda scores, ids, n: rows.append(len(scores)) or best(scores, ids, n))
+    top, ids, scored, finished = topn._walk(
+        users, np.full((50, 10), -np.inf), np.full((50, 10), np.iinfo(np.int64).max), items, np.arange(len(items)), -1.0
+    )
+    assert [[i for i, _ in e] for e in _all_pairs(users, items, 10)] == [list(map(int, r)) for r in ids]
+    assert finished.all() and sum(rows) < 0.8 * sum(-(-scored // topn.STRIP))
