@@ -175,6 +175,31 @@ def test_pagerank_of_hubs_and_unknown_ends(spark):
         assert {r["id"]: r["pagerank"] for r in found} == pytest.approx({v: x * scale for v, x in ranks.items()})
 
 
+def test_a_rank_round_over_the_grid_shuffles_vectors_only(spark):
+    """Both ways, with an unknown end and one without a name; edges stay in their buckets, and no join is in the plan."""
+    pairs = [("a", "b"), ("a", "c"), ("b", "c"), ("c", "x"), ("y", "a"), ("d", None), ("d", "d")]
+    edges = spark.createDataFrame(pairs * 2, "src string, dst string")
+    nodes = spark.createDataFrame([(v,) for v in "abcde"], "id string")
+    both = {(s, d) for p in pairs for s, d in (p, p[::-1])}
+    ranks, out = dict.fromkeys("abcde", 1.0), collections.Counter(s for s, _ in both)
+    for _ in range(3):
+        ranks = {v: 0.15 + 0.85 * sum(ranks.get(s, 0.0) / out[s] for s, d in both if d == v) for v in "abcde"}
+    found = graph.pagerank(nodes, edges, iterations=3, undirected=True, rows_per_task=0).collect()
+    scale = 5 / sum(ranks.values())
+    assert {r["id"]: r["pagerank"] for r in found} == pytest.approx({v: x * scale for v, x in ranks.items()})
+
+    numbers = spark.createDataFrame([(0, 1), (1, 2), (2, 0)], "s long, d long")
+    packed = numbers.mapInArrow(graph._cells(2, False), "cell int, s binary, d binary")
+    cells = graph._bucketed(packed, "cell", 8)
+    vectors = spark.createDataFrame([(0, -1, bytes(16)), (1, -1, bytes(8))], graph._VECTOR)
+    try:
+        plan = graph._next_stripes(cells, vectors, vectors, 2, 3, 0.15, True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        graph._drop(cells)
+    # the vectors sent, and those that come back
+    assert plan.count("Exchange") == 2 and "Join" not in plan and "Bucketed: true" in plan
+
+
 def test_triangles_of_a_hub_and_a_clique(spark):
     """A hub beside a clique and a random graph, in few and in many colours, and no list of neighbours in the plan."""
     rng = random.Random(9)
