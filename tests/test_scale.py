@@ -100,6 +100,27 @@ def test_paths_to_many_landmarks(spark, words, rows_per_task):
     assert {(r["id"], r["landmark"]): r["distance"] for r in rows} == _hops(edges, ends)
 
 
+def test_edges_get_their_numbers_without_a_join(spark):
+    edges = spark.range(1000).select(F.concat(F.lit("a"), F.col("id") % 50).alias("src"), F.concat(F.lit("b"), F.col("id") % 70).alias("dst"))
+    numbered, pairs, _ = graph._in_numbers(edges, edges.select(F.col("src").alias("id")))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert numbered.count() == numbered.select("v").distinct().count() == 120 and pairs.count() == 1000
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_undirected_paths_whether_or_not_hashes_are_shared(spark, monkeypatch, shared):
+    """Both ways along repeated edges, a loop and a hub; where two ids have the same hash, they stay apart."""
+    if shared:
+        monkeypatch.setattr(graph, "_hash", lambda id: F.pmod(F.xxhash64(id), F.lit(5)))
+    edges = [(f"v{i * 7 % 40}", f"v{i * i % 40 if i % 3 else 0}") for i in range(60)] + [("v1", "v1"), ("x", "y"), (None, "x"), ("y", None)]
+    ends = ["v0", "x", "alone", None]
+    frame = spark.createDataFrame(edges, "src string, dst string")
+    rows = graph.shortest_paths(frame, spark.createDataFrame([(e,) for e in ends], "id string"), rows_per_task=20, undirected=True).collect()
+    assert {(r["id"], r["landmark"]): r["distance"] for r in rows} == _hops(edges + [(b, a) for a, b in edges], ends)
+    assert len(rows) == len({(r["id"], r["landmark"]) for r in rows})
+
+
 def test_paths_without_edges_or_landmarks(spark):
     edges, none = spark.createDataFrame([(1, 2)], "src int, dst int"), spark.createDataFrame([], "id int")
     assert graph.shortest_paths(edges, none).collect() == []
