@@ -376,6 +376,41 @@ def test_graph_algorithms_by_hand(spark):
     assert ranks == pytest.approx(7.0)
 
 
+def _reach(edges):
+    """Smallest id per connected component, by repeated merging."""
+    label = {v: v for e in edges for v in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            low = min(label[a], label[b])
+            changed |= label[a] != low or label[b] != low
+            label[a] = label[b] = low
+    return label
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_components_are_named_by_ids_whether_or_not_hashes_are_shared(spark, monkeypatch, shared):
+    """Rounds see numbers, names are the smallest ids: also of a vertex that only edges know, and of vertices without edges."""
+    if shared:
+        monkeypatch.setattr(graph, "_hash", lambda id: F.pmod(F.xxhash64(id), F.lit(5)))
+    edges = [(f"v{i}", f"v{i * 3 % 45}") for i in range(45)] + [("x", "B"), ("y", "x"), ("y", "x"), ("z", "z")]
+    nodes = sorted({v for e in edges for v in e} - {"B"}) + ["alone", None]
+    frame = spark.createDataFrame([*edges, (None, "x"), ("v1", None)], "src string, dst string")
+    found = graph.connected_components(spark.createDataFrame([(v,) for v in nodes], "id string"), frame)
+    expected = {**_reach(edges), "alone": "alone", None: None}
+    assert sorted((r["id"] or "", r["component"] or "") for r in found.collect()) == sorted((v or "", expected[v] or "") for v in nodes)
+
+
+def test_rounds_of_components_see_no_text(spark, monkeypatch):
+    seen, star = [], graph._large_star
+    monkeypatch.setattr(graph, "_large_star", lambda links: seen.append(dict(links.dtypes)) or star(links))
+    edges = spark.range(20).select(F.concat(F.lit("a"), "id").alias("src"), F.concat(F.lit("a"), F.col("id") + 1).alias("dst"))
+    nodes = spark.range(21).select(F.concat(F.lit("a"), "id").alias("id"))
+    assert graph.connected_components(nodes, edges).select("component").distinct().collect() == [("a0",)]
+    assert seen and all(set(kinds.values()) == {"bigint"} for kinds in seen)
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.range(200).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
     nodes = spark.range(201)
