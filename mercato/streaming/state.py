@@ -33,39 +33,67 @@ def running_spend(df: DataFrame, key: str, amount: str) -> DataFrame:
     )
 
 
+SLOTS = 2048
+
+
 class _Spend(StatefulProcessor):
-    """Totals of one (key, salt). In event time a timer ends the state, in processing time its time to live does."""
+    """Totals of the keys of one slot, a row of state per (key, salt): read once and stored once for all rows of a batch.
+
+    In event time one timer per slot, at the earliest end of a state, drops what has ended; in processing time the time
+    to live drops a slot that was not stored for so long. A state that has ended counts no more, dropped or not.
+    """
 
-    def __init__(self, key: str, quiet_ms: int, event_time: bool):
-        self.key, self.quiet_ms, self.event_time = key, quiet_ms, event_time
+    def __init__(self, quiet_ms: int, event_time: bool):
+        self.quiet_ms, self.event_time = quiet_ms, event_time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.total = handle.getValueState("total", "cents bigint, orders bigint, epoch bigint, ends bigint", None if self.event_time else self.quiet_ms)
+        schema = "id string, salt int, cents bigint, orders bigint, epoch bigint, ends bigint"
+        self.totals = handle.getListState("totals", schema, None if self.event_time else self.quiet_ms)
+
+    def _clock(self, timerValues: TimerValues) -> int:  # noqa: N803
+        return timerValues.getCurrentWatermarkInMs() if self.event_time else timerValues.getCurrentProcessingTimeInMs()
+
+    def _store(self, totals: dict, timer: int | None) -> None:
+        """``timer`` is the one that is set: the earliest end of what was stored before."""
+        due = min((total[3] for total in totals.values()), default=None)
+        if totals:
+            self.totals.put([(*one, *total) for one, total in totals.items()])
+        else:
+            self.totals.clear()
+        if self.event_time and due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if due is not None:
+                self.handle.registerTimer(due)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        cents, orders, first, last = 0, 0, None, None
+        clock, batch = self._clock(timerValues), {}
         for part in rows:
-            cents, orders = cents + int(part["cents"].sum()), orders + len(part)
-            lo, hi = int(part["at"].min()), int(part["at"].max())
-            first, last = min(lo, lo if first is None else first), max(hi, hi if last is None else last)
-        stored = self.total.get() if self.total.exists() else None
-        # a timer that is due has ended the state, whether or not it was called before these rows
-        if stored is not None and self.event_time and stored[3] <= timerValues.getCurrentWatermarkInMs():
-            stored = None
-        if stored is None:
-            stored = (0, 0, first if self.event_time else timerValues.getCurrentProcessingTimeInMs(), 0)
-        cents, orders, epoch = cents + stored[0], orders + stored[1], stored[2]
-        ends = max(stored[3], last + self.quiet_ms)
-        self.total.update((cents, orders, epoch, ends))
-        if self.event_time:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(ends)
-        yield pd.DataFrame({self.key: [key[0]], "salt": [key[1]], "epoch": [epoch], "cents": [cents], "orders": [orders]})
+            for one, salt, cents, at in zip(*(part[c].tolist() for c in ("id", "salt", "cents", "at")), strict=True):
+                # a row without a time, which makes numbers of its Arrow batch floats, counts as of the watermark
+                at = clock if at is None or at != at else int(at)
+                seen = batch.get((one, salt))
+                if seen is None:
+                    batch[one, salt] = [cents, 1, at, at]
+                else:
+                    batch[one, salt] = [seen[0] + cents, seen[1] + 1, min(seen[2], at), max(seen[3], at)]
+        stored = {(one, salt): tuple(total) for one, salt, *total in self.totals.get()}
+        timer = min((total[3] for total in stored.values()), default=None)
+        # a timer that is due has ended a state, whether or not it was called before these rows
+        totals = {one: total for one, total in stored.items() if total[3] > clock}
+        for one, (cents, orders, first, last) in batch.items():
+            start, end = (first, last) if self.event_time else (clock, clock)
+            before = totals.get(one, (0, 0, start, 0))
+            totals[one] = (before[0] + cents, before[1] + orders, before[2], max(before[3], end + self.quiet_ms))
+        self._store(totals, timer)
+        found = [(*one, *totals[one][:3]) for one in batch]
+        yield pd.DataFrame(found, columns=["id", "salt", "cents", "orders", "epoch"])[["id", "salt", "epoch", "cents", "orders"]]
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        self.total.clear()
+        clock = self._clock(timerValues)
+        # Spark deletes the timer that it has called
+        self._store({(one, salt): tuple(total) for one, salt, *total in self.totals.get() if total[3] > clock}, None)
         return iter([])
 
     def close(self) -> None:
@@ -85,7 +113,7 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
 
 
 def expiring_spend(
-    df: DataFrame, key: str, amount: str, quiet: str, *, time: str | None = None, hot: DataFrame | None = None
+    df: DataFrame, key: str, amount: str, quiet: str, *, time: str | None = None, hot: DataFrame | None = None, slots: int = SLOTS
 ) -> DataFrame:
     """The same totals as state that is dropped when a key stays quiet; start the stream inside ``rocksdb``.
 
@@ -94,7 +122,9 @@ def expiring_spend(
     its last update. A state that starts, for the first time or after it was dropped, counts from 0 in an epoch of its
     own, its first event's time or the time it starts, so that what was stored before stays and ``fold_spend`` adds it.
 
-    A key has one state, salt 0. Only keys of ``hot`` (the key and ``_parts``, as ``hot_keys`` finds them in earlier data)
+    A call of the state costs milliseconds, so keys are dealt to ``slots`` by their hash, and a batch calls once for a
+    slot that it has rows of, which stores the states of the slot anew. Slots are settled by a stream's first batch;
+    choose them so that the keys of one are what a task can hold. A key has one state, salt 0. Only keys of ``hot`` (the key and ``_parts``, as ``hot_keys`` finds them in earlier data)
     are dealt to several partial states, by a hash of the row and its input partition, so that identical rows spread too.
     """
     spark = df.sparkSession
@@ -109,12 +139,20 @@ def expiring_spend(
         parts = hot.select(F.col(key).alias("_hot"), "_parts")
         found = df.withColumn("_spot", spot).join(parts, F.col(key).eqNullSafe(F.col("_hot")), "left")
         salted = found.select(*columns, F.coalesce(F.pmod("_spot", F.col("_parts")), F.lit(0)).cast("int").alias("salt"))
-    return salted.groupBy(key, "salt").transformWithStateInPandas(
-        _Spend(key, quiet_ms, time is not None),
-        f"{key} {kind}, salt int, epoch bigint, cents bigint, orders bigint",
+    # keys go to Python as text, null as none: one null would make the numbers of its Arrow batch floats
+    dealt = salted.select(
+        F.pmod(F.xxhash64(key, "salt"), F.lit(slots)).cast("int").alias("slot"),
+        F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("")).alias("id"),
+        "salt", "cents", "at", *([time] if time else []),
+    )
+    found = dealt.groupBy("slot").transformWithStateInPandas(
+        _Spend(quiet_ms, time is not None),
+        "id string, salt int, epoch bigint, cents bigint, orders bigint",
         "update",
         "EventTime" if time else "ProcessingTime",
     )
+    text = F.when(F.length("id") > 0, F.expr("substr(id, 2)"))
+    return found.select(text.cast(kind).alias(key), *SPEND_KEYS, "cents", "orders")
 
 
 def fold_spend(parts: DataFrame, key: str) -> DataFrame:

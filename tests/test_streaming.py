@@ -143,6 +143,29 @@ def test_quiet_keys_leave_the_state_and_come_back(spark):
     assert min(flat[flat.index(max(flat)) :]) < max(flat)  # state rows fall when keys expire
 
 
+@pytest.mark.parametrize("slots", [1, 64])
+def test_keys_that_share_a_slot_end_one_by_one(spark, slots):
+    """Whether in one slot or apart: customer 1 and those without a number are quiet for an hour, 2 never is."""
+    inbox, out, check = folders(spark)
+    keys = ["customer_id", *state.SPEND_KEYS]
+    with state.rocksdb(spark):
+        for rows in (
+            [("2024-01-01 12:00:00", c, 1.0) for c in (1, 2, None, 1, None)],
+            [("2024-01-01 12:50:00", 2, 2.0)],
+            [("2024-01-01 13:40:00", 2, 4.0)],
+            [("2024-01-01 13:45:00", c, 8.0) for c in (1, 2, None)],
+        ):
+            arrive(spark, inbox, *rows)
+            df = windows.with_lateness(stream(spark, inbox), "event_time")
+            timed = state.expiring_spend(df, "customer_id", "price", "1 HOUR", time="event_time", slots=slots)
+            sinks.upsert_sink(timed, out, keys, check, order=["orders"]).awaitTermination()
+    stored = sinks.read_upserted(spark, out, keys)
+    epochs = {r["customer_id"]: r["n"] for r in stored.groupBy("customer_id").agg(F.count_distinct("epoch").alias("n")).collect()}
+    assert epochs == {1: 2, 2: 1, None: 2}
+    totals = {r["customer_id"]: (r["total_spend"], r["order_count"]) for r in state.fold_spend(stored, "customer_id").collect()}
+    assert totals == {1: (10.0, 3), 2: (15.0, 4), None: (10.0, 3)}
+
+
 def test_console_sink_and_complete_mode(spark):
     inbox, _, _ = folders(spark)
     arrive(spark, inbox, ("2024-01-01 12:00:00", 1, 1.0))
