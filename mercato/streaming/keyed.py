@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -95,7 +96,8 @@ def _bucket_of(keys: list[str], buckets: int) -> Column:
 
 
 class KeyedTable:
-    """The table at ``path``. ``merge`` brings the rows of a key, which carry ``_batch``, to one; default: the newest batch.
+    """The table at ``path``. ``merge`` brings the rows of a key, which carry ``_batch``, to one; default: the newest batch,
+    so that the one delta of a bucket without a base is read as it is.
 
     ``buckets`` is settled by the first write (default: the session's shuffle partitions); choose it so that one bucket is
     what one task can merge. Keys may be null. Batch ids only rise, but for replays: one that compaction has already
@@ -105,7 +107,7 @@ class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, keys: list[str], *, buckets: int | None = None, merge: Merge | None = None):
         self.spark, self.root, self.keys = spark, path.rstrip("/"), keys
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.merge = merge or (lambda rows: latest_by(rows, keys, [BATCH]))
+        self.merge, self.newest = merge or (lambda rows: latest_by(rows, keys, [BATCH])), merge is None
         self.files = _Files(spark, path)
 
     # -- manifests
@@ -203,6 +205,16 @@ class KeyedTable:
 
     def _merged(self, m: Manifest, buckets: set[int] | None, only: Column | None = None) -> DataFrame:
         bases, deltas = m.live(buckets)
+        held = Counter(path.rsplit("=", 1)[1] for path in bases + deltas)
+        alone = {path for path in deltas if self.newest and held[path.rsplit("=", 1)[1]] == 1}
+        if not alone:
+            return self._folded(m, bases, deltas, only)
+        rows = self._scan(m, sorted(alone))
+        rows = rows if only is None else rows.filter(only)
+        others = [path for path in deltas if path not in alone]
+        return rows.unionByName(self._folded(m, bases, others, only)) if bases or others else rows
+
+    def _folded(self, m: Manifest, bases: list[str], deltas: list[str], only: Column | None) -> DataFrame:
         base, delta = self._scan(m, bases), self._scan(m, deltas)
         if only is not None:
             base, delta = base.filter(only), delta.filter(only)

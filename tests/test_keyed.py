@@ -122,6 +122,23 @@ def test_a_merge_of_its_own_adds_up(spark):
     assert content(table) == {("a", 1): 4, ("b", 1): 6}
 
 
+def test_a_bucket_with_one_delta_is_read_as_it_is(spark):
+    table, rows = new(spark), [(f"k{i}", i % 3, i) for i in range(40)]
+    table.upsert(batch(spark, rows), 0)
+    table.upsert(batch(spark, []), 1)
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+    assert content(table) == {(k, d): v for k, d, v in rows}
+    # a later batch touches one bucket: that one is merged, the others are not
+    table.upsert(batch(spark, [("k7", 1, 700)]), 2)
+    assert content(table) == {**{(k, d): v for k, d, v in rows}, ("k7", 1): 700}
+    assert table.read().count() == 40 and table.read(k="k7", d=1).count() == 1
+    # with a merge of its own, what one batch holds of a key is still brought to one
+    own = new(spark, merge=lambda rows: rows.groupBy("k", "d").agg(F.sum("v").alias("v"), F.max("_batch").alias("_batch")))
+    own.upsert(batch(spark, [("a", 1, 1), ("a", 1, 2)]), 0)
+    assert content(own) == {("a", 1): 3}
+
+
 def test_new_columns_are_null_in_older_rows(spark):
     table = new(spark)
     table.upsert(batch(spark, [("a", 1, 1)]), 0)
