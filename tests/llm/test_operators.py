@@ -16,6 +16,7 @@ from fractions import Fraction
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -689,6 +690,42 @@ def test_shards_merge_at_their_borders(docs, rows, monkeypatch):
     assert collections.Counter((r["doc_id"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out) == want
 
 
+def test_surroundings_of_hot_anchors_are_cut(docs, rows):
+    for hot, length in ((0, 50), (3, 50), (3, 30), (0, 22)):
+        want = collections.Counter((i, n, s, hashlib.sha256(k).hexdigest()) for i, k, n, s in brute.removed(rows, length))
+        out = suffixes.remove_repeats(docs, length=length, hot=hot).collect()
+        assert collections.Counter((r["doc_id"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out) == want
+
+
+def test_equal_surroundings_leave_a_home_once():
+    """A run of one byte has an anchor at every place, and a passage stands in many documents."""
+    rng = random.Random(5)
+    passage = " ".join(words(rng, 12))
+    texts = ["z" * 20_000, *[f"{rng.random()} {passage} {rng.random()}" for _ in range(300)]]
+    table = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": texts, "d": pa.array([0] * len(texts), pa.int32())})
+    keys = np.unique(suffixes.anchors([t.encode() for t in texts])[0] >> np.uint64(32 - 3))
+    for hot in (keys[:0], keys):
+        shared = pa.table({"d": pa.array([0], pa.int32()), "keys": [keys.tobytes()], "hot": [hot.tobytes()], "copies": pa.array([None], pa.list_(pa.int64()))})
+        out = suffixes._surroundings(3, 50)(table, shared)
+        # each place of the run would send 80 bytes
+        assert 0 < sum(map(len, out.column("text").to_pylist())) < 20_000 * 80 / 2
+
+
+def test_windows_of_one_anchor_are_merged_in_parts(monkeypatch):
+    monkeypatch.setattr(suffixes, "SHARD", 300)
+    monkeypatch.setattr(suffixes, "MERGED", 7)
+    rng = random.Random(6)
+    parts = sorted({"".join(rng.choice("ab") * rng.randint(1, 9) for _ in range(16)).encode() for _ in range(60)})
+    docs = np.array(rng.sample(range(1000), len(parts)))
+    owner, offset, least = suffixes.smallest_holders(np.zeros(len(parts), dtype=np.int64), docs, docs + 2000, parts, 22)
+    holders = collections.defaultdict(lambda: 9999)
+    for p, doc in zip(parts, docs.tolist(), strict=True):
+        for k in range(len(p) - 21):
+            holders[p[k : k + 22]] = min(holders[p[k : k + 22]], doc)
+    want = {(i, k): holders[p[k : k + 22]] for i, p in enumerate(parts) for k in range(len(p) - 21)}
+    assert dict(zip(zip(owner.tolist(), offset.tolist(), strict=True), least.tolist(), strict=True)) == want
+
+
 def test_suffix_array_and_prefixes():
     rng = random.Random(1)
     for _ in range(80):
