@@ -24,7 +24,7 @@ from mercato.operators.joins import dim_join
 from mercato.operators.metrics import customer_segments
 from mercato.operators.skew import dense_ids, skew_join
 from mercato.operators.topn import top_by_product
-from mercato.session import pin
+from mercato.session import pin, unpin
 
 # --- splits and features -----------------------------------------------------------------------------------------
 
@@ -93,19 +93,33 @@ def interactions(lines: DataFrame, user: str, item: str) -> DataFrame:
     )
 
 
+RATINGS_PER_BLOCK = 8_000_000  # ratings that one task of ALS holds: some 45 bytes each while blocks are built
+
+
 class Recommender:
-    """Implicit-feedback ALS over arbitrary ids. Constant ratings carry no signal in explicit mode."""
+    """Implicit-feedback ALS over arbitrary ids. Constant ratings carry no signal in explicit mode.
+
+    Users and items lie in ten blocks each, and in more where a block would have more than ``ratings_per_block`` ratings. Blocks
+    wait on disk, not in the heap that tasks need, and a checkpoint per iteration lets the shuffles before it go.
+    """
 
     def __init__(self, model: ALSModel, users: DataFrame, items: DataFrame):
         self.model, self.users, self.items = model, users, items
 
     @classmethod
     def fit(
-        cls, ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float = 0.1, seed: int = 42
+        cls,
+        ratings: DataFrame,
+        rank: int = 10,
+        max_iter: int = 10,
+        reg: float = 0.1,
+        seed: int = 42,
+        ratings_per_block: int = RATINGS_PER_BLOCK,
     ) -> Recommender:
         users = pin(dense_ids(ratings, "user", "user_ix"))
         items = pin(dense_ids(ratings, "item", "item_ix"))
-        placed = cls._placed(ratings, users, items)
+        placed = pin(cls._placed(ratings, users, items).select("user_ix", "item_ix", "rating"))
+        blocks = max(10, math.ceil(placed.count() / ratings_per_block))
         als = ALS(
             rank=rank,
             maxIter=max_iter,
@@ -116,8 +130,14 @@ class Recommender:
             itemCol="item_ix",
             ratingCol="rating",
             seed=seed,
+            numUserBlocks=blocks,
+            numItemBlocks=blocks,
+            intermediateStorageLevel="DISK_ONLY",
+            checkpointInterval=1,
         )
-        return cls(als.fit(placed), users, items)
+        model = als.fit(placed)
+        unpin(placed)
+        return cls(model, users, items)
 
     @staticmethod
     def _placed(ratings: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:

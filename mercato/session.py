@@ -7,6 +7,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +32,8 @@ RUNTIME_CONF = {
 # partitions, fill a gigabyte or two of one task's hash tables.
 DEFAULT_CONF = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
 
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built, and give its executors this package."""
@@ -88,15 +92,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Within it, a query deletes its shuffles when it ends; one that reads them again would make them again."""
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table under the shared folder and read it back, with no lineage and a known size.
 
     Used where a plan loops, or where a value such as a partition number must never be computed twice. The stored table
-    survives lost executors, later reads prune its columns, and the planner sees its true size.
+    survives lost executors, later reads prune its columns, and the planner sees its true size. What was shuffled for it is
+    deleted at once, not when the driver next collects its garbage.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "pinned")
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     pinned = spark.read.schema(df.schema).parquet(path)
     pinned.pinned_at = path
     return pinned

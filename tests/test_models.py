@@ -31,3 +31,14 @@ def test_a_forest_trains_on_partitions_of_bounded_size(spark, monkeypatch):
     assert sum(n for _, n in sizes) == 4000 and max(n for _, n in sizes) <= 130
     scored = ml.score(model, rows, ["x"], "id", "p").join(rows, "id")
     assert scored.filter("(p > 0.5) <> (label = 1)").isEmpty()
+
+
+def test_blocks_of_the_recommender_are_bounded(spark, monkeypatch):
+    ratings = spark.range(3000).selectExpr("id % 60 AS user", "(id * 7) % 53 AS item", "1.0D AS rating").distinct()
+    seen, als = [], ml.ALS
+    monkeypatch.setattr(ml, "ALS", lambda **settings: seen.append(settings) or als(**settings))
+    few, many = ml.Recommender.fit(ratings, max_iter=2), ml.Recommender.fit(ratings, max_iter=2, ratings_per_block=100)
+    count = ratings.count()
+    assert seen[0]["numUserBlocks"] == seen[0]["numItemBlocks"] == 10 < count / 100 <= seen[1]["numUserBlocks"] == seen[1]["numItemBlocks"]
+    assert all(x["checkpointInterval"] == 1 and x["intermediateStorageLevel"] == "DISK_ONLY" for x in seen)
+    assert few.top(5).count() == many.top(5).count() == 5 * 60
