@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import collections
+import itertools
 import random
+import time
+from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -13,6 +18,7 @@ from pyspark.sql import functions as F
 from mercato.operators import graph, joins, quality, skew, windows
 from mercato.plans import scans
 from mercato.plans import tables as t
+from mercato.session import pin
 from mercato.streaming.windows import batch_sessions, sessions
 
 
@@ -482,3 +488,59 @@ def test_revenue_groups_before_it_joins(spark, sf):
     text = plan(revenue_via(t.items(spark, sf), t.products(spark, sf), "product_id", "category"))
     assert text.index("Join") < text.rindex("HashAggregate")
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
+def test_pairs_are_packed_before_they_are_shuffled(spark):
+    """A pair takes few bytes, repeated ones are added up, and no row per pair meets an exchange."""
+    rng = np.random.default_rng(4)
+    lists = [sorted(rng.choice(3000, rng.integers(1, 40), replace=False).tolist()) for _ in range(800)]
+    want = Counter(pair for x in lists for pair in itertools.combinations(x, 2))
+    p, m = 5, 3000 // 5 + 1
+    batch = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int64()))], names=["m"])
+    blobs = pa.Table.from_batches(graph._pair_blobs(p, m, graph._of_lists)(iter([batch])))
+    assert sum(len(x) for x in blobs.column("keys").to_pylist()) < 2 * want.total()
+    found = [graph._totals_of_cell(p, m, pa.int64())(blobs.slice(k, 1)).to_pylist() for k in range(blobs.num_rows)]
+    assert {(r["a"], r["b"]): r["n"] for x in found for r in x} == want and sum(map(len, found)) == len(want)
+
+    rows = [(g, x, f"{x:05}", x - 1500) for g, xs in enumerate(lists) for x in xs]
+    df = spark.createDataFrame(rows, "g int, x int, name string, low bigint")
+    out = graph.co_occurrence(df, "g", "x")
+    assert "hashpartitioning(a" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.dtypes == [("a", "int"), ("b", "int"), ("n", "bigint")]
+    assert {(r["a"], r["b"]): r["n"] for r in out.collect()} == want
+    assert {(int(r["a"]), int(r["b"])): r["n"] for r in graph.co_occurrence(df, "g", "name").collect()} == want
+    assert {(r["a"] + 1500, r["b"] + 1500): r["n"] for r in graph.co_occurrence(df, "g", "low").collect()} == want
+
+
+def test_triangles_are_counted_in_passes(spark, monkeypatch):
+    """A pass shuffles an edge a bounded number of times, whatever the colours; its shuffle is gone before the next."""
+    rng = np.random.default_rng(9)
+    pairs = [tuple(map(int, x)) for x in rng.integers(0, 90, (900, 2))]
+    around = collections.defaultdict(set)
+    for x, y in pairs:
+        if x != y:
+            around[x].add(y), around[y].add(x)
+    want = {v: sum(len(around[v] & around[w]) for w in around[v]) // 2 for v in around}
+    stored, pin = [], graph.pin
+    monkeypatch.setattr(graph, "pin", lambda df: stored.append(df) or pin(df))
+    for kind in ("bigint", "string"):
+        edges = spark.createDataFrame(pairs, "src bigint, dst bigint").selectExpr(f"CAST(src AS {kind}) AS src", f"CAST(dst AS {kind}) AS dst")
+        stored.clear()
+        out = graph.triangle_counts(edges, edges_per_task=50, copies=2)
+        assert {int(r["id"]): r["triangles"] for r in out.collect()} == want
+        # p is the prime 11 from the root of 6 · 900 / 50, so six passes
+        assert sum("triple" in df._jdf.queryExecution().toString() for df in stored) == 6
+
+
+def test_a_stored_table_leaves_no_shuffle(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x for d in manager.localDirs() for x in Path(d.toString()).rglob("shuffle_*.data")}
+    before, df = files(), spark.range(100_000).groupBy((F.col("id") % 1009).alias("k")).count()
+    assert pin(df).count() == 1009 and pin(df).groupBy("k").count().count() == 1009 and df.count() == 1009
+    before |= files()
+    stored = pin(df)
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and stored.count() == 1009
